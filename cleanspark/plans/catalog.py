@@ -145,3 +145,173 @@ SELECT CAST((SELECT count(*) FROM cleaned) AS BIGINT) AS rows_before,
 """))
 def q_clean_report(spark, sf):
     return C.clean_report(raw(spark, sf))
+
+
+# ---------------------------------------------------------------- profiling
+from ..operators import profile as P  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles rounded for engine-independent comparison (summation order differs in the last bits)."""
+    return df.select(*[F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
+                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
+LINE_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+            "l_tax"]
+LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+CUST_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+CUST_NUM = ["c_custkey", "c_nationkey", "c_acctbal"]
+
+
+def _profile_columns_sql(tbl, cols, numeric):
+    return S.union_all(
+        f"SELECT '{c}' AS \"column\", '{'numeric' if c in numeric else 'categorical'}' AS type, "
+        f"CAST(count({c}) AS BIGINT) AS non_null_count, CAST(count(*) - count({c}) AS BIGINT) AS null_count, "
+        f"ROUND(100.0 * (count(*) - count({c})) / count(*), 2) AS null_percentage, "
+        f"CAST(count(DISTINCT {c}) AS BIGINT) AS unique_count, "
+        f"CAST(count(*) - count(DISTINCT {c}) AS BIGINT) AS duplicate_count FROM {tbl}" for c in cols)
+
+
+def _mode_sql(tbl, cols):
+    return S.union_all(
+        f"SELECT '{c}' AS \"column\", v AS most_common, CAST(n AS BIGINT) AS most_common_count, "
+        f"ROUND(100.0 * n / (SELECT count(*) FROM {tbl}), 2) AS most_common_percentage FROM "
+        f"(SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {tbl} WHERE {c} IS NOT NULL GROUP BY 1 "
+        f"ORDER BY n DESC, v ASC LIMIT 1)" for c in cols)
+
+
+@register("profile_table", "SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(5 AS BIGINT) AS total_columns, "
+          "'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS column_names FROM customer")
+def q_profile_table(spark, sf):
+    return P.profile_table(table(spark, sf, "customer"))
+
+
+@register("profile_columns", _profile_columns_sql("customer", CUST_COLS, CUST_NUM))
+def q_profile_columns(spark, sf):
+    return P.profile_columns(table(spark, sf, "customer"))
+
+
+@register("profile_numeric", S.numeric_profile_sql("lineitem", LINE_NUM))
+def q_profile_numeric(spark, sf):
+    return rounded(P.numeric_profile(table(spark, sf, "lineitem"), LINE_NUM))
+
+
+@register("iqr_outliers", S.iqr_outliers_sql("events", ["event_id", "user_id", "value"]))
+def q_iqr_outliers(spark, sf):
+    return rounded(P.iqr_outliers(table(spark, sf, "events"), ["event_id", "user_id", "value"]))
+
+
+def _iqr_flag_sql(tbl, cols, keys):
+    b = S.iqr_bounds_cte(tbl, cols)
+    conds = " OR ".join(
+        f"{c} < (SELECT q1 - 1.5 * (q3 - q1) FROM bounds WHERE \"column\" = '{c}') OR "
+        f"{c} > (SELECT q3 + 1.5 * (q3 - q1) FROM bounds WHERE \"column\" = '{c}')" for c in cols)
+    return f"WITH bounds AS ({b}) SELECT {', '.join(keys)} FROM {tbl} WHERE {conds}"
+
+
+EVENT_NUM = ["event_id", "user_id", "value"]
+
+
+@register("iqr_flag_rows", _iqr_flag_sql("events", EVENT_NUM, ["event_id", "value"]))
+def q_iqr_flag_rows(spark, sf):
+    ev = table(spark, sf, "events")
+    return P.iqr_flag(ev, EVENT_NUM).where("is_outlier").select("event_id", "value")
+
+
+@register("normality_jb", S.jb_sql("lineitem", LINE_NUM))
+def q_normality_jb(spark, sf):
+    return rounded(P.normality_jb(table(spark, sf, "lineitem"), LINE_NUM))
+
+
+@register("profile_categorical", _mode_sql("part", ["p_name", "p_brand", "p_type"]))
+def q_profile_categorical(spark, sf):
+    return P.categorical_profile(table(spark, sf, "part"), ["p_name", "p_brand", "p_type"])
+
+
+@register("missing_values", S.with_clean(
+    "SELECT \"column\", missing_count FROM (" + S.union_all(
+        f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS missing_count FROM raw_nt"
+        for c in R.EXPECTED_COLUMNS) + ") t WHERE missing_count > 0 "
+    "UNION ALL SELECT '__total__', CAST(sum(missing_count) AS BIGINT) FROM (" + S.union_all(
+        f"SELECT count(*) - count({c}) AS missing_count FROM raw_nt" for c in R.EXPECTED_COLUMNS) + ") u"))
+def q_missing_values(spark, sf):
+    return P.missing_values(R.apply_null_tokens(raw(spark, sf)))
+
+
+@register("exact_duplicates", """
+SELECT CAST(sum(n) AS BIGINT) AS total_rows, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS exact_duplicates,
+       ROUND(100.0 * coalesce(sum(n) FILTER (WHERE n > 1), 0) / sum(n), 2) AS exact_duplicates_percentage
+FROM (SELECT text, count(*) AS n FROM documents GROUP BY text) g""")
+def q_exact_duplicates(spark, sf):
+    return P.exact_duplicates(table(spark, sf, "documents").select("text"), digest_columns=["text"])
+
+
+@register("duplicate_rows_top10", """
+SELECT doc_id FROM documents d
+WHERE EXISTS (SELECT 1 FROM documents e WHERE e.doc_id <> d.doc_id AND e.text IS NOT DISTINCT FROM d.text)
+ORDER BY doc_id LIMIT 10""")
+def q_duplicate_rows_top10(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return P.duplicate_rows_top(docs, "doc_id", 10, digest_columns=["text"])
+
+
+@register("correlations_all", S.corr_sql("lineitem", LINE_NUM))
+def q_correlations_all(spark, sf):
+    return rounded(P.correlations(table(spark, sf, "lineitem"), LINE_NUM))
+
+
+@register("correlations_strong", S.corr_sql("lineitem", LINE_NUM, 0.7))
+def q_correlations_strong(spark, sf):
+    return rounded(P.correlations(table(spark, sf, "lineitem"), LINE_NUM, threshold=0.7))
+
+
+def _quality_sql(tbl, cols, numeric):
+    pc = _profile_columns_sql(tbl, cols, numeric)
+    io = S.iqr_outliers_sql(tbl, numeric).replace("WITH bounds AS", "bounds AS", 1)
+    jb = S.jb_sql(tbl, numeric).replace("WITH m AS", "m AS", 1)
+    return f"""
+WITH pc AS ({pc}),
+io AS (WITH {io}),
+jbt AS (WITH {jb}),
+g AS (SELECT count(*) AS n FROM {tbl} GROUP BY ALL_COLS_PLACEHOLDER),
+dup AS (SELECT ROUND(100.0 * coalesce(sum(n) FILTER (WHERE n > 1), 0) / sum(n), 2) AS dp FROM g),
+per AS (SELECT pc.\"column\", pc.null_percentage, coalesce(io.outliers_percentage, 0) AS op,
+               CASE WHEN jbt.is_normal = false THEN 1 ELSE 0 END AS abn
+        FROM pc LEFT JOIN io USING (\"column\") LEFT JOIN jbt USING (\"column\")),
+m AS (SELECT avg(null_percentage) AS avg_null_percentage, (SELECT dp FROM dup) AS duplicate_percentage,
+             avg(op) AS avg_outlier_percentage, CAST(sum(abn) AS BIGINT) AS non_normal_columns FROM per),
+s AS (SELECT *, ROUND(greatest(100.0 - least(avg_null_percentage * 0.5, 20) - least(duplicate_percentage * 2, 15)
+                 - least(avg_outlier_percentage, 15) - least(non_normal_columns * 2.0, 10), 0), 1) AS quality_score FROM m)
+SELECT {S.r6('avg_null_percentage')} AS avg_null_percentage, duplicate_percentage,
+       {S.r6('avg_outlier_percentage')} AS avg_outlier_percentage, non_normal_columns, quality_score,
+       CASE WHEN quality_score >= 90 THEN 'A' WHEN quality_score >= 75 THEN 'B' WHEN quality_score >= 60 THEN 'C' ELSE 'D' END
+         AS quality_grade,
+       CASE WHEN quality_score >= 80 THEN 'green' WHEN quality_score >= 60 THEN 'amber' ELSE 'red' END AS traffic_light
+FROM s""".replace("ALL_COLS_PLACEHOLDER", ", ".join(cols))
+
+
+@register("quality_score", _quality_sql("customer", CUST_COLS, CUST_NUM))
+def q_quality_score(spark, sf):
+    return rounded(P.quality_score(table(spark, sf, "customer")))
+
+
+def _column_summary_sql(tbl, cols, numeric):
+    parts = []
+    for c in cols:
+        if c in numeric:
+            parts.append(f"SELECT '{c}' AS \"column\", 'numeric' AS type, {S.r6(f'avg({c})')} AS mean, "
+                         f"{S.r6(f'min({c})')} AS min, {S.r6(f'max({c})')} AS max, CAST(NULL AS BIGINT) AS unique_count, "
+                         f"CAST(NULL AS VARCHAR) AS most_common FROM {tbl}")
+        else:
+            parts.append(f"SELECT '{c}', 'categorical', NULL, NULL, NULL, CAST(count(DISTINCT {c}) AS BIGINT), "
+                         f"(SELECT v FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {tbl} WHERE {c} IS NOT NULL "
+                         f"GROUP BY 1 ORDER BY n DESC, v LIMIT 1)) FROM {tbl}")
+    return S.union_all(parts)
+
+
+@register("column_summary", _column_summary_sql("customer", CUST_COLS, CUST_NUM))
+def q_column_summary(spark, sf):
+    return rounded(P.column_summary(table(spark, sf, "customer")))

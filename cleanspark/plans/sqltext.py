@@ -111,3 +111,64 @@ clean AS (
 
 def with_clean(body: str) -> str:
     return f"WITH {CLEAN_CTES.strip()}\n{body}"
+
+
+def r6(e: str) -> str:
+    return f"ROUND(CAST({e} AS DOUBLE), 6)"
+
+
+def union_all(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def numeric_profile_sql(tbl: str, cols) -> str:
+    return union_all(
+        f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS count, {r6(f'avg({c})')} AS mean, "
+        f"{r6(f'quantile_cont({c}, 0.5)')} AS median, {r6(f'stddev_samp({c})')} AS std, "
+        f"{r6(f'min({c})')} AS min, {r6(f'max({c})')} AS max, {r6(f'quantile_cont({c}, 0.25)')} AS q25, "
+        f"{r6(f'quantile_cont({c}, 0.75)')} AS q75 FROM {tbl}" for c in cols)
+
+
+def iqr_bounds_cte(tbl: str, cols) -> str:
+    return union_all(
+        f"SELECT '{c}' AS \"column\", quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM {tbl}"
+        for c in cols)
+
+
+def iqr_outliers_sql(tbl: str, cols) -> str:
+    per = union_all(
+        f"SELECT '{c}' AS \"column\", count({c}) AS nn, count(*) FILTER (WHERE {c} < b.q1 - 1.5 * (b.q3 - b.q1) "
+        f"OR {c} > b.q3 + 1.5 * (b.q3 - b.q1)) AS oc FROM {tbl}, (SELECT * FROM bounds WHERE \"column\" = '{c}') b"
+        for c in cols)
+    return (f"WITH bounds AS ({iqr_bounds_cte(tbl, cols)}), per AS ({per})\n"
+            f"SELECT p.\"column\", {r6('b.q1')} AS q25, {r6('b.q3')} AS q75, {r6('b.q1 - 1.5 * (b.q3 - b.q1)')} AS lower_bound, "
+            f"{r6('b.q3 + 1.5 * (b.q3 - b.q1)')} AS upper_bound, CAST(p.oc AS BIGINT) AS outliers_count, "
+            f"ROUND(100.0 * p.oc / p.nn, 2) AS outliers_percentage FROM per p JOIN bounds b USING (\"column\")")
+
+
+def jb_sql(tbl: str, cols) -> str:
+    parts = []
+    for c in cols:
+        parts.append(
+            f"SELECT '{c}' AS \"column\", count({c}) AS n, "
+            f"avg(power({c} - (SELECT avg({c}) FROM {tbl}), 2)) AS m2, "
+            f"avg(power({c} - (SELECT avg({c}) FROM {tbl}), 3)) AS m3, "
+            f"avg(power({c} - (SELECT avg({c}) FROM {tbl}), 4)) AS m4 FROM {tbl}")
+    return (f"WITH m AS ({union_all(parts)}), s AS (SELECT \"column\", n, CASE WHEN n > 3 AND m2 > 0 THEN m3 / pow(m2, 1.5) END AS sk, "
+            f"CASE WHEN n > 3 AND m2 > 0 THEN m4 / (m2 * m2) - 3 END AS ku FROM m), "
+            f"j AS (SELECT \"column\", n, sk, ku, n / 6.0 * (sk * sk + ku * ku / 4.0) AS jb FROM s)\n"
+            f"SELECT \"column\", CAST(n AS BIGINT) AS n, {r6('sk')} AS skewness, {r6('ku')} AS kurtosis, {r6('jb')} AS jb, "
+            f"{r6('exp(-jb / 2.0)')} AS p_value, exp(-jb / 2.0) > 0.05 AS is_normal FROM j")
+
+
+def corr_sql(tbl: str, cols, threshold=None) -> str:
+    parts = []
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            f = f"FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+            r = (f"covar_pop({a}, {b}) / nullif(stddev_pop({a}) {f} * stddev_pop({b}) {f}, 0)")
+            parts.append(f"SELECT '{a}' AS col1, '{b}' AS col2, {r} AS corr FROM {tbl}")
+    body = f"SELECT col1, col2, {r6('corr')} AS corr FROM ({union_all(parts)}) t"
+    if threshold is not None:
+        body += f" WHERE abs(corr) > {threshold}"
+    return body
