@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_date
 from ..functions.text import clean_email, coerce_number, is_valid_email, normalize_phone, normalize_text
 from ..operators import clean as C
+from ..session import cut_lineage
 from ..sources import fixtures as FX
 from ..sources import readers as R
 from . import sqltext as S
@@ -315,3 +316,141 @@ def _column_summary_sql(tbl, cols, numeric):
 @register("column_summary", _column_summary_sql("customer", CUST_COLS, CUST_NUM))
 def q_column_summary(spark, sf):
     return rounded(P.column_summary(table(spark, sf, "customer")))
+
+
+# ---------------------------------------------------------------- pairs, similarity, dedup
+from ..operators import anomaly as AN  # noqa: E402
+from ..operators import dedup as DD  # noqa: E402
+from ..operators import pairs as PR  # noqa: E402
+from . import flows as FL  # noqa: E402
+
+
+def clean(spark, sf):
+    """Cleaned customers, materialised: pairing reuses them several times (and a lineage cut keeps the
+    optimiser from re-deriving constraints of the cleaning expressions through every self join)."""
+    return cut_lineage(C.clean_customers(raw(spark, sf)))
+
+
+def _tfeat(spark, sf):
+    c = clean(spark, sf)
+    t = PR.triples(c)
+    return PR.triple_pair_features(t, PR.candidate_pairs(t))
+
+
+@register("pairs_blocked", S.with_pairs("SELECT tid_i AS row_i, tid_j AS row_j FROM cand"))
+def q_pairs_blocked(spark, sf):
+    t = PR.triples(clean(spark, sf))
+    return PR.candidate_pairs(t).select(F.col("tid_i").alias("row_i"), F.col("tid_j").alias("row_j"))
+
+
+@register("sim_indel", S.with_pairs(
+    "SELECT tid_i AS row_i, tid_j AS row_j, ROUND(email_sim, 6) AS email_sim, ROUND(phone_sim, 6) AS phone_sim FROM sims"))
+def q_sim_indel(spark, sf):
+    f = _tfeat(spark, sf)
+    return rounded(f.select(F.col("tid_i").alias("row_i"), F.col("tid_j").alias("row_j"), "email_sim", "phone_sim"))
+
+
+@register("sim_token_set", S.with_pairs(
+    "SELECT tid_i AS row_i, tid_j AS row_j, ROUND(name_sim, 6) AS name_sim FROM sims"))
+def q_sim_token_set(spark, sf):
+    f = _tfeat(spark, sf)
+    return rounded(f.select(F.col("tid_i").alias("row_i"), F.col("tid_j").alias("row_j"), "name_sim"))
+
+
+@register("pair_features", S.with_pairs(
+    "SELECT row_i, row_j, ROUND(name_sim, 6) AS name_sim, ROUND(email_sim, 6) AS email_sim, "
+    "ROUND(phone_sim, 6) AS phone_sim, ROUND(avg_sim, 6) AS avg_sim FROM pairs"))
+def q_pair_features(spark, sf):
+    return rounded(PR.pair_features(clean(spark, sf)))
+
+
+@register("dup_pairs_rule", S.with_pairs(
+    "SELECT row_i, row_j, ROUND(name_sim, 6) AS name_sim, ROUND(email_sim, 6) AS email_sim, "
+    "ROUND(phone_sim, 6) AS phone_sim, ROUND(avg_sim, 6) AS avg_sim, 1 AS label FROM pairs WHERE avg_sim > 0.7"))
+def q_dup_pairs_rule(spark, sf):
+    return rounded(DD.rule_pairs(clean(spark, sf)).withColumn("label", DD.rule_label()))
+
+
+@register("dedup_drop_later", S.with_pairs("SELECT customer_id, reason FROM dropped"))
+def q_dedup_drop_later(spark, sf):
+    _, dropped, _ = DD.dedup_rule(clean(spark, sf))
+    return dropped
+
+
+_FLAG = (", CAST((customer_id < (SELECT q1 - 1.5 * (q3 - q1) FROM qb WHERE k = 'customer_id') OR "
+         "customer_id > (SELECT q3 + 1.5 * (q3 - q1) FROM qb WHERE k = 'customer_id') OR "
+         "coalesce(amount < (SELECT q1 - 1.5 * (q3 - q1) FROM qb WHERE k = 'amount') OR "
+         "amount > (SELECT q3 + 1.5 * (q3 - q1) FROM qb WHERE k = 'amount'), false)) AS INTEGER) AS is_anomaly")
+
+
+def _qb(src):
+    return (f"qb AS (SELECT 'customer_id' AS k, quantile_cont(customer_id, 0.25) AS q1, "
+            f"quantile_cont(customer_id, 0.75) AS q3 FROM {src} UNION ALL SELECT 'amount', "
+            f"quantile_cont(amount, 0.25), quantile_cont(amount, 0.75) FROM {src})")
+
+
+@register("pipeline_rule", S.with_pairs(
+    "").rstrip() + ",\n" + _qb("deduped") + "\nSELECT *" + _FLAG + " FROM deduped")
+def q_pipeline_rule(spark, sf):
+    return FL.run_rule(raw(spark, sf)).final
+
+
+@register("run_report", S.with_pairs("").rstrip() + ",\n" + _qb("deduped") + ",\nfin AS (SELECT *" + _FLAG +
+          " FROM deduped)\nSELECT CAST((SELECT count(*) FROM raw) AS BIGINT) AS rows_read, "
+          "CAST((SELECT count(*) FROM clean) AS BIGINT) AS rows_clean, "
+          "CAST((SELECT count(*) FROM pairs WHERE avg_sim > 0.7) AS BIGINT) AS duplicate_pairs, "
+          "CAST((SELECT count(*) FROM dropped) AS BIGINT) AS rows_dropped, "
+          "CAST((SELECT count(*) FROM dropped WHERE reason = 'copy') AS BIGINT) AS dropped_copies, "
+          "CAST((SELECT sum(is_anomaly) FROM fin) AS BIGINT) AS anomalies_found, "
+          "CAST((SELECT count(*) FROM fin) AS BIGINT) AS final_rows")
+def q_run_report(spark, sf):
+    return FL.run_rule(raw(spark, sf)).report
+
+
+# ---------------------------------------------------------------- flows
+
+_CLASSIC = ("classic AS (SELECT 'classic' AS flow, CAST((SELECT count(*) FROM raw_nt) AS BIGINT) AS rows_processed, "
+            "CAST(count(*) AS BIGINT) AS rows_final, "
+            "CAST((SELECT count(*) FROM raw_nt) - count(*) AS BIGINT) AS duplicates_found, "
+            "CAST(count(*) FILTER (WHERE customer_id < 0) AS BIGINT) AS anomalies_found, "
+            "CAST((SELECT count(*) FROM raw_nt) - count(*) AS BIGINT) AS rows_removed "
+            "FROM (SELECT DISTINCT * FROM raw_nt) d WHERE customer_id IS NOT NULL AND name IS NOT NULL AND "
+            "email IS NOT NULL AND phone IS NOT NULL AND city IS NOT NULL AND country IS NOT NULL AND "
+            "signup_date IS NOT NULL AND amount IS NOT NULL)")
+_SMART = ("smart AS (SELECT 'smart' AS flow, CAST((SELECT count(*) FROM raw) AS BIGINT) AS rows_processed, "
+          "CAST((SELECT count(*) FROM clean) AS BIGINT) AS rows_final, "
+          "CAST((SELECT count(*) FROM pairs WHERE avg_sim > 0.7) AS BIGINT) AS duplicates_found, "
+          "CAST((SELECT count(*) FROM clean WHERE (customer_id < (SELECT q1 - 1.5 * (q3 - q1) FROM qb WHERE k = 'customer_id') OR "
+          "customer_id > (SELECT q3 + 1.5 * (q3 - q1) FROM qb WHERE k = 'customer_id') OR "
+          "coalesce(amount < (SELECT q1 - 1.5 * (q3 - q1) FROM qb WHERE k = 'amount') OR "
+          "amount > (SELECT q3 + 1.5 * (q3 - q1) FROM qb WHERE k = 'amount'), false))) AS BIGINT) AS anomalies_found, "
+          "CAST((SELECT count(*) FROM raw) - (SELECT count(*) FROM clean) AS BIGINT) AS rows_removed)")
+
+
+@register("classic_flow", S.with_clean("").rstrip() + ",\n" + _CLASSIC + "\nSELECT * FROM classic")
+def q_classic_flow(spark, sf):
+    return FL.classic_flow(raw(spark, sf)).select(
+        "flow", "rows_processed", "rows_final", "duplicates_found", "anomalies_found", "rows_removed")
+
+
+@register("smart_flow", S.with_pairs("").rstrip() + ",\n" + _qb("clean") + ",\n" + _SMART + "\nSELECT * FROM smart")
+def q_smart_flow(spark, sf):
+    return FL.smart_flow(raw(spark, sf))
+
+
+@register("flow_comparison", S.with_pairs("").rstrip() + ",\n" + _qb("clean") + ",\n" + _CLASSIC + ",\n" + _SMART + """
+SELECT c.rows_processed AS classic_rows_processed, c.rows_final AS classic_rows_final,
+       c.duplicates_found AS classic_duplicates_found, c.anomalies_found AS classic_anomalies_found,
+       c.rows_removed AS classic_rows_removed, s.rows_processed AS smart_rows_processed, s.rows_final AS smart_rows_final,
+       s.duplicates_found AS smart_duplicates_found, s.anomalies_found AS smart_anomalies_found,
+       s.rows_removed AS smart_rows_removed,
+       s.duplicates_found - c.duplicates_found AS duplicates_difference,
+       s.anomalies_found - c.anomalies_found AS anomalies_difference,
+       concat_ws('; ', CASE WHEN s.duplicates_found > c.duplicates_found THEN 'smart flow finds ' ||
+                            CAST(s.duplicates_found - c.duplicates_found AS VARCHAR) || ' more duplicates' END,
+                       CASE WHEN s.anomalies_found > c.anomalies_found THEN 'smart flow finds ' ||
+                            CAST(s.anomalies_found - c.anomalies_found AS VARCHAR) || ' more anomalies' END) AS reasons
+FROM classic c, smart s""")
+def q_flow_comparison(spark, sf):
+    r = raw(spark, sf)
+    return FL.flow_comparison(FL.classic_flow(r), FL.smart_flow(r))

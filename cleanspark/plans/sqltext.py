@@ -172,3 +172,71 @@ def corr_sql(tbl: str, cols, threshold=None) -> str:
     if threshold is not None:
         body += f" WHERE abs(corr) > {threshold}"
     return body
+
+
+def lcs(a: str, b: str) -> str:
+    """LCS length by the textbook dynamic programme, one row per character of ``a`` (nested list_reduce)."""
+    return (f"list_reduce(string_split({a}, ''), lambda prev, ca: list_reduce(range(1, length({b}) + 1), "
+            f"lambda cur, j: list_append(cur, CASE WHEN ca = substr({b}, j::INTEGER, 1) THEN prev[j] + 1 "
+            f"ELSE greatest(prev[j + 1], cur[j]) END), [0]), list_transform(range(length({b}) + 1), lambda k: 0))[-1]")
+
+
+def indel(a: str, b: str) -> str:
+    return (f"CASE WHEN {a} IS NULL OR {b} IS NULL THEN 0.0 WHEN {a} = {b} THEN 1.0 "
+            f"WHEN length({a}) + length({b}) = 0 THEN 1.0 "
+            f"ELSE 2.0 * {lcs(a, b)} / (length({a}) + length({b})) END")
+
+
+def tokens_sql(e: str) -> str:
+    return f"list_filter(list_distinct(string_split_regex({e}, '\\s+')), lambda t: t <> '')"
+
+
+PAIR_CTES = """
+elig AS (SELECT * FROM clean WHERE name IS NOT NULL AND email IS NOT NULL AND phone IS NOT NULL),
+tri AS (SELECT name, email, phone, min(customer_id) AS tid, count(*) AS copies FROM elig GROUP BY name, email, phone),
+keys AS (
+  SELECT tid, 'email' AS kind, email AS key FROM tri
+  UNION ALL SELECT tid, 'phone8', substr(phone, length(phone) - 7, 8) FROM tri
+  UNION ALL SELECT tid, 'name_sorted', array_to_string(list_sort(TOKENS_NAME), ' ') FROM tri),
+cand AS (SELECT DISTINCT a.tid AS tid_i, b.tid AS tid_j FROM keys a JOIN keys b ON a.kind = b.kind AND a.key = b.key
+         WHERE a.tid < b.tid AND a.key IS NOT NULL AND a.key <> ''),
+pv AS (SELECT c.tid_i, c.tid_j, a.name AS name_i, a.email AS email_i, a.phone AS phone_i,
+              b.name AS name_j, b.email AS email_j, b.phone AS phone_j
+       FROM cand c JOIN tri a ON a.tid = c.tid_i JOIN tri b ON b.tid = c.tid_j),
+tk AS (SELECT *, TOKENS_I AS ta, TOKENS_J AS tb FROM pv),
+ts AS (SELECT *, array_to_string(list_sort(list_intersect(ta, tb)), ' ') AS si,
+              array_to_string(list_sort(list_filter(ta, lambda x: NOT list_contains(tb, x))), ' ') AS da,
+              array_to_string(list_sort(list_filter(tb, lambda x: NOT list_contains(ta, x))), ' ') AS db FROM tk),
+tl AS (SELECT *, length(si) AS li, length(da) AS lda, length(db) AS ldb,
+              CASE WHEN length(si) > 0 THEN 1 ELSE 0 END AS sep,
+              CASE WHEN da = db THEN length(da) ELSE LCS_DA_DB END AS lcs_d FROM ts),
+sims AS (SELECT tid_i, tid_j, email_i, email_j, phone_i, phone_j,
+   CASE WHEN len(ta) = 0 OR len(tb) = 0 THEN 0.0
+        WHEN li > 0 AND (lda = 0 OR ldb = 0) THEN 1.0
+        WHEN li = 0 THEN CASE WHEN 2 * li + 2 * sep + lda + ldb = 0 THEN 1.0
+                              ELSE 1.0 - (lda + ldb - 2 * lcs_d) / (2 * li + 2 * sep + lda + ldb) END
+        ELSE greatest(1.0 - (lda + ldb - 2 * lcs_d) / (2 * li + 2 * sep + lda + ldb),
+                      1.0 - (sep + lda) / (li + li + sep + lda), 1.0 - (sep + ldb) / (li + li + sep + ldb)) END
+     AS name_sim,
+   INDEL_EMAIL AS email_sim, INDEL_PHONE AS phone_sim FROM tl),
+feat AS (SELECT tid_i AS row_i, tid_j AS row_j, name_sim, email_sim, phone_sim,
+                (name_sim + email_sim + phone_sim) / 3.0 AS avg_sim FROM sims),
+copies AS (SELECT t.tid AS row_i, e.customer_id AS row_j, 1.0 AS name_sim, 1.0 AS email_sim, 1.0 AS phone_sim,
+                  1.0 AS avg_sim FROM elig e JOIN tri t USING (name, email, phone) WHERE e.customer_id <> t.tid),
+pairs AS (SELECT * FROM feat UNION ALL SELECT * FROM copies),
+dup_tri AS (SELECT row_i AS tid_i, row_j AS tid_j FROM feat WHERE avg_sim > 0.7),
+pm AS (SELECT tid, min(partner) AS partner_min FROM (SELECT tid_j AS tid, tid_i AS partner FROM dup_tri
+       UNION ALL SELECT tid_i, tid_j FROM dup_tri) GROUP BY tid),
+mem AS (SELECT e.customer_id, t.tid FROM elig e JOIN tri t USING (name, email, phone)),
+dropped AS (SELECT m.customer_id, CASE WHEN m.customer_id > m.tid THEN 'copy' ELSE 'fuzzy' END AS reason
+            FROM mem m LEFT JOIN pm USING (tid)
+            WHERE m.customer_id > m.tid OR coalesce(m.customer_id > pm.partner_min, false)),
+deduped AS (SELECT * FROM clean WHERE customer_id NOT IN (SELECT customer_id FROM dropped))
+"""
+PAIR_CTES = (PAIR_CTES.replace("TOKENS_NAME", tokens_sql("name")).replace("TOKENS_I", tokens_sql("name_i"))
+             .replace("TOKENS_J", tokens_sql("name_j")).replace("LCS_DA_DB", lcs("da", "db"))
+             .replace("INDEL_EMAIL", indel("email_i", "email_j")).replace("INDEL_PHONE", indel("phone_i", "phone_j")))
+
+
+def with_pairs(body: str) -> str:
+    return f"WITH {CLEAN_CTES.strip()},\n{PAIR_CTES.strip()}\n{body}"

@@ -8,6 +8,7 @@ upper-case e-mails and names. The work grows with ``customer``.
 """
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 DIRTY_CUSTOMERS_SQL = """
@@ -65,9 +66,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw dirty customer rows: ``customer_id`` bigint, seven string columns."""
+    """Raw dirty customer rows: ``customer_id`` bigint, seven string columns.
+
+    Persisted: it stands in for a file source, and generating it in the same stage as the cleaning expressions
+    would inline its CASE expressions into every cleaning reference. Identical plans share one cache entry."""
     return spark.sql(DIRTY_CUSTOMERS_SQL, customer=load(spark, sf_dir, "customer"),
-                     nation=load(spark, sf_dir, "nation"))
+                     nation=load(spark, sf_dir, "nation")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def narrow_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
