@@ -454,3 +454,267 @@ FROM classic c, smart s""")
 def q_flow_comparison(spark, sf):
     r = raw(spark, sf)
     return FL.flow_comparison(FL.classic_flow(r), FL.smart_flow(r))
+
+
+# ---------------------------------------------------------------- models (D5-D7, M1-M3, P2, P3) - rows checks
+from ..operators import rules as V  # noqa: E402
+from ..sources import sinks as SK  # noqa: E402
+
+
+def narrow_clean(spark, sf):
+    """The narrow-vocabulary customers (few names, one mail domain): many candidate pairs of both classes."""
+    return cut_lineage(C.clean_customers(FX.narrow_customers(spark, sf)))
+
+
+def _narrow_features(spark, sf):
+    return cut_lineage(PR.pair_features(narrow_clean(spark, sf)))
+
+
+@register("dup_model_train")
+def q_dup_model_train(spark, sf):
+    """Forest trained on the pair features; rows = feature importances."""
+    model = DD.train_dedup_model(_narrow_features(spark, sf))
+    imp = model.stages[-1].featureImportances.toArray().tolist()
+    return spark.createDataFrame([(f, float(v)) for f, v in zip(DD.FEATURES, imp)], "feature string, importance double")
+
+
+@register("dup_pairs_model")
+def q_dup_pairs_model(spark, sf):
+    """D6 + F5: pairs the forest scores at or above 0.75."""
+    feats = _narrow_features(spark, sf)
+    model = DD.train_dedup_model(feats)
+    return DD.predict_pairs(feats, model).select("row_i", "row_j", "avg_sim", "proba")
+
+
+@register("anomaly_scores")
+def q_anomaly_scores(spark, sf):
+    """M1-M3: isolation forest on the cleaned customers' numeric columns; every row scored."""
+    c = clean(spark, sf)
+    model = AN.train(c, "customer_id")
+    return AN.score(c, model).select("customer_id", "amount", "anomaly_score", "is_anomaly")
+
+
+@register("pipeline_model")
+def q_pipeline_model(spark, sf):
+    """P2 + P3, model variant: train both models on the cleaned rows, then pairs -> drop later -> score."""
+    c = narrow_clean(spark, sf)
+    t = PR.triples(c)
+    feats = cut_lineage(PR.triple_pair_features(t, PR.candidate_pairs(t)))
+    model = DD.train_dedup_model(feats)
+    dup_t = DD.predict_pairs(feats, model)
+    dropped = DD.dropped_rows(c, dup_t, "customer_id", DD.copies_predicted_duplicate(model), t)
+    deduped = DD.drop_later_duplicates(c, dropped)
+    forest = AN.train(c, "customer_id")
+    return AN.score(deduped, forest)
+
+
+# ---------------------------------------------------------------- load, verify, preview, group
+
+@register("typed_load", S.with_pairs("").rstrip() + ",\n" + _qb("deduped") + ",\nfin AS (SELECT *" + _FLAG +
+          " FROM deduped)\nSELECT TRY_CAST(customer_id AS INTEGER) AS customer_id, name, email, phone, city, country, "
+          "signup_date, TRY_CAST(amount AS DECIMAL(10,2)) AS amount, is_anomaly, CAST(NULL AS FLOAT) AS anomaly_score "
+          "FROM fin")
+def q_typed_load(spark, sf):
+    return SK.typed_load(FL.run_rule(raw(spark, sf)).final)
+
+
+@register("verify_counts", S.with_pairs("").rstrip() + ",\n" + _qb("deduped") + ",\nfin AS (SELECT *" + _FLAG +
+          " FROM deduped)\nSELECT 'clean' AS \"table\", CAST(count(*) AS BIGINT) AS rows, CAST(NULL AS BIGINT) AS flagged "
+          "FROM clean UNION ALL SELECT 'final', CAST(count(*) AS BIGINT), CAST(sum(is_anomaly) AS BIGINT) FROM fin "
+          "UNION ALL SELECT 'anomalies', CAST(count(*) FILTER (WHERE is_anomaly = 1) AS BIGINT), "
+          "CAST(sum(is_anomaly) AS BIGINT) FROM fin")
+def q_verify_counts(spark, sf):
+    r = FL.run_rule(raw(spark, sf))
+    return SK.verify_counts({"clean": r.clean, "final": r.final, "anomalies": r.final.where("is_anomaly = 1")})
+
+
+@register("preview_top5", S.with_clean("SELECT * FROM clean ORDER BY customer_id LIMIT 5"))
+def q_preview_top5(spark, sf):
+    return clean(spark, sf).orderBy("customer_id").limit(5)
+
+
+@register("count_by_country", S.with_clean(
+    "SELECT country, CAST(count(*) AS BIGINT) AS count FROM clean GROUP BY country"))
+def q_count_by_country(spark, sf):
+    return clean(spark, sf).groupBy("country").agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("impute_mean", S.with_clean(
+    "SELECT customer_id, ROUND(coalesce(amount, (SELECT avg(amount) FROM clean)), 6) AS amount FROM clean"))
+def q_impute_mean(spark, sf):
+    return rounded(V.impute_mean(clean(spark, sf).select("customer_id", "amount"), ["amount"]))
+
+
+@register("binary_metrics", """
+WITH m AS (SELECT count(*) FILTER (WHERE toxic = 1 AND quality = 0) AS tp, count(*) FILTER (WHERE toxic = 0 AND quality = 0) AS fp,
+                  count(*) FILTER (WHERE toxic = 1 AND quality <> 0) AS fn, count(*) FILTER (WHERE toxic = 0 AND quality <> 0) AS tn
+           FROM labels),
+p AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0.0) AS recall FROM m)
+SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn,
+       ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall,
+       ROUND(coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0), 6) AS f1 FROM p""")
+def q_binary_metrics(spark, sf):
+    lab = table(spark, sf, "labels").withColumn("low_quality", (F.col("quality") == 0).cast("int"))
+    return rounded(V.binary_metrics(lab, "toxic", "low_quality"))
+
+
+@register("anomaly_summary", """
+WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS q2, quantile_cont(value, 0.75) AS q3 FROM events)
+SELECT CAST(count(*) AS BIGINT) AS rows,
+       CAST(count(*) FILTER (WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS anomalies_found,
+       ROUND(avg(abs(value - q2) / nullif(q3 - q1, 0)), 6) AS mean_score
+FROM events, q""")
+def q_anomaly_summary(spark, sf):
+    ev = table(spark, sf, "events")
+    qm = P.quantile_map(ev, ["value"], [0.25, 0.5, 0.75])
+    q1, q2, q3 = qm[("value", 0.25)], qm[("value", 0.5)], qm[("value", 0.75)]
+    lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    scored = ev.select(((F.col("value") < lo) | (F.col("value") > hi)).alias("is_anomaly"),
+                       F.try_divide(F.abs(F.col("value") - F.lit(q2)), F.lit(q3 - q1)).alias("anomaly_score"))
+    return rounded(V.anomaly_summary(scored))
+
+
+# ---------------------------------------------------------------- validation rules and corrections
+
+_RANGE_RULES = [("l_quantity", 1.0, 48.0), ("l_discount", 0.0, 0.09)]
+
+
+@register("rule_range", S.union_all(
+    f"SELECT l_orderkey, l_linenumber, 'range_{c}' AS rule, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value "
+    f"FROM lineitem WHERE {c} < {lo} OR {c} > {hi}" for c, lo, hi in _RANGE_RULES))
+def q_rule_range(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return V.violations(li, [V.range_rule(c, lo, hi) for c, lo, hi in _RANGE_RULES], ["l_orderkey", "l_linenumber"])
+
+
+@register("rule_date_order", """
+SELECT l.l_orderkey, l.l_linenumber, CAST(o.o_orderdate AS DATE) AS order_date, CAST(l.l_shipdate AS DATE) AS ship_date
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_shipdate < o.o_orderdate""")
+def q_rule_date_order(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("ship_date"),
+                                            F.col("l_shipdate"))
+    od = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    j = li.join(od, "l_orderkey")
+    r = V.order_rule("o_orderdate", "l_shipdate", "ship_before_order")
+    return j.where(r.condition).select("l_orderkey", "l_linenumber", F.col("o_orderdate").cast("date").alias("order_date"),
+                                       "ship_date")
+
+
+@register("rule_duplicate_key", "WITH raw AS (" + S.RAW + ") SELECT regexp_replace(CAST(customer_id AS VARCHAR), "
+          "'(?i)_bis$', '') AS base_key, CAST(count(*) AS BIGINT) AS rows FROM raw GROUP BY 1 HAVING count(*) > 1")
+def q_rule_duplicate_key(spark, sf):
+    return V.duplicate_keys(raw(spark, sf), "customer_id").withColumn("rows", F.col("rows").cast("bigint"))
+
+
+def _at_emails(df):
+    """Derived input for V5: every 11th e-mail written with ``AT`` for ``@``."""
+    return df.select("customer_id", F.when(F.col("customer_id") % 11 == 0, F.regexp_replace("email", "@", "AT"))
+                     .otherwise(F.col("email")).alias("email"))
+
+
+@register("repair_email", S.with_clean(
+    f"""SELECT customer_id, email AS raw_email, coalesce({S.clean_email('email')},
+       CASE WHEN NOT {S.valid_email('email')} AND length({S.strip('email')}) - length(replace({S.strip('email')}, 'AT', '')) = 2
+                 AND regexp_matches({S.strip('email')}, '^[^@]+AT[^@]+\\.[^@]+$')
+                 AND {S.valid_email(f"replace({S.strip('email')}, 'AT', '@')")}
+            THEN lower(replace({S.strip('email')}, 'AT', '@')) END) AS email_repaired
+FROM (SELECT customer_id, CASE WHEN customer_id % 11 = 0 THEN replace(email, '@', 'AT') ELSE email END AS email FROM raw)"""))
+def q_repair_email(spark, sf):
+    e = _at_emails(raw(spark, sf))
+    return V.email_repairs(e).select("customer_id", F.col("email").alias("raw_email"), "email_repaired")
+
+
+_COUNTRY_NAMES = {"tn": "Tunisia", "fr": "France"}
+
+
+@register("fold_categories", S.with_clean(
+    f"SELECT customer_id, country AS raw_country, {S.norm_text('country')} AS country_folded, "
+    f"CASE {S.norm_text('country')} WHEN 'tn' THEN 'Tunisia' WHEN 'fr' THEN 'France' END AS country_canonical FROM raw"))
+def q_fold_categories(spark, sf):
+    r = raw(spark, sf).select("customer_id", F.col("country").alias("raw_country"))
+    return V.fold_categories(r, "raw_country", _COUNTRY_NAMES, out="country_folded") \
+            .withColumnRenamed("raw_country_canonical", "country_canonical")
+
+
+def _line_rules():
+    return [V.range_rule(c, lo, hi) for c, lo, hi in _RANGE_RULES] + [V.not_null_rule("l_shipdate"),
+                                                                    V.range_rule("l_tax", 0.0, 0.08)]
+
+
+@register("validate_rules", """
+SELECT rule, CAST(rows_checked AS BIGINT) AS rows_checked, CAST(violations AS BIGINT) AS violations, violations = 0 AS passed FROM (
+  SELECT 'range_l_quantity' AS rule, count(*) AS rows_checked, count(*) FILTER (WHERE l_quantity < 1.0 OR l_quantity > 48.0) AS violations FROM lineitem
+  UNION ALL SELECT 'range_l_discount', count(*), count(*) FILTER (WHERE l_discount < 0.0 OR l_discount > 0.09) FROM lineitem
+  UNION ALL SELECT 'not_null_l_shipdate', count(*), count(*) FILTER (WHERE l_shipdate IS NULL) FROM lineitem
+  UNION ALL SELECT 'range_l_tax', count(*), count(*) FILTER (WHERE l_tax < 0.0 OR l_tax > 0.08) FROM lineitem) t""")
+def q_validate_rules(spark, sf):
+    return V.rule_summary(table(spark, sf, "lineitem"), _line_rules())
+
+
+@register("before_after", S.with_clean("""
+SELECT 'before' AS stage, CAST(count(*) AS BIGINT) AS rows,
+       ROUND(1.0 * (count(customer_id) + count(name) + count(email) + count(phone) + count(city) + count(country)
+             + count(signup_date) + count(amount)) / (8 * count(*)), 6) AS completeness,
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_nt)) AS BIGINT) AS exact_copies
+FROM raw_nt
+UNION ALL
+SELECT 'after', CAST(count(*) AS BIGINT),
+       ROUND(1.0 * (count(customer_id) + count(name) + count(email) + count(phone) + count(city) + count(country)
+             + count(signup_date) + count(amount)) / (8 * count(*)), 6),
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM clean)) AS BIGINT) FROM clean"""))
+def q_before_after(spark, sf):
+    from ..operators import quality as Q
+    r = R.apply_null_tokens(raw(spark, sf))
+    return rounded(Q.before_after(r, clean(spark, sf)))
+
+
+def _cleaned_exprs():
+    return {"name": normalize_text("name"), "email": clean_email("email"), "phone": normalize_phone("phone"),
+            "city": normalize_text("city"), "country": normalize_text("country"),
+            "signup_date": parse_date("signup_date").cast("string"), "amount": coerce_number("amount")}
+
+
+@register("correction_log", S.with_clean(
+    "SELECT customer_id, \"column\", before, after FROM (" + S.union_all(
+        f"SELECT customer_id, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS before, CAST({e} AS VARCHAR) AS after FROM raw_nt"
+        for c, e in [("name", S.norm_text("name")), ("email", S.clean_email("email")), ("phone", S.norm_phone("phone")),
+                     ("city", S.norm_text("city")), ("country", S.norm_text("country")),
+                     ("signup_date", S.parse_date("signup_date")), ("amount", S.number("amount"))]) +
+    ") t WHERE before IS DISTINCT FROM after"))
+def q_correction_log(spark, sf):
+    r = R.apply_null_tokens(raw(spark, sf))
+    return V.correction_log(r, _cleaned_exprs(), "customer_id")
+
+
+@register("histogram", """
+WITH b AS (SELECT min(l_extendedprice) AS mn, max(l_extendedprice) AS mx FROM lineitem),
+x AS (SELECT CASE WHEN l_extendedprice IS NULL THEN 0
+                  ELSE least(CAST(floor((l_extendedprice - mn) / (mx - mn) * 10) AS INTEGER) + 1, 10) END AS bin, mn, mx
+      FROM lineitem, b)
+SELECT bin, ROUND(CASE WHEN bin > 0 THEN mn + (bin - 1) * ((mx - mn) / 10) END, 6) AS lower,
+       ROUND(CASE WHEN bin > 0 THEN CASE WHEN bin = 10 THEN mx ELSE mn + bin * ((mx - mn) / 10) END END, 6) AS upper,
+       CAST(count(*) AS BIGINT) AS count
+FROM x GROUP BY bin, mn, mx""")
+def q_histogram(spark, sf):
+    return rounded(V.histogram(table(spark, sf, "lineitem"), "l_extendedprice", 10))
+
+
+@register("clip_outliers", """
+WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)
+SELECT event_id, ROUND(value, 6) AS value,
+       ROUND(least(greatest(value, q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1)), 6) AS value_corrected
+FROM events, q""")
+def q_clip_outliers(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", "value")
+    return rounded(V.clip_outliers(ev, ["value"]))
+
+
+@register("enrich_lookup", """
+SELECT c.c_custkey, n.n_name, r.r_name FROM customer c
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
+def q_enrich_lookup(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region")
+    nr = V.lookup_join(n, r, n["n_regionkey"] == r["r_regionkey"]).select("n_nationkey", "n_name", "r_name")
+    return V.lookup_join(c, nr, c["c_nationkey"] == nr["n_nationkey"]).select("c_custkey", "n_name", "r_name")
