@@ -718,3 +718,35 @@ def q_enrich_lookup(spark, sf):
     r = table(spark, sf, "region")
     nr = V.lookup_join(n, r, n["n_regionkey"] == r["r_regionkey"]).select("n_nationkey", "n_name", "r_name")
     return V.lookup_join(c, nr, c["c_nationkey"] == nr["n_nationkey"]).select("c_custkey", "n_name", "r_name")
+
+
+# ---------------------------------------------------------------- streaming (ST-a, ST-d)
+from ..streaming import stream as ST  # noqa: E402
+
+
+@register("stream_clean", S.with_clean(
+    "SELECT * FROM cleaned WHERE NOT (name IS NULL AND email IS NULL AND phone IS NULL AND city IS NULL "
+    "AND country IS NULL AND signup_date IS NULL AND amount IS NULL)"))
+def q_stream_clean(spark, sf):
+    """ST-a: the raw rows replayed as a Parquet file stream, cleaned per micro-batch, written to files."""
+    r = raw(spark, sf)
+    src = ST.stage_as_files(spark, r, "raw-customers")
+    out = ST.run_to_files(spark, ST.clean_stream(ST.read_stream(spark, src, r, max_files=2)), "clean-stream")
+    return spark.read.parquet(out)
+
+
+@register("stream_quality_windows", """
+SELECT CAST(date_trunc('day', ts) AS DATE) AS window_start, CAST(count(*) AS BIGINT) AS rows,
+       CAST(count(*) FILTER (WHERE value IS NULL) AS BIGINT) AS missing,
+       CAST(count(*) FILTER (WHERE value < 0) AS BIGINT) AS negative, ROUND(sum(value), 6) AS value_sum
+FROM events GROUP BY 1""")
+def q_stream_quality_windows(spark, sf):
+    """ST-d: daily tumbling-window counters over the events stream."""
+    ev = table(spark, sf, "events").select("ts", "value")
+    src = ST.stage_as_files(spark, ev, "events")
+    agg = ST.quality_counters(ST.read_stream(spark, src, ev, max_files=2), "ts", "value")
+    out = ST.run_to_files(spark, agg, "event-windows", output_mode="complete")
+    res = spark.read.parquet(out)
+    return rounded(res.select(F.col("window_start").cast("date").alias("window_start"),
+                              F.col("rows").cast("bigint").alias("rows"), F.col("missing").cast("bigint").alias("missing"),
+                              F.col("negative").cast("bigint").alias("negative"), "value_sum"))
