@@ -58,5 +58,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Without one, fall back to a replicated MEMORY_AND_DISK persist (recomputed from lineage if lost).
     """
     if checkpoint_dir(df.sparkSession) is not None:
-        return df.checkpoint(eager=True)
+        # persist first: the checkpoint write then reads the cached blocks instead of recomputing the plan
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = cached.checkpoint(eager=True)
+        cached.unpersist(blocking=False)
+        return out
     return df.persist(StorageLevel.MEMORY_AND_DISK_2)

@@ -75,8 +75,9 @@ def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def narrow_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The narrow-vocabulary variant (persisted like ``dirty_customers``)."""
     return spark.sql(NARROW_CUSTOMERS_SQL, customer=load(spark, sf_dir, "customer"),
-                     nation=load(spark, sf_dir, "nation"))
+                     nation=load(spark, sf_dir, "nation")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def oracle_sql_text(template: str) -> str:
