@@ -169,3 +169,75 @@ def run_report(raw: DataFrame, clean: DataFrame, pairs: DataFrame, dropped: Data
              "final_rows"]
     return u.agg(*[F.coalesce(F.max(F.when(F.col("n") == n, F.col("v"))), F.lit(0)).cast("bigint").alias(n)
                    for n in names])
+
+
+# ---------------------------------------------------------------- P2 train, P3 run with stored models, P4 profile
+
+@dataclass
+class TrainResult:
+    dedup_model: PipelineModel | None
+    anomaly_model: AN.IsolationForestModel | None
+    report: DataFrame
+
+
+def train_models(raw: DataFrame, dedup_path: str | None = None, anomaly_path: str | None = None,
+                 num_trees: int = 100, seed: int = 42) -> TrainResult:
+    """Clean -> pair features -> pair forest (D5); clean -> isolation forest (M1); both saved when paths are
+    given (S12). The cleaned frame is materialised once and feeds both fits."""
+    clean = cut_lineage(C.clean_customers(raw))
+    t = PR.triples(clean, KEY)
+    feats = cut_lineage(PR.triple_pair_features(t, PR.candidate_pairs(t)))
+    dedup_model = DD.train_dedup_model(feats, num_trees=num_trees, seed=seed)
+    anomaly_model = AN.train(clean, KEY, seed=seed)
+    if dedup_model is not None and dedup_path:
+        DD.save_model(dedup_model, dedup_path)
+    if anomaly_model is not None and anomaly_path:
+        anomaly_model.save(clean.sparkSession, anomaly_path)
+    report = feats.agg(F.count(F.lit(1)).cast("bigint").alias("training_pairs"),
+                       F.count_if(F.col("avg_sim") > DD.RULE_THRESHOLD).cast("bigint").alias("positive_pairs")) \
+        .select("*", F.lit(dedup_model is not None).alias("dedup_model"),
+                F.lit(anomaly_model is not None).alias("anomaly_model"),
+                F.lit(DD.model_classes(dedup_model) if dedup_model is not None else 0).alias("dedup_classes"))
+    return TrainResult(dedup_model, anomaly_model, report)
+
+
+def run(raw: DataFrame, dedup_path: str | None = None, anomaly_path: str | None = None,
+        threshold: float = DD.MODEL_THRESHOLD) -> RunResult:
+    """Clean -> duplicate pairs (stored forest, or the rule when no model is stored) -> drop later members ->
+    anomaly score (stored isolation forest, or the IQR flag when none) -> report. Only a missing model falls back;
+    any other failure surfaces (X7)."""
+    spark = raw.sparkSession
+    dedup_model = DD.load_model(spark, dedup_path) if dedup_path else None
+    anomaly_model = AN.IsolationForestModel.load(spark, anomaly_path) if anomaly_path else None
+    if dedup_model is None:
+        return run_rule(raw, anomaly_model)
+    clean = cut_lineage(C.clean_customers(raw))
+    t = PR.triples(clean, KEY)
+    feats = PR.triple_pair_features(t, PR.candidate_pairs(t))
+    dup_t = DD.predict_pairs(feats, dedup_model, threshold).select("tid_i", "tid_j")
+    copies = DD.copies_predicted_duplicate(dedup_model, threshold)
+    dropped = DD.dropped_rows(clean, dup_t, KEY, copies, t)
+    deduped = DD.drop_later_duplicates(clean, dropped, KEY)
+    if anomaly_model is None:
+        final = P.iqr_flag(deduped, flag="_o").withColumn("is_anomaly", F.col("_o").cast("int")).drop("_o")
+    else:
+        final = AN.score(deduped, anomaly_model)
+    pairs = dup_t.withColumnRenamed("tid_i", "row_i").withColumnRenamed("tid_j", "row_j")
+    if copies:
+        pairs = pairs.unionByName(PR.copy_edges(clean, t, KEY).select("row_i", "row_j"))
+    return RunResult(clean, pairs, dropped, final, run_report(raw, clean, pairs, dropped, final))
+
+
+def profiling(df: DataFrame, exact: bool = True) -> dict[str, DataFrame]:
+    """The full profile of a table as named report frames."""
+    num = P.numeric_columns(df)
+    out = {"general": P.profile_table(df), "columns": P.profile_columns(df, exact),
+           "missing_values": P.missing_values(df), "duplicates": P.exact_duplicates(df),
+           "quality": P.quality_score(df, exact)}
+    if num:
+        out.update({"numeric": P.numeric_profile(df, num, exact), "outliers": P.iqr_outliers(df, num, exact=exact),
+                    "normality": P.normality_jb(df, num), "correlations": P.correlations(df, num, 0.7)})
+    cat = P.categorical_columns(df)
+    if cat:
+        out["categorical"] = P.categorical_profile(df, cat)
+    return out

@@ -52,15 +52,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` so later stages do not recompute (and do not lose) it.
+    """Materialise ``df`` so later plans start from a leaf: no recomputation, no re-analysis of its lineage.
 
-    Reliable checkpoint into the configured shared folder when one exists: it survives executor loss.
-    Without one, fall back to a replicated MEMORY_AND_DISK persist (recomputed from lineage if lost).
+    1. a shared checkpoint folder is configured: reliable checkpoint there (persisted first, so the write reads
+       cached blocks); it survives executor loss;
+    2. a local master without one (tests, a laptop): write Parquet to a local scratch folder and read it back;
+    3. a cluster without one: persist with two replicas (never a machine-local folder on a cluster).
     """
-    if checkpoint_dir(df.sparkSession) is not None:
-        # persist first: the checkpoint write then reads the cached blocks instead of recomputing the plan
+    spark = df.sparkSession
+    if checkpoint_dir(spark) is not None:
         cached = df.persist(StorageLevel.MEMORY_AND_DISK)
         out = cached.checkpoint(eager=True)
         cached.unpersist(blocking=False)
         return out
+    if spark.sparkContext.master.startswith("local"):
+        path = os.path.join(tempfile.mkdtemp(prefix="cleanspark-cut-"), "t")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     return df.persist(StorageLevel.MEMORY_AND_DISK_2)

@@ -8,9 +8,10 @@ upper-case e-mails and names. The work grows with ``customer``.
 """
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import cut_lineage
+
 DIRTY_CUSTOMERS_SQL = """
 WITH base AS (
   SELECT c.c_custkey AS k, c.c_acctbal AS bal, n.n_name AS nat,
@@ -68,16 +69,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw dirty customer rows: ``customer_id`` bigint, seven string columns.
 
-    Persisted: it stands in for a file source, and generating it in the same stage as the cleaning expressions
-    would inline its CASE expressions into every cleaning reference. Identical plans share one cache entry."""
-    return spark.sql(DIRTY_CUSTOMERS_SQL, customer=load(spark, sf_dir, "customer"),
-                     nation=load(spark, sf_dir, "nation")).persist(StorageLevel.MEMORY_AND_DISK)
+    Materialised (``cut_lineage``): it stands in for a file source. Left as a plan, its CTEs would be re-analysed
+    for every reference in a pairing plan and its CASE expressions inlined into every cleaning expression."""
+    return cut_lineage(spark.sql(DIRTY_CUSTOMERS_SQL, customer=load(spark, sf_dir, "customer"),
+                                 nation=load(spark, sf_dir, "nation")))
 
 
 def narrow_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The narrow-vocabulary variant (persisted like ``dirty_customers``)."""
-    return spark.sql(NARROW_CUSTOMERS_SQL, customer=load(spark, sf_dir, "customer"),
-                     nation=load(spark, sf_dir, "nation")).persist(StorageLevel.MEMORY_AND_DISK)
+    """The narrow-vocabulary variant (materialised like ``dirty_customers``)."""
+    return cut_lineage(spark.sql(NARROW_CUSTOMERS_SQL, customer=load(spark, sf_dir, "customer"),
+                                 nation=load(spark, sf_dir, "nation")))
 
 
 def oracle_sql_text(template: str) -> str:

@@ -84,3 +84,8 @@ def verify_counts(tables: Mapping[str, DataFrame], flag: str = "is_anomaly") ->
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def stamp(report: DataFrame, input_path: str | None = None) -> DataFrame:
+    """Run timestamp and input path on a report (kept out of the oracle-checked queries)."""
+    return report.select(F.current_timestamp().alias("generated_at"), F.lit(input_path).alias("input_path"), "*")

@@ -134,3 +134,29 @@ def test_stream_dedup_and_windows(spark):
     w = ST.run_to_files(spark, ST.quality_counters(ST.read_stream(spark, src2, ntz), "ts", "value"), "t-win",
                         output_mode="complete")
     assert spark.read.parquet(w).agg(F.sum("rows")).collect()[0][0] == ntz.count()
+
+
+def test_train_then_run_with_stored_models(spark):
+    from cleanspark.plans import flows as FL
+    raw = FX.narrow_customers(spark, SF001)
+    base = tempfile.mkdtemp(prefix="models-")
+    tr = FL.train_models(raw, f"{base}/dedup", f"{base}/iforest", num_trees=10)
+    rep = tr.report.collect()[0]
+    assert rep["training_pairs"] > 0 and rep["dedup_model"] and rep["anomaly_model"]
+    res = FL.run(raw, f"{base}/dedup", f"{base}/iforest")
+    final = res.final
+    assert {"anomaly_score", "is_anomaly"} <= set(final.columns)
+    r = res.report.collect()[0]
+    assert r["final_rows"] == r["rows_clean"] - r["rows_dropped"]
+    # a missing model falls back to the rule and the IQR flag
+    fb = FL.run(raw, f"{base}/none", f"{base}/none2").report.collect()[0]
+    rule = FL.run_rule(raw).report.collect()[0]
+    assert fb == rule
+
+
+def test_profiling_flow_and_stamp(spark, dirty_clean):
+    from cleanspark.plans import flows as FL
+    rep = FL.profiling(dirty_clean)
+    assert {"general", "columns", "numeric", "outliers", "normality", "quality"} <= set(rep)
+    stamped = SK.stamp(rep["quality"], "/data/customers.csv")
+    assert stamped.columns[:2] == ["generated_at", "input_path"] and stamped.count() == 1
