@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.similarity import indel_ratio, token_set_ratio, tokens
+from ..session import cut_lineage
 
 COMPARED = ("name", "email", "phone")
 DEFAULT_KEYS = ("email", "phone8", "name_sorted")
@@ -38,9 +39,13 @@ def eligible(df: DataFrame, fields: Sequence[str] = COMPARED) -> DataFrame:
     return df.where(cond)
 
 
-def triples(df: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Distinct compared triples: ``(tid, name, email, phone, copies)``; ``tid`` = smallest row key."""
-    return eligible(df).groupBy(*COMPARED).agg(F.min(key).alias("tid"), F.count(F.lit(1)).alias("copies"))
+def triples(df: DataFrame, key: str = "customer_id", materialize: bool = True) -> DataFrame:
+    """Distinct compared triples: ``(tid, name, email, phone, copies)``; ``tid`` = smallest row key.
+
+    Materialised by default (``cut_lineage``): block keys, both sides of the salted join, the value joins of the
+    pair features and the membership join all read it."""
+    t = eligible(df).groupBy(*COMPARED).agg(F.min(key).alias("tid"), F.count(F.lit(1)).alias("copies"))
+    return cut_lineage(t) if materialize else t
 
 
 def membership(df: DataFrame, t: DataFrame, key: str = "customer_id") -> DataFrame:

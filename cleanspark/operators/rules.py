@@ -29,17 +29,17 @@ class Rule:
 def range_rule(column: str, lo: float | None = None, hi: float | None = None, name: str | None = None) -> Rule:
     """V2: violation when the value is outside ``[lo, hi]``; null passes."""
     x = F.col(column)
-    cond = F.lit(False)
-    if lo is not None:
-        cond = cond | (x < F.lit(lo))
-    if hi is not None:
-        cond = cond | (x > F.lit(hi))
-    return Rule(name or f"range_{column}", column, F.coalesce(cond, F.lit(False)))
+    parts = ([x < F.lit(lo)] if lo is not None else []) + ([x > F.lit(hi)] if hi is not None else [])
+    cond = parts[0] if parts else F.lit(False)
+    for p in parts[1:]:
+        cond = cond | p
+    # a null comparison is not a violation; no coalesce, so the predicate stays pushable to the scan
+    return Rule(name or f"range_{column}", column, cond)
 
 
 def order_rule(earlier: str, later: str, name: str | None = None) -> Rule:
     """V3: violation when both dates are present and ``later < earlier``."""
-    cond = F.coalesce(F.col(later) < F.col(earlier), F.lit(False))
+    cond = F.col(later) < F.col(earlier)
     return Rule(name or f"order_{earlier}_{later}", later, cond)
 
 
@@ -48,7 +48,14 @@ def not_null_rule(column: str) -> Rule:
 
 
 def violations(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
-    """V8 long table: one row per (row, failed rule) with the offending value as text."""
+    """V8 long table: one row per (row, failed rule) with the offending value as text.
+
+    The OR of the rule conditions filters first, so simple comparisons reach the Parquet scan as pushed filters
+    (row groups whose statistics rule out every violation are skipped)."""
+    any_violation = rules[0].condition
+    for r in rules[1:]:
+        any_violation = any_violation | r.condition
+    df = df.where(any_violation)
     arr = F.array(*[F.when(r.condition, F.struct(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"),
                                                  F.col(r.column).cast("string").alias("value")))
                     for r in rules])
