@@ -74,7 +74,6 @@ def clean_report(raw: DataFrame, year_first_order: str = "ymd") -> DataFrame:
     groups gives both the pre-drop counters and the distinct count: a single shuffle.
     """
     cleaned = clean_columns(raw, year_first_order)
-    nonempty = F.coalesce(*[F.col(c).isNotNull() for c in CONTENT_COLUMNS], F.lit(False))
     groups = cleaned.groupBy(*[F.col(f"`{c}`") for c in cleaned.columns]).agg(F.count(F.lit(1)).alias("_n"))
     g = groups.withColumn("_keep", F.greatest(*[F.col(c).isNotNull() for c in CONTENT_COLUMNS]))
 

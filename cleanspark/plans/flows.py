@@ -57,11 +57,6 @@ def negative_rows(df: DataFrame) -> DataFrame:
     return df.where(cond)
 
 
-def _metrics(flow: str, rows_processed, rows_final, duplicates, anomalies) -> list:
-    return [F.lit(flow).alias("flow"), rows_processed.alias("rows_processed"), rows_final.alias("rows_final"),
-            duplicates.alias("duplicates_found"), anomalies.alias("anomalies_found")]
-
-
 def _one_row(parts: list[DataFrame], flow: str) -> DataFrame:
     """Union of ``(name, value)`` frames -> one row with a column per name."""
     u = parts[0]
