@@ -160,3 +160,14 @@ def test_profiling_flow_and_stamp(spark, dirty_clean):
     assert {"general", "columns", "numeric", "outliers", "normality", "quality"} <= set(rep)
     stamped = SK.stamp(rep["quality"], "/data/customers.csv")
     assert stamped.columns[:2] == ["generated_at", "input_path"] and stamped.count() == 1
+
+
+def test_stream_scoring_equals_batch(spark, dirty_clean):
+    model = AN.train(dirty_clean, "customer_id", n_trees=10)
+    src = ST.stage_as_files(spark, dirty_clean.repartition(2), "t-score")
+    out = ST.run_to_files(spark, ST.score_stream(ST.read_stream(spark, src, dirty_clean, max_files=1), model),
+                          "t-scored")
+    streamed = {r["customer_id"]: r["anomaly_score"] for r in spark.read.parquet(out).collect()}
+    batch = {r["customer_id"]: r["anomaly_score"] for r in AN.score(dirty_clean, model).collect()}
+    assert streamed.keys() == batch.keys()
+    assert all(abs(streamed[k] - batch[k]) < 1e-12 for k in batch)
