@@ -30,6 +30,9 @@ COMPARED = ("name", "email", "phone")
 DEFAULT_KEYS = ("email", "phone8", "name_sorted")
 SALT_ROWS = 2_000
 MAX_SALT = 512
+# MinHash LSH keys (opt-in): character 3-grams, LSH_BANDS bands of LSH_ROWS hashes each.
+LSH_BANDS = 6
+LSH_ROWS = 2
 
 
 def eligible(df: DataFrame, fields: Sequence[str] = COMPARED) -> DataFrame:
@@ -64,6 +67,9 @@ def _key_structs(keys: Sequence[str]):
         elif k == "name_sorted":
             out.append(F.array(F.struct(F.lit("name_sorted").alias("kind"),
                                         F.array_join(F.array_sort(tokens("name")), " ").alias("key"))))
+        elif k in ("email_lsh", "name_lsh"):
+            text = F.substring_index(F.col("email"), "@", 1) if k == "email_lsh" else F.col("name")
+            out.append(_lsh_keys(text, k))
         elif k == "name_token":
             out.append(F.transform(tokens("name"),
                                    lambda t: F.struct(F.lit("name_token").alias("kind"), t.alias("key"))))
@@ -72,6 +78,19 @@ def _key_structs(keys: Sequence[str]):
     return out
 
 
+def _lsh_keys(text, kind: str):
+    """MinHash bands over the character 3-grams of ``text``: similar strings share a band with high probability
+    (``1 - (1 - J^r)^b`` for 3-gram Jaccard ``J``)."""
+    n = F.greatest(F.length(text) - 2, F.lit(1))
+    grams = F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(text, i, F.lit(3)))
+    mins = [F.array_min(F.transform(grams, lambda g, s=s: F.xxhash64(g, F.lit(s))))
+            for s in range(LSH_BANDS * LSH_ROWS)]
+    bands = [F.struct(F.lit(kind).alias("kind"),
+                      F.concat_ws(":", F.lit(b), *[mins[b * LSH_ROWS + r].cast("string") for r in range(LSH_ROWS)])
+                      .alias("key")) for b in range(LSH_BANDS)]
+    return F.array(*bands)
+
+
 def block_keys(t: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
     """``(tid, kind, key)``: one row per block key of each distinct triple."""
     ks = _key_structs(keys)

@@ -92,3 +92,14 @@ def test_hot_block_is_split_and_reported(spark):
     full = PR.candidate_pairs(t).count()
     capped = PR.candidate_pairs(t, max_block=10).count()
     assert full == 60 * 59 // 2 and capped < full
+
+
+def test_lsh_keys_only_add_candidates(spark):
+    clean = C.clean_customers(FX.narrow_customers(spark, SF001)).cache()
+    t = PR.triples(clean)
+    base = {tuple(r) for r in PR.candidate_pairs(t).collect()}
+    more = {tuple(r) for r in PR.candidate_pairs(t, PR.DEFAULT_KEYS + ("email_lsh", "name_lsh")).collect()}
+    assert base < more
+    _, d0, _ = DD.dedup_rule(clean)
+    _, d1, _ = DD.dedup_rule(clean, keys=PR.DEFAULT_KEYS + ("email_lsh", "name_lsh"))
+    assert {r[0] for r in d0.collect()} <= {r[0] for r in d1.collect()}
