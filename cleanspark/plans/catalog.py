@@ -427,10 +427,12 @@ _SMART = ("smart AS (SELECT 'smart' AS flow, CAST((SELECT count(*) FROM raw) AS
           "CAST((SELECT count(*) FROM raw) - (SELECT count(*) FROM clean) AS BIGINT) AS rows_removed)")
 
 
-@register("classic_flow", S.with_clean("").rstrip() + ",\n" + _CLASSIC + "\nSELECT * FROM classic")
+@register("classic_flow", S.with_clean("").rstrip() + ",\n" + _CLASSIC + "\nSELECT *, "
+          "CAST((SELECT count(*) FROM raw_nt) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_nt)) AS BIGINT) "
+          "AS exact_copies_removed, CAST((SELECT count(*) FROM (SELECT DISTINCT * FROM raw_nt)) - rows_final AS BIGINT) "
+          "AS null_rows_removed FROM classic")
 def q_classic_flow(spark, sf):
-    return FL.classic_flow(raw(spark, sf)).select(
-        "flow", "rows_processed", "rows_final", "duplicates_found", "anomalies_found", "rows_removed")
+    return FL.classic_flow(raw(spark, sf))
 
 
 @register("smart_flow", S.with_pairs("").rstrip() + ",\n" + _qb("clean") + ",\n" + _SMART + "\nSELECT * FROM smart")

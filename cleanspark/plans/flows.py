@@ -77,11 +77,24 @@ def classic_flow(raw: DataFrame) -> DataFrame:
     """P5: exact distinct -> drop rows with any null -> rows with a negative numeric value.
     ``duplicates_found`` = rows removed by both steps (as the reference counts it)."""
     typed = infer_types(apply_null_tokens(raw))
-    final = C.drop_any_null(C.distinct_rows(typed))
+    distinct = C.distinct_rows(typed)
+    final = C.drop_any_null(distinct)
     parts = [_count(typed, "rows_processed"), _count(final, "rows_final"), _count(negative_rows(final),
-                                                                                    "anomalies_found")]
-    out = _one_row(parts, "classic")
-    return out.withColumn("duplicates_found", F.col("rows_processed") - F.col("rows_final"))
+                                                                                    "anomalies_found"),
+             _count(distinct, "_distinct")]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    names = ["rows_processed", "rows_final", "anomalies_found", "_distinct"]
+    row = u.agg(*[F.coalesce(F.max(F.when(F.col("name") == n, F.col("value"))), F.lit(0)).cast("bigint").alias(n)
+                  for n in names])
+    # The combined count (as the reference reports it) plus the two separate counters
+    return row.select(
+        F.lit("classic").alias("flow"), "rows_processed", "rows_final",
+        (F.col("rows_processed") - F.col("rows_final")).alias("duplicates_found"), "anomalies_found",
+        (F.col("rows_processed") - F.col("rows_final")).alias("rows_removed"),
+        (F.col("rows_processed") - F.col("_distinct")).alias("exact_copies_removed"),
+        (F.col("_distinct") - F.col("rows_final")).alias("null_rows_removed"))
 
 
 def smart_flow(raw: DataFrame, model: PipelineModel | None = None, threshold: float = DD.MODEL_THRESHOLD) -> DataFrame:

@@ -114,3 +114,14 @@ def test_quantiles_of_empty_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "a double")
     r = exact_quantiles(df, ["a"], [0.5]).collect()[0]
     assert r["value"] is None and not math.isnan(0.0)
+
+
+def test_classic_and_smart_flow_golden(customers7):
+    from cleanspark.plans import flows as FL
+    c = FL.classic_flow(customers7).collect()[0]
+    assert (c["rows_final"], c["duplicates_found"], c["anomalies_found"]) == (5, 2, 0)
+    assert (c["exact_copies_removed"], c["null_rows_removed"]) == (0, 2)
+    s = FL.smart_flow(customers7).collect()[0]
+    assert (s["rows_final"], s["duplicates_found"], s["anomalies_found"]) == (7, 2, 2)
+    cmp = FL.flow_comparison(FL.classic_flow(customers7), FL.smart_flow(customers7)).collect()[0]
+    assert cmp["anomalies_difference"] == 2 and cmp["reasons"] == "smart flow finds 2 more anomalies"
