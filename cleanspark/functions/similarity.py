@@ -18,6 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from .text import _WS_CLASS_BODY
 
 _WORD = 64
@@ -112,6 +113,7 @@ def indel_ratio_from_lcs(lcs: Column, la: Column, lb: Column) -> Column:
 
 def indel_ratio(a, b) -> Column:
     """``2 LCS / (len a + len b)``; null on either side -> 0.0; two empty strings -> 1.0."""
+    ship_package()
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
     la, lb = F.length(a), F.length(b)
@@ -135,6 +137,7 @@ def token_set_ratio(a, b) -> Column:
     ``1 - indel(A, B) / (|I+A| + |I+B|)`` (``I+X`` = ``I`` and ``X`` joined by a space), and when ``I`` is
     non-empty ``1 - (1 + |A|) / (|I| + |I+A|)`` and ``1 - (1 + |B|) / (|I| + |I+B|)``.
     """
+    ship_package()
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
     ta, tb = tokens(a), tokens(b)

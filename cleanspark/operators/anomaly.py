@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from .profile import numeric_columns
 from .quantiles import exact_quantiles
 
@@ -115,6 +116,7 @@ def train(df: DataFrame, key: str, features: Sequence[str] | None = None, n_tree
     features = [c for c in (features or numeric_columns(df)) if c not in exclude]
     if not features:
         return None
+    ship_package(df.sparkSession)
     means = column_means(df, features)
     n = df.count()
     if n == 0:
@@ -170,6 +172,7 @@ def _path_lengths(x: np.ndarray, trees: dict) -> np.ndarray:
 def score(df: DataFrame, model: IsolationForestModel, with_flag: bool = True) -> DataFrame:
     """M2 (+M3): append ``anomaly_score`` (and ``is_anomaly``) to every row."""
     spark = df.sparkSession
+    ship_package(spark)
     trees = {}
     for tid, g in model.trees.groupby("tree"):
         g = g.sort_values("node")

@@ -70,3 +70,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     return df.persist(StorageLevel.MEMORY_AND_DISK_2)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``cleanspark`` importable in the Python workers (Arrow UDFs, grouped functions pickle references to its
+    functions): zip the package once per application and ``addPyFile`` it, as ``--py-files`` would."""
+    import zipfile
+
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import cleanspark
+    root = os.path.dirname(os.path.abspath(cleanspark.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="cleanspark-pkg-"), "cleanspark.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
