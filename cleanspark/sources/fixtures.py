@@ -66,19 +66,29 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+_MATERIALISED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _materialised(spark: SparkSession, sf_dir: str, name: str, template: str) -> DataFrame:
+    """Derive a fixture table once per application and reuse it: it is an input table, like a file on disk."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _MATERIALISED:
+        _MATERIALISED[key] = cut_lineage(spark.sql(template, customer=load(spark, sf_dir, "customer"),
+                                                   nation=load(spark, sf_dir, "nation")))
+    return _MATERIALISED[key]
+
+
 def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw dirty customer rows: ``customer_id`` bigint, seven string columns.
 
     Materialised (``cut_lineage``): it stands in for a file source. Left as a plan, its CTEs would be re-analysed
     for every reference in a pairing plan and its CASE expressions inlined into every cleaning expression."""
-    return cut_lineage(spark.sql(DIRTY_CUSTOMERS_SQL, customer=load(spark, sf_dir, "customer"),
-                                 nation=load(spark, sf_dir, "nation")))
+    return _materialised(spark, sf_dir, "dirty", DIRTY_CUSTOMERS_SQL)
 
 
 def narrow_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The narrow-vocabulary variant (materialised like ``dirty_customers``)."""
-    return cut_lineage(spark.sql(NARROW_CUSTOMERS_SQL, customer=load(spark, sf_dir, "customer"),
-                                 nation=load(spark, sf_dir, "nation")))
+    return _materialised(spark, sf_dir, "narrow", NARROW_CUSTOMERS_SQL)
 
 
 def oracle_sql_text(template: str) -> str:
