@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe
 from .base import table
 from .exact_dedup import exact_groups
 from .line_dedup import line_dedup
@@ -14,6 +15,14 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents")).select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"))
+    decoded = bpe.decode(encoded, keep=("n_tokens", "ids_sha256"))
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
@@ -23,7 +32,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op5_sharding, op7_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_byte_bpe, op5_sharding, op7_line_dedup)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
