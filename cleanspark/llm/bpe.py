@@ -79,7 +79,7 @@ def _char_class(*kinds: str) -> str:
 def splitter(pattern: str):
     """The compiled pattern. ``\\p{L}`` and ``\\p{N}`` become explicit classes, white space Unicode's White_Space, so
     that the standard matcher, the fastest here, can run it."""
-    space = r"\t-\r \x85\xa0  -     　"
+    space = r"\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
     classes = {r"\p{L}": _char_class("L"), r"\p{N}": _char_class("N"), r"\s": space}
     out, inside = [], False
     for part in re.split(r"(\\p\{[LN]\}|\\s|\\S|\[|\])", pattern):
