@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from . import bpe
 from .base import table
+from .decontaminate import contamination
 from .exact_dedup import exact_groups
 from .line_dedup import line_dedup
 from .sharding import shard_documents
@@ -32,7 +33,14 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_byte_bpe, op5_sharding, op7_line_dedup)}
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_byte_bpe, op5_sharding, op7_line_dedup, op8_decontamination)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
@@ -52,4 +60,21 @@ SELECT k.doc_id, count(*) AS n_lines, count(g.key) FILTER (k.doc_id <> g.last_do
        sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.pos)
                        FILTER (g.key IS NULL OR k.doc_id = g.last_doc), '')) AS kept_sha256
 FROM k LEFT JOIN g ON k.key = g.key GROUP BY k.doc_id""",
+    "op8_decontamination": r"""
+WITH dw AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+bw AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bm AS (SELECT item_id, w, least(len(w), 10) AS m FROM bw WHERE len(w) > 0),
+bi AS (SELECT item_id, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM bm),
+win AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS g FROM bi),
+di AS (SELECT doc_id, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM dw, (SELECT DISTINCT m FROM bm) WHERE len(w) >= m),
+occ AS (SELECT doc_id, m, i, item_id FROM (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS g FROM di)
+        JOIN win USING (m, g)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM occ) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM occ) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
 }
