@@ -8,6 +8,7 @@ from . import bpe
 from .base import table
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
+from .language_id import identify
 from .line_dedup import line_dedup
 from .sharding import shard_documents
 
@@ -28,6 +29,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -40,7 +45,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_byte_bpe, op5_sharding, op7_line_dedup, op8_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_byte_bpe, op5_sharding, op6_language_id, op7_line_dedup, op8_decontamination)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
