@@ -11,6 +11,7 @@ from .exact_dedup import exact_groups
 from .language_id import identify
 from .line_dedup import line_dedup
 from .sharding import shard_documents
+from .token_counts import token_counts
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +46,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_byte_bpe, op5_sharding, op6_language_id, op7_line_dedup, op8_decontamination)}
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_byte_bpe, op5_sharding, op6_language_id, op7_line_dedup, op8_decontamination,
+                                  op10_token_counts)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
