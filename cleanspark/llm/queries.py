@@ -10,8 +10,10 @@ from .decontaminate import contamination
 from .exact_dedup import exact_groups
 from .language_id import identify
 from .line_dedup import line_dedup
+from .main_text import extract_pages
 from .sharding import shard_documents
 from .token_counts import token_counts
+from .url_filter import filter_urls
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +28,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
@@ -46,12 +52,16 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_byte_bpe, op5_sharding, op6_language_id, op7_line_dedup, op8_decontamination,
-                                  op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_byte_bpe, op3_url_filter, op5_sharding, op6_language_id, op7_line_dedup,
+                                  op8_decontamination, op9_html_extraction, op10_token_counts)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
