@@ -11,6 +11,7 @@ from .exact_dedup import exact_groups
 from .language_id import identify
 from .line_dedup import line_dedup
 from .main_text import extract_pages
+from .near_dedup import near_classes
 from .sharding import shard_documents
 from .token_counts import token_counts
 from .url_filter import filter_urls
@@ -32,6 +33,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
@@ -60,7 +65,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_byte_bpe, op3_url_filter, op5_sharding, op6_language_id, op7_line_dedup,
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_byte_bpe, op3_url_filter, op4_near_dedup, op5_sharding, op6_language_id, op7_line_dedup,
                                   op8_decontamination, op9_html_extraction, op10_token_counts)}
 
 ORACLE = {
