@@ -186,28 +186,28 @@ def _shipped(df: DataFrame, path: str | None, pattern: str | None):
 
 
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
-           pattern: str | None = None, offsets: bool = False) -> DataFrame:
-    """One row per input row: ``doc_id, ids array<int>`` and, with ``offsets``, ``starts`` and ``ends``, the character
-    span of every token. Null and empty texts have no ids. Special tokens are never produced: their spelling is
+           pattern: str | None = None, offsets: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: ``doc_id``, the columns ``keep``, ``ids array<int>`` and, with ``offsets``, ``starts`` and
+    ``ends``, the character span of every token. Null and empty texts have no ids. Special tokens are never produced: their spelling is
     ordinary text. Rows may repeat; an empty table gives an empty result."""
     ranks, pattern = _shipped(df, path, pattern)
-    rows = df.select(c(id_col).alias("doc_id"), F.coalesce(c(text_col).cast("string"), F.lit("")).alias("text"))
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>" + (
+    rows = df.select(c(id_col).alias("doc_id"), *[c(k) for k in keep], F.coalesce(c(text_col).cast("string"), F.lit("")).alias("text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", ids array<int>" + (
         ", starts array<int>, ends array<int>" if offsets else "")
 
     def run(batches):
         bpe = built(ranks.value, pattern)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(batch.num_columns - 1).to_pylist()
             for a, b in slices([len(t) for t in texts], SLICE_CHARS):
                 packed = bpe.packed(texts[a:b])
                 bounds = pa.array(np.cumsum([0, *(len(p) // 4 for p in packed)]), pa.int32())
                 lists = lambda parts: pa.ListArray.from_arrays(bounds, pa.array(parts, pa.int32()))
-                columns = [batch.column(0).slice(a, b - a), lists(np.frombuffer(b"".join(packed), "<i4"))]
+                columns = [*(x.slice(a, b - a) for x in batch.columns[:-1]), lists(np.frombuffer(b"".join(packed), "<i4"))]
                 if offsets:
                     spans = [bpe.offsets(t, np.frombuffer(p, "<i4")) for t, p in zip(texts[a:b], packed)]
                     columns += [lists(np.concatenate([s[k] for s in spans])) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "starts", "ends"][:len(columns)])
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "ids", "starts", "ends"][:len(columns)])
 
     return rows.mapInArrow(run, schema)
 

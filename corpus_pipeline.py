@@ -2,23 +2,57 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cleanspark.llm import bpe
 from cleanspark.llm.base import table, written
-from cleanspark.llm.exact_dedup import exact_dedup as keep_first_copies
+from cleanspark.llm.decontaminate import decontaminate as without_hits
+from cleanspark.llm.exact_dedup import exact_dedup as first_copies
+from cleanspark.llm.language_id import keep_identified
+from cleanspark.llm.near_dedup import near_dedup as one_of_each_class
+
+#: A document goes when its text has no letter, or when fewer of its letter n-grams than this share (false positives
+#: of the filter taken off) belong to its best language. Mixed and noisy prose scores above 0.6.
+MIN_LANGUAGE_SCORE = 0.2
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in one of the languages learned from ``docs``; all columns as they are."""
+    return keep_identified(docs, MIN_LANGUAGE_SCORE)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (white-space runs as one space) the row with the smallest doc_id stays."""
-    return keep_first_copies(docs)
+    return first_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays, the one with the smallest doc_id."""
+    return one_of_each_class(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark window."""
+    return without_hits(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's token ids, and its text as the ids spell it: ``doc_id, lang, source, text, n_tokens, ids``."""
+    encoded = bpe.encode(docs, keep=("lang", "source"))
+    decoded = bpe.decode(encoded.withColumn("kept_ids", F.col("ids")), keep=("lang", "source", "kept_ids"))
+    return decoded.select("doc_id", "lang", "source", F.col("bytes").cast("string").alias("text"),
+                          F.size("kept_ids").cast("long").alias("n_tokens"), F.col("kept_ids").alias("ids"))
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),
+          ("decontaminate", decontaminate), ("tokenize", tokenize)]
 
-#: Learned language sets, hashed darts and token ids have no SQL form; tests/llm hold brute-force versions.
+#: Learned language filters, hashed darts and token ids have no SQL form; tests/llm hold brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole of ``documents``; the result of the last."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
