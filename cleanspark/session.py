@@ -3,8 +3,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -42,34 +42,24 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is configured (local tests) make a scratch one."""
+    """The shared folder for intermediate tables. A cluster must name one in ``spark.checkpoint.dir``; only a local
+    master without it (tests, a laptop: one machine) gets a scratch folder."""
     found = checkpoint_dir(spark)
     if found:
         return found
-    path = tempfile.mkdtemp(prefix="cleanspark-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cleanspark-ckpt-"))
     return spark.sparkContext.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` so later plans start from a leaf: no recomputation, no re-analysis of its lineage.
-
-    1. a shared checkpoint folder is configured: reliable checkpoint there (persisted first, so the write reads
-       cached blocks); it survives executor loss;
-    2. a local master without one (tests, a laptop): write Parquet to a local scratch folder and read it back;
-    3. a cluster without one: persist with two replicas (never a machine-local folder on a cluster).
-    """
+    """Write ``df`` as Parquet into the shared folder and read it back: later plans start from a leaf with known
+    sizes, nothing is recomputed, and the table survives lost executors."""
     spark = df.sparkSession
-    if checkpoint_dir(spark) is not None:
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out = cached.checkpoint(eager=True)
-        cached.unpersist(blocking=False)
-        return out
-    if spark.sparkContext.master.startswith("local"):
-        path = os.path.join(tempfile.mkdtemp(prefix="cleanspark-cut-"), "t")
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    return df.persist(StorageLevel.MEMORY_AND_DISK_2)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()

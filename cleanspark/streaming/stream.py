@@ -10,7 +10,6 @@ machine-local folder on a cluster and never through the driver.
 """
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,18 +17,12 @@ from pyspark.sql import functions as F
 
 from ..operators import anomaly as AN
 from ..operators import clean as C
-from ..session import checkpoint_dir
+from ..session import ensure_checkpoint_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder for stream output/checkpoints under the cluster's shared checkpoint folder. Only a local
-    master without one configured falls back to a local temporary folder."""
-    base = checkpoint_dir(spark)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder for streaming outputs")
-        base = tempfile.mkdtemp(prefix="cleanspark-stream-")
-    return f"{base.rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+    """A fresh folder for stream output and checkpoints under the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
 
 
 def clean_stream(stream: DataFrame, year_first_order: str = "ymd") -> DataFrame:
