@@ -34,34 +34,74 @@ ROLE_SYNONYMS = {
 }
 
 
+#: The column that holds a text record which does not fit its header, with ``malformed="keep"``.
+REJECT_COLUMN = "_corrupt_record"
+
+
 def read_table(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet",
                columns: Sequence[str] | None = None, **options) -> DataFrame:
     """Read a table. CSV and JSON come in with all columns as string; Parquet/ORC keep their types.
 
     ``columns`` gives the header for header-less text or restricts the schema; with a header CSV and no
-    ``columns`` the header row is read first (one small job) and every column is declared string.
+    ``columns`` the header row of each path is read first (one small job each) and every column is declared string.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if fmt in ("parquet", "orc"):
         df = spark.read.format(fmt).options(**options).load(paths)
         return df.select(*columns) if columns else df
     if fmt == "csv":
-        opts = {"header": "true", "multiLine": "false", "mode": "PERMISSIVE", **options}
-        if columns is None:
-            header = spark.read.options(**{**opts, "inferSchema": "false"}).csv(paths).columns
-            columns = header
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-        # nullValue is a single token; the full token list is applied by ``apply_null_tokens``.
-        return spark.read.options(**opts).schema(schema).csv(paths)
+        return read_csv(spark, paths, columns, **options)
     if fmt == "json":
         if columns is None:
             df = spark.read.options(**options).json(paths)
-            return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+            return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
         return spark.read.options(**options).schema(schema).json(paths)
     return spark.read.format(fmt).options(**options).load(paths)
 
 
+def read_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None, malformed: str = "fail",
+             **options) -> DataFrame:
+    """CSV paths as one table of strings, columns aligned by name.
+
+    Fields may hold quotes (doubled), separators and line breaks. Each path has a header of its own; paths whose headers
+    differ in order or content are read apart and stacked by name (absent columns null), and a file under a path that
+    has another header than the path's first is an error, never read by position. A record with too few or too many
+    fields fails the read (``malformed="fail"``) or stays as a row whose text is in ``_corrupt_record``
+    (``malformed="keep"``, see ``split_rejects``). ``multiLine="false"`` lets Spark split large files that are known to
+    hold no line break inside fields.
+    """
+    if malformed not in ("fail", "keep"):
+        raise ValueError("malformed must be 'fail' or 'keep'")
+    opts = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "enforceSchema": "false",
+            "mode": "FAILFAST" if malformed == "fail" else "PERMISSIVE", "columnNameOfCorruptRecord": REJECT_COLUMN, **options}
+
+    def read(part: Sequence[str], names: Sequence[str]) -> DataFrame:
+        kept = [*names, REJECT_COLUMN] if malformed == "keep" else names
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in kept])
+        # enforceSchema=false also checks the header; a header-less file has none
+        fixed = opts if str(opts["header"]).lower() == "true" else {**opts, "enforceSchema": "true"}
+        return spark.read.options(**fixed).schema(schema).csv(list(part))
+
+    if columns is not None:
+        return read(paths, columns)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for p in paths:
+        header = spark.read.options(**{**opts, "inferSchema": "false", "mode": "PERMISSIVE"}).csv(p).columns
+        by_header.setdefault(tuple(header), []).append(p)
+    frames = [read(part, header) for header, part in by_header.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The well-formed rows, and the rejected records (one text column), of a table read with ``malformed="keep"``."""
+    bad = F.col(REJECT_COLUMN).isNotNull()
+    return df.where(~bad).drop(REJECT_COLUMN), df.where(bad).select(REJECT_COLUMN)
+
+
 def read_many(spark: SparkSession, specs: Iterable[tuple[str, str]], **options) -> DataFrame:
     """V1: several sources of possibly different formats and columns, stacked by name; missing columns null."""
     frames = [read_table(spark, p, fmt, **options) for p, fmt in specs]
@@ -79,15 +119,15 @@ def apply_null_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS,
     token_array = F.array(*[F.lit(t) for t in tokens])
     out = []
     for field in df.schema.fields:
-        c = F.col(field.name)
+        c = F.col(f"`{field.name}`")
         if wanted is not None and field.name not in wanted:
-            out.append(c)
+            out.append(c.alias(field.name))
         elif isinstance(field.dataType, T.StringType):
             out.append(F.when(~F.array_contains(token_array, c), c).alias(field.name))
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             out.append(F.when(~F.isnan(c), c).alias(field.name))
         else:
-            out.append(c)
+            out.append(c.alias(field.name))
     return df.select(*out)
 
 

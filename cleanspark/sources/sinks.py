@@ -41,7 +41,7 @@ def typed_load(df: DataFrame, ddl: Mapping[str, str] = CUSTOMER_DDL) -> DataFram
     out = []
     for c, t in ddl.items():
         if c in df.columns:
-            x = F.col(c)
+            x = F.col(f"`{c}`")
             if t in ("float", "double"):
                 x = F.when(~F.isnan(x.cast("double")), x)
             out.append(x.try_cast(t).alias(c))
@@ -50,6 +50,21 @@ def typed_load(df: DataFrame, ddl: Mapping[str, str] = CUSTOMER_DDL) -> DataFram
     return df.select(*out)
 
 
+def load_rejects(df: DataFrame, key: str, ddl: Mapping[str, str] = CUSTOMER_DDL) -> DataFrame:
+    """The values that ``typed_load`` turns into null because they do not fit the column's type:
+    ``(key, column, value)``, one row each."""
+    cells = []
+    for c, t in ddl.items():
+        if c in df.columns:
+            x = F.col(f"`{c}`")
+            bad = x.isNotNull() & x.try_cast(t).isNull()
+            if t in ("float", "double"):
+                bad = bad & ~F.coalesce(F.isnan(x.try_cast("double")), F.lit(False))
+            cells.append(F.when(bad, F.struct(F.lit(c).alias("column"), x.cast("string").alias("value"))))
+    rejected = df.select(F.col(f"`{key}`").alias("key"), F.explode(F.array_compact(F.array(*cells))).alias("x"))
+    return rejected.select("key", "x.column", "x.value")
+
+
 def length_violations(df: DataFrame, lengths: Mapping[str, int] = TEXT_LENGTHS) -> DataFrame:
     """Text longer than the target column allows: ``(column, violations)``."""
     cols = [c for c in lengths if c in df.columns]
