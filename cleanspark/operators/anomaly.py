@@ -103,16 +103,20 @@ def _impute(df: DataFrame, features: Sequence[str], means: Sequence[float]):
     return out
 
 
-def column_means(df: DataFrame, features: Sequence[str]) -> list[float]:
+def column_means(df: DataFrame, features: Sequence[str], otherwise: Sequence[float] | None = None) -> list[float]:
+    """The mean of each column; of a column without values its entry in ``otherwise``, else 0."""
     row = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(c) for c in features]).collect()[0]
-    return [float(row[c]) if row[c] is not None else 0.0 for c in features]
+    return [float(row[c]) if row[c] is not None else d for c, d in zip(features, otherwise or [0.0] * len(features))]
 
 
 def train(df: DataFrame, key: str, features: Sequence[str] | None = None, n_trees: int = 100,
           max_samples: int = 256, contamination: float = 0.1, seed: int = 42,
           exclude: Sequence[str] = ()) -> IsolationForestModel | None:
     """M1 (+M3 threshold). ``features`` default: every numeric column (the key included, as the reference does),
-    minus ``exclude``. No numeric column -> None."""
+    minus ``exclude``. No numeric column -> None.
+
+    Rows are sampled by a hash of all their columns, so neither a missing nor a repeated key matters and the result does
+    not depend on partitioning. A table of so many equal rows that trees stay without a sample raises an error."""
     features = [c for c in (features or numeric_columns(df)) if c not in exclude]
     if not features:
         return None
@@ -126,8 +130,9 @@ def train(df: DataFrame, key: str, features: Sequence[str] | None = None, n_tree
     pool_share = min(1.0, target * n_trees / n)
     tree_share = min(1.0, target / (n * pool_share))
     scale = float(2 ** 63)
-    h0 = (F.abs(F.xxhash64(F.col(key), F.lit(seed))) / F.lit(scale))
-    pool = df.select(F.col(key).alias("_key"), *_impute(df, features, means)).where(h0 < F.lit(pool_share))
+    identity = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed))
+    pool = df.withColumn("_key", identity).withColumn("_h0", F.abs(F.xxhash64("_key")) / F.lit(scale)) \
+        .where(F.col("_h0") < F.lit(pool_share)).select("_key", *_impute(df, features, means))
     per_tree = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
     ht = F.abs(F.xxhash64(F.col("_key"), F.col("tree"), F.lit(seed + 1))) / F.lit(scale)
     sampled = per_tree.withColumn("_h", ht).where(F.col("_h") < F.lit(tree_share))
@@ -144,10 +149,13 @@ def train(df: DataFrame, key: str, features: Sequence[str] | None = None, n_tree
         return out
 
     trees = sampled.groupBy("tree").applyInPandas(build, TREE_SCHEMA).toPandas()
+    if trees["tree"].nunique() < n_trees:
+        raise ValueError(f"only {trees['tree'].nunique()} of {n_trees} trees got a sample: too many rows are equal")
     model = IsolationForestModel(feats, means, trees, psi, None, contamination)
     # M3: the training frame's score quantile at 1 - contamination
-    scored = score(df, model, with_flag=False)
+    scored = score(df, model, with_flag=False).select("anomaly_score").persist()  # one scoring for all passes
     q = exact_quantiles(scored, ["anomaly_score"], [1.0 - contamination]).collect()[0]["value"]
+    scored.unpersist()
     model.threshold = q
     return model
 
@@ -170,7 +178,13 @@ def _path_lengths(x: np.ndarray, trees: dict) -> np.ndarray:
 
 
 def score(df: DataFrame, model: IsolationForestModel, with_flag: bool = True) -> DataFrame:
-    """M2 (+M3): append ``anomaly_score`` (and ``is_anomaly``) to every row."""
+    """M2 (+M3): append ``anomaly_score`` (and ``is_anomaly``) to every row.
+
+    Missing values become the means of the frame scored (C9); a stream, which has no mean of its own, takes the training
+    means. A frame without the model's columns gets the constant fallback (F9)."""
+    if not set(model.features) <= set(df.columns):
+        return no_numeric_score(df)
+    means = model.means if df.isStreaming else column_means(df, model.features, model.means)
     spark = df.sparkSession
     ship_package(spark)
     trees = {}
@@ -189,7 +203,7 @@ def score(df: DataFrame, model: IsolationForestModel, with_flag: bool = True) ->
         x = np.column_stack([c.to_numpy(dtype=float) for c in cols])
         return pd.Series(np.power(2.0, -_path_lengths(x, bc.value) / cpsi))
 
-    out = df.withColumn("anomaly_score", iforest_score(*_impute(df, model.features, model.means)))
+    out = df.withColumn("anomaly_score", iforest_score(*_impute(df, model.features, means)))
     if with_flag:
         thr = model.threshold if model.threshold is not None else float("inf")
         out = out.withColumn("is_anomaly", (F.col("anomaly_score") > F.lit(thr)).cast("int"))

@@ -335,14 +335,16 @@ def quality_score(df: DataFrame, exact: bool = True) -> DataFrame:
         F.avg("null_percentage").alias("avg_null_percentage"), F.max("dup_pct").alias("duplicate_percentage"),
         F.avg(F.when(F.col("null_percentage").isNotNull(), F.col("outp"))).alias("avg_outlier_percentage"),
         F.sum("abn").cast("bigint").alias("non_normal_columns"))
-    score = (F.lit(100.0)
+    # a table without rows has no percentages and no score (least skips nulls, so it is said here)
+    score = F.when(F.col("duplicate_percentage").isNotNull(), F.lit(100.0)
              - F.least(F.col("avg_null_percentage") * NULL_WEIGHT, F.lit(NULL_CAP))
              - F.least(F.col("duplicate_percentage") * DUP_WEIGHT, F.lit(DUP_CAP))
              - F.least(F.col("avg_outlier_percentage"), F.lit(OUTLIER_CAP))
              - F.least(F.col("non_normal_columns") * NON_NORMAL_WEIGHT, F.lit(NON_NORMAL_CAP)))
-    return m.withColumn("quality_score", F.round(F.greatest(score, F.lit(0.0)), 1)) \
-            .withColumn("quality_grade", quality_grade("quality_score")) \
-            .withColumn("traffic_light", traffic_light("quality_score"))
+    known = F.col("quality_score").isNotNull()
+    return m.withColumn("quality_score", F.when(score.isNotNull(), F.round(F.greatest(score, F.lit(0.0)), 1))) \
+            .withColumn("quality_grade", F.when(known, quality_grade("quality_score"))) \
+            .withColumn("traffic_light", F.when(known, traffic_light("quality_score")))
 
 
 def column_summary(df: DataFrame, exact: bool = True) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_text, repair_email
 from .profile import iqr_bounds
 
-# Broadcast a lookup table only below this many rows (its size is checked, not assumed).
-BROADCAST_ROWS = 1_000_000
+def _c(name: str):
+    """The column of exactly this name (dots included)."""
+    return F.col(f"`{name}`")
 
 
 @dataclass(frozen=True)
@@ -28,7 +29,7 @@ class Rule:
 
 def range_rule(column: str, lo: float | None = None, hi: float | None = None, name: str | None = None) -> Rule:
     """V2: violation when the value is outside ``[lo, hi]``; null passes."""
-    x = F.col(column)
+    x = _c(column)
     parts = ([x < F.lit(lo)] if lo is not None else []) + ([x > F.lit(hi)] if hi is not None else [])
     cond = parts[0] if parts else F.lit(False)
     for p in parts[1:]:
@@ -39,12 +40,12 @@ def range_rule(column: str, lo: float | None = None, hi: float | None = None, na
 
 def order_rule(earlier: str, later: str, name: str | None = None) -> Rule:
     """V3: violation when both dates are present and ``later < earlier``."""
-    cond = F.col(later) < F.col(earlier)
+    cond = _c(later) < _c(earlier)
     return Rule(name or f"order_{earlier}_{later}", later, cond)
 
 
 def not_null_rule(column: str) -> Rule:
-    return Rule(f"not_null_{column}", column, F.col(column).isNull())
+    return Rule(f"not_null_{column}", column, _c(column).isNull())
 
 
 def violations(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
@@ -57,10 +58,10 @@ def violations(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> Dat
         any_violation = any_violation | r.condition
     df = df.where(any_violation)
     arr = F.array(*[F.when(r.condition, F.struct(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"),
-                                                 F.col(r.column).cast("string").alias("value")))
+                                                 _c(r.column).cast("string").alias("value")))
                     for r in rules])
-    return df.select(*keys, F.explode(F.array_compact(arr)).alias("v")).select(*keys, "v.rule", "v.column",
-                                                                               "v.value")
+    ks = [_c(k) for k in keys]
+    return df.select(*ks, F.explode(F.array_compact(arr)).alias("v")).select(*ks, "v.rule", "v.column", "v.value")
 
 
 def rule_summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -74,9 +75,18 @@ def rule_summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return wide.select(F.explode(rows).alias("x")).select("x.*").withColumn("passed", F.col("violations") == 0)
 
 
+def validation_result(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """V8 overall: one row ``(rows_checked, invalid_rows, violations, is_valid)``; a row that breaks two rules is one
+    invalid row and two violations. An empty table is valid."""
+    broken = sum((F.when(r.condition, 1).otherwise(0) for r in rules), F.lit(0))
+    return df.agg(F.count(F.lit(1)).cast("bigint").alias("rows_checked"), F.count_if(broken > 0).cast("bigint").alias("invalid_rows"),
+                  F.coalesce(F.sum(broken), F.lit(0)).cast("bigint").alias("violations")).withColumn(
+        "is_valid", F.col("invalid_rows") == 0)
+
+
 def duplicate_keys(df: DataFrame, key: str, suffix_pattern: str = "(?i)_bis$") -> DataFrame:
     """V4: identifiers that repeat once a copy suffix (``_BIS``) is removed: ``(base_key, rows)``."""
-    base = F.regexp_replace(F.col(key).cast("string"), suffix_pattern, "")
+    base = F.regexp_replace(_c(key).cast("string"), suffix_pattern, "")
     return df.groupBy(base.alias("base_key")).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
 
 
@@ -94,13 +104,10 @@ def fold_categories(df: DataFrame, column: str, mapping: Mapping[str, str] | Dat
     return lookup_join(folded, lk, folded[out] == lk["folded_key"], how="left").drop("folded_key")
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "left",
-                max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A join to a dimension, broadcast only when its row count is checked to be small; otherwise the
-    planner's shuffle join (AQE may still switch strategy at run time)."""
-    n = lookup.limit(max_broadcast_rows + 1).count()
-    right = F.broadcast(lookup) if n <= max_broadcast_rows else lookup
-    return df.join(right, on, how)
+def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "left") -> DataFrame:
+    """A join to a dimension. The planner broadcasts it when its size in bytes, from file statistics or measured by
+    adaptive execution, is below ``spark.sql.autoBroadcastJoinThreshold``, and shuffles both sides otherwise."""
+    return df.join(lookup, on, how)
 
 
 def email_repairs(df: DataFrame, column: str = "email") -> DataFrame:
@@ -111,20 +118,26 @@ def email_repairs(df: DataFrame, column: str = "email") -> DataFrame:
 def correction_log(df: DataFrame, cleaned_exprs: Mapping[str, object], key: str) -> DataFrame:
     """One row per changed cell ``(key, column, before, after)``, null-safe, from a single projection of
     raw and cleaned values (no join back to the raw rows)."""
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("before"),
+    cells = [F.struct(F.lit(c).alias("column"), _c(c).cast("string").alias("before"),
                       F.when(e.isNotNull(), e.cast("string")).alias("after"))
              for c, e in cleaned_exprs.items()]
-    long = df.select(F.col(key), F.explode(F.array(*cells)).alias("x")).select(key, "x.*")
+    long = df.select(_c(key), F.explode(F.array(*cells)).alias("x")).select(_c(key), "x.*")
     return long.where(~F.col("before").eqNullSafe(F.col("after")))
 
 
+def correction_counts(log: DataFrame) -> DataFrame:
+    """Per column the cells changed, and of those the ones set to null: ``(column, corrections, nulled)``."""
+    return log.groupBy("column").agg(F.count(F.lit(1)).cast("bigint").alias("corrections"),
+                                     F.count_if(F.col("after").isNull()).cast("bigint").alias("nulled"))
+
+
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """Equal-width bins from min to max (the maximum in the last bin); nulls counted apart as bin 0.
 
     Bounds come from one aggregate (two scalars on the driver); counting is a partial aggregate by bin."""
-    b = df.agg(F.min(column).alias("mn"), F.max(column).alias("mx")).collect()[0]
+    b = df.agg(F.min(_c(column)).alias("mn"), F.max(_c(column)).alias("mx")).collect()[0]
     mn, mx = b["mn"], b["mx"]
-    x = F.col(column).cast("double")
+    x = _c(column).cast("double")
     if mn is None:
         idx = F.lit(0)
     elif mx == mn:
@@ -145,7 +158,7 @@ def clip_outliers(df: DataFrame, columns: Sequence[str], mode: str = "clip", exa
     bounds = iqr_bounds(df, columns, exact=exact)
     out = df
     for c, (_, _, lo, hi) in bounds.items():
-        x = F.col(c).cast("double")
+        x = _c(c).cast("double")
         if mode == "clip":
             e = F.least(F.greatest(x, F.lit(lo)), F.lit(hi))
         elif mode == "null":
@@ -158,8 +171,8 @@ def clip_outliers(df: DataFrame, columns: Sequence[str], mode: str = "clip", exa
 
 def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Numeric nulls -> the column mean of this frame (one aggregate, means as literals)."""
-    row = df.agg(*[F.avg(c).alias(c) for c in columns]).collect()[0]
-    return df.select(*[F.coalesce(F.col(c), F.lit(row[c])).alias(c) if c in columns else F.col(c)
+    row = df.agg(*[F.avg(_c(c)).alias(c) for c in columns]).collect()[0]
+    return df.select(*[F.coalesce(_c(c), F.lit(row[c])).alias(c) if c in columns else _c(c)
                        for c in df.columns])
 
 
