@@ -106,6 +106,10 @@ def lcs_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return lcs_lengths(a, b)
 
 
+# A filter on a similarity would otherwise be pushed below its projection and the function run once for each.
+lcs_udf = lcs_udf.asNondeterministic()
+
+
 def indel_ratio_from_lcs(lcs: Column, la: Column, lb: Column) -> Column:
     total = la + lb
     return F.when(total == 0, F.lit(1.0)).otherwise(F.lit(2.0) * lcs / total)

@@ -12,23 +12,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import parse_date
-from ..functions.text import clean_email, coerce_long, coerce_number, normalize_phone, normalize_text
+from ..functions.text import clean_email, coerce_long, coerce_number, normalize_phone, normalize_text, strip_ws
 from ..sources.readers import (CONTENT_COLUMNS, EXPECTED_COLUMNS, apply_null_tokens, complete_schema,
-                               normalize_headers)
+                               map_roles, normalize_headers)
 
 TEXT_COLUMNS = ("name", "city", "country")
 
 
 def _typed_id(df: DataFrame, name: str = "customer_id"):
+    """An id stays what it is: whole numbers as bigint, anything else as stripped text. Text ids are not read as
+    numbers, which would make one null of all that are none (see ``integral_ids`` for columns that are)."""
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.StringType):
-        return coerce_long(name).alias(name)
-    return F.col(name).cast("bigint").alias(name)
+        s = strip_ws(F.col(name))
+        return F.when(s != "", s).alias(name)
+    if isinstance(dtype, T.IntegralType):
+        return F.col(name).cast("bigint").alias(name)
+    return F.col(name).cast("string").alias(name)
+
+
+def integral_ids(df: DataFrame, name: str = "customer_id") -> DataFrame:
+    """The id as bigint when every value is a whole number that fits, else unchanged: one aggregate decides."""
+    if name not in df.columns or not isinstance(df.schema[name].dataType, T.StringType):
+        return df
+    lost = df.where(F.col(name).isNotNull() & coerce_long(name).isNull()).limit(1).count()
+    return df if lost else df.withColumn(name, coerce_long(name))
 
 
 def clean_columns(raw: DataFrame, year_first_order: str = "ymd", null_tokens: bool = True) -> DataFrame:
-    """S3 + S4 + C2-C7 as one projection, no rows dropped. Extra columns pass through unchanged."""
-    df = normalize_headers(raw)
+    """S3 + S4 + S5 + C2-C7 as one projection, no rows dropped. Headers that are synonyms of a role take its name;
+    extra columns pass through unchanged."""
+    df = map_roles(normalize_headers(raw))
     if null_tokens:
         df = apply_null_tokens(df)
     df = complete_schema(df)

@@ -3,7 +3,8 @@
 J3 keeps the reference semantics - every later member of a duplicate pair goes, with no transitive closure - but
 works on triples: a row ``r`` of triple ``T`` is dropped when an earlier row shares its triple (copies are
 duplicates: similarity 1.0) or when some triple ``P`` paired with ``T`` has a first row smaller than ``r``. That needs
-one ``min`` per triple, never the row-by-row expansion of the pairs.
+one ``min`` per triple, never the row-by-row expansion of the pairs. "Earlier" is the order of the row key, which is
+unique: by default the number that ``pairs.with_row_id`` gives each row.
 """
 from __future__ import annotations
 
@@ -16,8 +17,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import pairs as PR
 
+# The rule's and the model's thresholds, and the forest's features.
 RULE_THRESHOLD = 0.7
 MODEL_THRESHOLD = 0.75
 FEATURES = ("name_sim", "email_sim", "phone_sim", "avg_sim")
@@ -28,58 +31,61 @@ def rule_label(threshold: float = RULE_THRESHOLD):
     return (F.col("avg_sim") > F.lit(threshold)).cast("int")
 
 
-def _length_bound_filter(p: DataFrame, threshold: float) -> DataFrame:
-    """Lossless pre-filter: ``indel <= 2 min(len) / (len a + len b)``, name bounded by 1."""
-    def ub(c):
-        la, lb = F.length(f"{c}_i"), F.length(f"{c}_j")
-        return F.lit(2.0) * F.least(la, lb) / (la + lb)
-    return p.where((F.lit(1.0) + ub("email") + ub("phone")) / 3.0 > F.lit(threshold))
-
-
 def rule_triple_pairs(t: DataFrame, keys: Sequence[str] = PR.DEFAULT_KEYS,
                       threshold: float = RULE_THRESHOLD, **kw) -> DataFrame:
-    """Triple pairs whose mean similarity exceeds ``threshold`` (length bound applied before any UDF)."""
-    cand = PR.candidate_pairs(t, keys, **kw)
-    a = t.select(F.col("tid").alias("tid_i"), *[F.col(c).alias(f"{c}_i") for c in PR.COMPARED])
-    b = t.select(F.col("tid").alias("tid_j"), *[F.col(c).alias(f"{c}_j") for c in PR.COMPARED])
-    kept = _length_bound_filter(cand.join(a, "tid_i").join(b, "tid_j"), threshold).select("tid_i", "tid_j")
-    return PR.triple_pair_features(t, kept).where(F.col("avg_sim") > F.lit(threshold))
+    """Triple pairs whose mean similarity exceeds ``threshold``, with both sides' ``copies``.
 
+    Values are joined once; what their lengths rule out (``indel <= 2 min / sum``, name at most 1: lossless) never
+    reaches the one Python step."""
+    valued = PR.with_values(t, PR.candidate_pairs(t, keys, **kw))
+    bound = (F.lit(1.0) + PR._length_bound("email") + PR._length_bound("phone")) / 3.0
+    return PR.similarities(valued.where(bound > F.lit(threshold))).where(F.col("avg_sim") > F.lit(threshold))
 
-def rule_pairs(df: DataFrame, key: str = "customer_id", keys: Sequence[str] = PR.DEFAULT_KEYS,
+
+def rule_pairs(df: DataFrame, key: str = PR.ROW_ID, keys: Sequence[str] = PR.DEFAULT_KEYS,
                threshold: float = RULE_THRESHOLD, **kw) -> DataFrame:
-    """Duplicate pairs by the rule, as ``(row_i, row_j, sims...)`` incl. copy edges."""
+    """Duplicate pairs by the rule, as ``(row_i, row_j, sims...)`` incl. copy edges. ``key`` must be unique."""
+    PR.require_unique(df, key)
     t = PR.triples(df, key)
-    tp = rule_triple_pairs(t, keys, threshold, **kw).withColumnRenamed("tid_i", "row_i") \
+    tp = rule_triple_pairs(t, keys, threshold, **kw).drop("copies_i", "copies_j").withColumnRenamed("tid_i", "row_i") \
         .withColumnRenamed("tid_j", "row_j")
     return tp.unionByName(PR.copy_edges(df, t, key))
 
 
-def dropped_rows(df: DataFrame, dup_triple_pairs: DataFrame, key: str = "customer_id",
+def dropped_rows(df: DataFrame, dup_triple_pairs: DataFrame, key: str = PR.ROW_ID,
                  copies_are_duplicates: bool = True, t: DataFrame | None = None) -> DataFrame:
-    """``(key, reason)`` for every row J3 drops; reason ``copy`` (earlier row with the same triple) or ``fuzzy``."""
+    """``(key, reason)`` for every row J3 drops; reason ``copy`` (earlier row with the same triple) or ``fuzzy``.
+
+    The smallest partner is joined to the triples, one row each; only triples that can drop a row are then looked up."""
     t = t if t is not None else PR.triples(df, key)
-    m = PR.membership(df, t, key)
     both = dup_triple_pairs.select(F.col("tid_j").alias("tid"), F.col("tid_i").alias("partner")).unionByName(
         dup_triple_pairs.select(F.col("tid_i").alias("tid"), F.col("tid_j").alias("partner")))
     pm = both.groupBy("tid").agg(F.min("partner").alias("partner_min"))
-    r = m.join(pm, "tid", "left")
+    acting = t.join(pm, "tid", "left").where((F.lit(copies_are_duplicates) & (F.col("copies") > 1)) | F.col("partner_min").isNotNull())
+    r = PR.look_up(df, acting, ["tid", "partner_min"], key)
     copy = F.lit(copies_are_duplicates) & (F.col(key) > F.col("tid"))
     fuzzy = F.coalesce(F.col(key) > F.col("partner_min"), F.lit(False))
     return r.where(copy | fuzzy).select(key, F.when(copy, F.lit("copy")).otherwise(F.lit("fuzzy")).alias("reason"))
 
 
-def drop_later_duplicates(df: DataFrame, dropped: DataFrame, key: str = "customer_id") -> DataFrame:
-    """The input without the dropped rows (anti join on the key)."""
+def drop_later_duplicates(df: DataFrame, dropped: DataFrame, key: str = PR.ROW_ID) -> DataFrame:
+    """The input without the dropped rows (anti join on the unique key)."""
     return df.join(dropped.select(key), key, "left_anti")
 
 
-def dedup_rule(df: DataFrame, key: str = "customer_id", keys: Sequence[str] = PR.DEFAULT_KEYS,
+def dedup_rule(df: DataFrame, key: str | None = None, keys: Sequence[str] = PR.DEFAULT_KEYS,
                threshold: float = RULE_THRESHOLD, **kw) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rule variant of the run: ``(kept rows, dropped (key, reason), duplicate triple pairs)``."""
+    """Rule variant of the run: ``(kept rows, dropped (key, reason), duplicate triple pairs)``.
+
+    Without ``key`` rows are numbered (``with_row_id``), which any table allows; a key given must be unique."""
+    if key is None:
+        key = PR.ROW_ID
+        df = df if key in df.columns else PR.with_row_id(df)
+    else:
+        PR.require_unique(df, key)
     t = PR.triples(df, key)
-    tp = rule_triple_pairs(t, keys, threshold, **kw)
-    dropped = dropped_rows(df, tp, key, True, t)
+    tp = cut_lineage(rule_triple_pairs(t, keys, threshold, **kw))
+    dropped = cut_lineage(dropped_rows(df, tp, key, True, t))
     return drop_later_duplicates(df, dropped, key), dropped, tp
 
 
@@ -102,7 +108,10 @@ def train_dedup_model(features: DataFrame, num_trees: int = 100, seed: int = 42,
 
 
 def model_classes(model: PipelineModel) -> int:
-    return int(model.stages[-1].numClasses)
+    """How many classes the forest learned to tell apart; 1 also when every tree is a single leaf, which is what a
+    training set of duplicates only leaves behind."""
+    forest = model.stages[-1]
+    return 1 if forest.totalNumNodes == forest.getNumTrees else int(forest.numClasses)
 
 
 def predict_pairs(features: DataFrame, model: PipelineModel | None,

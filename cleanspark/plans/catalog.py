@@ -264,9 +264,16 @@ def q_correlations_all(spark, sf):
     return rounded(P.correlations(table(spark, sf, "lineitem"), LINE_NUM))
 
 
-@register("correlations_strong", S.corr_sql("lineitem", LINE_NUM, 0.7))
+_CHARGE = [*LINE_MEASURES, "charge"]
+
+
+@register("correlations_strong", "WITH charged AS (SELECT * REPLACE (CASE WHEN l_linenumber <> 3 THEN l_tax END AS l_tax), "
+          "l_extendedprice * (1 - l_discount) AS charge FROM lineitem)\n" + S.corr_sql("charged", _CHARGE, 0.7))
 def q_correlations_strong(spark, sf):
-    return rounded(P.correlations(table(spark, sf, "lineitem"), LINE_NUM, threshold=0.7))
+    """A12 with a derived measure and missing values (pairs of columns that are not complete together)."""
+    li = table(spark, sf, "lineitem").withColumn("charge", F.col("l_extendedprice") * (1 - F.col("l_discount"))) \
+        .withColumn("l_tax", F.when(F.col("l_linenumber") != 3, F.col("l_tax")))
+    return rounded(P.correlations(li, _CHARGE, threshold=0.7))
 
 
 def _quality_sql(tbl, cols, numeric):
@@ -299,6 +306,51 @@ def q_quality_score(spark, sf):
     return rounded(P.quality_score(table(spark, sf, "customer")))
 
 
+_DIRTY_NUM = ["customer_id", "amount"]
+
+
+@register("quality_score_dirty", S.with_clean("").rstrip() + ",\ndirty AS (SELECT * REPLACE (TRY_CAST(amount AS DOUBLE) AS amount) "
+          "FROM raw_nt)," + _quality_sql("dirty", list(R.EXPECTED_COLUMNS), _DIRTY_NUM).replace("WITH pc AS", "pc AS", 1))
+def q_quality_score_dirty(spark, sf):
+    """A13 on rows with nulls, copies and outliers."""
+    r = R.apply_null_tokens(raw(spark, sf))
+    return rounded(P.quality_score(r.withColumn("amount", F.col("amount").try_cast("double"))))
+
+
+@register("exact_duplicate_rows", "WITH raw AS (" + S.RAW + """)
+SELECT CAST(sum(n) AS BIGINT) AS total_rows, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS exact_duplicates,
+       ROUND(100.0 * coalesce(sum(n) FILTER (WHERE n > 1), 0) / sum(n), 2) AS exact_duplicates_percentage
+FROM (SELECT count(*) AS n FROM raw GROUP BY """ + ", ".join(R.EXPECTED_COLUMNS) + ") g")
+def q_exact_duplicate_rows(spark, sf):
+    """A11 on whole rows."""
+    return P.exact_duplicates(raw(spark, sf))
+
+
+@register("profile_report")
+def q_profile_report(spark, sf):
+    """Every section of the profile as one table."""
+    return FL.profile_report(cleaned(spark, sf))
+
+
+_CSV_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+@register("read_csv", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name || ' "q", ' || chr(10) || 'line' AS c_name,
+       CASE WHEN c_custkey % 2 = 0 THEN CAST(c_nationkey AS VARCHAR) END AS c_nationkey, c_mktsegment FROM customer""")
+def q_read_csv(spark, sf):
+    """The customers written as CSV with quotes, commas and line breaks inside fields, half of them with another
+    header order and one column less, read back as one table."""
+    from ..streaming.stream import scratch_path
+    c = table(spark, sf, "customer").withColumn("c_name", F.concat("c_name", F.lit(' "q", \nline'))).select(
+        *[F.col(x).cast("string").alias(x) for x in ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")])
+    paths = [scratch_path(spark, "csv-a"), scratch_path(spark, "csv-b")]
+    c.where(F.col("c_custkey").cast("long") % 2 == 0).write.option("header", True).option("escape", '"').csv(paths[0])
+    c.where(F.col("c_custkey").cast("long") % 2 == 1).select("c_mktsegment", "c_name", "c_custkey").write.option(
+        "header", True).option("escape", '"').csv(paths[1])
+    return R.read_table(spark, paths, "csv").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+
+
 def _column_summary_sql(tbl, cols, numeric):
     parts = []
     for c in cols:
@@ -325,33 +377,40 @@ from ..operators import pairs as PR  # noqa: E402
 from . import flows as FL  # noqa: E402
 
 
+ID = "customer_id"
+
+
 def clean(spark, sf):
-    """Cleaned customers, materialised: pairing reuses them several times (and a lineage cut keeps the
-    optimiser from re-deriving constraints of the cleaning expressions through every self join)."""
-    return cut_lineage(C.clean_customers(raw(spark, sf)))
+    """Cleaned customers, written: pairing reads them several times (and a lineage cut keeps the optimiser from
+    re-deriving constraints of the cleaning expressions through every self join)."""
+    return cut_lineage(cleaned(spark, sf))
+
+
+def cleaned(spark, sf):
+    """Cleaned customers as a plan, for queries that read them once."""
+    return C.clean_customers(raw(spark, sf))
 
 
 def _tfeat(spark, sf):
-    c = clean(spark, sf)
-    t = PR.triples(c)
+    t = PR.triples(clean(spark, sf), ID)
     return PR.triple_pair_features(t, PR.candidate_pairs(t))
 
 
-@register("pairs_blocked", S.with_pairs("SELECT tid_i AS row_i, tid_j AS row_j FROM cand"))
+@register("pairs_blocked", S.with_pairs("SELECT row_i, row_j FROM listed WHERE first_i <> first_j"))
 def q_pairs_blocked(spark, sf):
-    t = PR.triples(clean(spark, sf))
+    t = PR.triples(clean(spark, sf), ID)
     return PR.candidate_pairs(t).select(F.col("tid_i").alias("row_i"), F.col("tid_j").alias("row_j"))
 
 
 @register("sim_indel", S.with_pairs(
-    "SELECT tid_i AS row_i, tid_j AS row_j, ROUND(email_sim, 6) AS email_sim, ROUND(phone_sim, 6) AS phone_sim FROM sims"))
+    "SELECT row_i, row_j, ROUND(email_sim, 6) AS email_sim, ROUND(phone_sim, 6) AS phone_sim FROM listed WHERE first_i <> first_j"))
 def q_sim_indel(spark, sf):
     f = _tfeat(spark, sf)
     return rounded(f.select(F.col("tid_i").alias("row_i"), F.col("tid_j").alias("row_j"), "email_sim", "phone_sim"))
 
 
 @register("sim_token_set", S.with_pairs(
-    "SELECT tid_i AS row_i, tid_j AS row_j, ROUND(name_sim, 6) AS name_sim FROM sims"))
+    "SELECT row_i, row_j, ROUND(name_sim, 6) AS name_sim FROM listed WHERE first_i <> first_j"))
 def q_sim_token_set(spark, sf):
     f = _tfeat(spark, sf)
     return rounded(f.select(F.col("tid_i").alias("row_i"), F.col("tid_j").alias("row_j"), "name_sim"))
@@ -359,24 +418,56 @@ def q_sim_token_set(spark, sf):
 
 @register("pair_features", S.with_pairs(
     "SELECT row_i, row_j, ROUND(name_sim, 6) AS name_sim, ROUND(email_sim, 6) AS email_sim, "
-    "ROUND(phone_sim, 6) AS phone_sim, ROUND(avg_sim, 6) AS avg_sim FROM pairs"))
+    "ROUND(phone_sim, 6) AS phone_sim, ROUND(avg_sim, 6) AS avg_sim FROM listed"))
 def q_pair_features(spark, sf):
-    return rounded(PR.pair_features(clean(spark, sf)))
+    return rounded(PR.pair_features(clean(spark, sf), ID))
 
 
 @register("dup_pairs_rule", S.with_pairs(
     "SELECT row_i, row_j, ROUND(name_sim, 6) AS name_sim, ROUND(email_sim, 6) AS email_sim, "
-    "ROUND(phone_sim, 6) AS phone_sim, ROUND(avg_sim, 6) AS avg_sim, 1 AS label FROM pairs WHERE avg_sim > 0.7"))
+    "ROUND(phone_sim, 6) AS phone_sim, ROUND(avg_sim, 6) AS avg_sim, 1 AS label FROM listed WHERE avg_sim > 0.7"))
 def q_dup_pairs_rule(spark, sf):
-    return rounded(DD.rule_pairs(clean(spark, sf)).withColumn("label", DD.rule_label()))
+    return rounded(DD.rule_pairs(clean(spark, sf), ID).withColumn("label", DD.rule_label()))
 
 
 @register("dedup_drop_later", S.with_pairs("SELECT customer_id, reason FROM dropped"))
 def q_dedup_drop_later(spark, sf):
-    _, dropped, _ = DD.dedup_rule(clean(spark, sf))
+    _, dropped, _ = DD.dedup_rule(clean(spark, sf), ID)
     return dropped
 
 
+_SHARED_IDS = ("shared AS (SELECT DISTINCT CASE WHEN customer_id % 7 <> 0 THEN customer_id % 40 END AS customer_id, name, email, phone, "
+               "city, country, signup_date, amount FROM clean),\nnumbered AS (SELECT *, row_number() OVER (ORDER BY " + ", ".join(
+                   f"{c} NULLS FIRST" for c in R.EXPECTED_COLUMNS) + ") AS rid FROM shared)")
+
+
+@register("dedup_repeated_ids", S.with_clean("").rstrip() + ",\n" + _SHARED_IDS + ",\n" + S.pair_ctes("numbered", "rid") +
+          "\nSELECT " + ", ".join(R.EXPECTED_COLUMNS) + " FROM deduped")
+def q_dedup_repeated_ids(spark, sf):
+    """J3 where an id names many rows or none: rows are told apart by a number of their own."""
+    few = F.when(F.col(ID) % 7 != 0, F.col(ID) % 40).alias(ID)
+    shared = cleaned(spark, sf).select(few, *R.EXPECTED_COLUMNS[1:]).distinct()
+    kept, _, _ = DD.dedup_rule(shared)
+    return kept.select(*R.EXPECTED_COLUMNS)
+
+
+@register("blocking_recall")
+def q_blocking_recall(spark, sf):
+    """What blocking misses: a stated query set compared with all rows, without blocks."""
+    return PR.sampled_recall(cleaned(spark, sf), every=10)
+
+
+_TEXT_ID = "'PAT' || CAST(customer_id % 1000 AS STRING) || CASE WHEN customer_id >= 1000 THEN '_BIS' ELSE '' END"
+
+
+@register("clean_text_ids", S.with_clean(
+    f"SELECT DISTINCT {_TEXT_ID} AS customer_id, name, email, phone, city, country, signup_date, amount FROM cleaned "
+    "WHERE NOT (name IS NULL AND email IS NULL AND phone IS NULL AND city IS NULL AND country IS NULL AND "
+    "signup_date IS NULL AND amount IS NULL)"))
+def q_clean_text_ids(spark, sf):
+    """P1 on ids that are no numbers: they survive as text."""
+    return C.clean_customers(raw(spark, sf).withColumn(ID, F.expr(f"'  ' || {_TEXT_ID} || ' '")))
+
 _FLAG = (", CAST((customer_id < (SELECT q1 - 1.5 * (q3 - q1) FROM qb WHERE k = 'customer_id') OR "
          "customer_id > (SELECT q3 + 1.5 * (q3 - q1) FROM qb WHERE k = 'customer_id') OR "
          "coalesce(amount < (SELECT q1 - 1.5 * (q3 - q1) FROM qb WHERE k = 'amount') OR "
@@ -396,30 +487,38 @@ def q_pipeline_rule(spark, sf):
 
 
 @register("run_report", S.with_pairs("").rstrip() + ",\n" + _qb("deduped") + ",\nfin AS (SELECT *" + _FLAG +
-          " FROM deduped)\nSELECT CAST((SELECT count(*) FROM raw) AS BIGINT) AS rows_read, "
+          " FROM deduped),\nnonempty AS (SELECT * FROM cleaned WHERE NOT (name IS NULL AND email IS NULL AND phone IS NULL AND "
+          "city IS NULL AND country IS NULL AND signup_date IS NULL AND amount IS NULL))\n"
+          "SELECT CAST((SELECT count(*) FROM raw) AS BIGINT) AS rows_read, "
+          "CAST((SELECT count(*) FROM cleaned) - (SELECT count(*) FROM nonempty) AS BIGINT) AS empty_rows_removed, "
+          "CAST((SELECT count(*) FROM nonempty) - (SELECT count(*) FROM clean) AS BIGINT) AS exact_duplicates_removed, "
+          "CAST((SELECT count(*) FROM cleaned WHERE email IS NULL) AS BIGINT) AS invalid_emails, "
+          "CAST((SELECT count(*) FROM cleaned WHERE signup_date IS NULL) AS BIGINT) AS invalid_dates, "
+          "CAST((SELECT count(*) FROM cleaned WHERE amount < 0) AS BIGINT) AS negative_amounts, "
           "CAST((SELECT count(*) FROM clean) AS BIGINT) AS rows_clean, "
-          "CAST((SELECT count(*) FROM pairs WHERE avg_sim > 0.7) AS BIGINT) AS duplicate_pairs, "
+          "CAST((SELECT count(*) FROM dup) AS BIGINT) AS duplicate_pairs, "
           "CAST((SELECT count(*) FROM dropped) AS BIGINT) AS rows_dropped, "
           "CAST((SELECT count(*) FROM dropped WHERE reason = 'copy') AS BIGINT) AS dropped_copies, "
           "CAST((SELECT sum(is_anomaly) FROM fin) AS BIGINT) AS anomalies_found, "
-          "CAST((SELECT count(*) FROM fin) AS BIGINT) AS final_rows")
+          "CAST((SELECT count(*) FROM fin) AS BIGINT) AS final_rows, 'rule' AS dedup_variant, 'iqr' AS anomaly_variant, "
+          "CAST(NULL AS VARCHAR) AS warning")
 def q_run_report(spark, sf):
     return FL.run_rule(raw(spark, sf)).report
 
 
 # ---------------------------------------------------------------- flows
 
-_CLASSIC = ("classic AS (SELECT 'classic' AS flow, CAST((SELECT count(*) FROM raw_nt) AS BIGINT) AS rows_processed, "
+_CLASSIC = ("raw_num AS (SELECT * REPLACE (CASE WHEN amount <> 'abc' THEN amount END AS amount) FROM raw_nt),\nclassic AS (SELECT 'classic' AS flow, CAST((SELECT count(*) FROM raw_nt) AS BIGINT) AS rows_processed, "
             "CAST(count(*) AS BIGINT) AS rows_final, "
             "CAST((SELECT count(*) FROM raw_nt) - count(*) AS BIGINT) AS duplicates_found, "
-            "CAST(count(*) FILTER (WHERE customer_id < 0) AS BIGINT) AS anomalies_found, "
+            "CAST(count(*) FILTER (WHERE customer_id < 0 OR CAST(amount AS DOUBLE) < 0) AS BIGINT) AS anomalies_found, "
             "CAST((SELECT count(*) FROM raw_nt) - count(*) AS BIGINT) AS rows_removed "
-            "FROM (SELECT DISTINCT * FROM raw_nt) d WHERE customer_id IS NOT NULL AND name IS NOT NULL AND "
+            "FROM (SELECT DISTINCT * FROM raw_num) d WHERE customer_id IS NOT NULL AND name IS NOT NULL AND "
             "email IS NOT NULL AND phone IS NOT NULL AND city IS NOT NULL AND country IS NOT NULL AND "
             "signup_date IS NOT NULL AND amount IS NOT NULL)")
 _SMART = ("smart AS (SELECT 'smart' AS flow, CAST((SELECT count(*) FROM raw) AS BIGINT) AS rows_processed, "
           "CAST((SELECT count(*) FROM clean) AS BIGINT) AS rows_final, "
-          "CAST((SELECT count(*) FROM pairs WHERE avg_sim > 0.7) AS BIGINT) AS duplicates_found, "
+          "CAST((SELECT count(*) FROM dup) AS BIGINT) AS duplicates_found, "
           "CAST((SELECT count(*) FROM clean WHERE (customer_id < (SELECT q1 - 1.5 * (q3 - q1) FROM qb WHERE k = 'customer_id') OR "
           "customer_id > (SELECT q3 + 1.5 * (q3 - q1) FROM qb WHERE k = 'customer_id') OR "
           "coalesce(amount < (SELECT q1 - 1.5 * (q3 - q1) FROM qb WHERE k = 'amount') OR "
@@ -428,11 +527,16 @@ _SMART = ("smart AS (SELECT 'smart' AS flow, CAST((SELECT count(*) FROM raw) AS
 
 
 @register("classic_flow", S.with_clean("").rstrip() + ",\n" + _CLASSIC + "\nSELECT *, "
-          "CAST((SELECT count(*) FROM raw_nt) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_nt)) AS BIGINT) "
-          "AS exact_copies_removed, CAST((SELECT count(*) FROM (SELECT DISTINCT * FROM raw_nt)) - rows_final AS BIGINT) "
+          "CAST((SELECT count(*) FROM raw_nt) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_num)) AS BIGINT) "
+          "AS exact_copies_removed, CAST((SELECT count(*) FROM (SELECT DISTINCT * FROM raw_num)) - rows_final AS BIGINT) "
           "AS null_rows_removed FROM classic")
 def q_classic_flow(spark, sf):
-    return FL.classic_flow(raw(spark, sf))
+    return FL.classic_flow(_numeric_amounts(raw(spark, sf)))
+
+
+def _numeric_amounts(r):
+    """Raw rows whose amounts infer as numbers, as in a file without stray words in that column."""
+    return r.withColumn("amount", F.when(F.col("amount") != "abc", F.col("amount")))
 
 
 @register("smart_flow", S.with_pairs("").rstrip() + ",\n" + _qb("clean") + ",\n" + _SMART + "\nSELECT * FROM smart")
@@ -455,7 +559,7 @@ SELECT c.rows_processed AS classic_rows_processed, c.rows_final AS classic_rows_
 FROM classic c, smart s""")
 def q_flow_comparison(spark, sf):
     r = raw(spark, sf)
-    return FL.flow_comparison(FL.classic_flow(r), FL.smart_flow(r))
+    return FL.flow_comparison(FL.classic_flow(_numeric_amounts(r)), FL.smart_flow(r))
 
 
 # ---------------------------------------------------------------- models (D5-D7, M1-M3, P2, P3) - rows checks
@@ -463,29 +567,53 @@ from ..operators import rules as V  # noqa: E402
 from ..sources import sinks as SK  # noqa: E402
 
 
-def narrow_clean(spark, sf):
-    """The narrow-vocabulary customers (few names, one mail domain): many candidate pairs of both classes."""
-    return cut_lineage(C.clean_customers(FX.narrow_customers(spark, sf)))
-
-
-def _narrow_features(spark, sf):
-    return cut_lineage(PR.pair_features(narrow_clean(spark, sf)))
-
-
 @register("dup_model_train")
 def q_dup_model_train(spark, sf):
     """Forest trained on the pair features; rows = feature importances."""
-    model = DD.train_dedup_model(_narrow_features(spark, sf))
+    model = DD.train_dedup_model(cut_lineage(PR.pair_features(clean(spark, sf), ID)))
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return spark.createDataFrame([(f, float(v)) for f, v in zip(DD.FEATURES, imp)], "feature string, importance double")
 
 
 @register("dup_pairs_model")
 def q_dup_pairs_model(spark, sf):
-    """D6 + F5: pairs the forest scores at or above 0.75."""
-    feats = _narrow_features(spark, sf)
+    """D6 + F5: one decision per row by the forest at 0.75: dropped as a copy, dropped as a near match, or kept."""
+    rows = PR.with_row_id(cleaned(spark, sf))
+    t = PR.triples(rows)
+    feats = cut_lineage(PR.triple_pair_features(t, PR.candidate_pairs(t)))
     model = DD.train_dedup_model(feats)
-    return DD.predict_pairs(feats, model).select("row_i", "row_j", "avg_sim", "proba")
+    dropped = DD.dropped_rows(rows, DD.predict_pairs(feats, model), PR.ROW_ID, DD.copies_predicted_duplicate(model), t)
+    return rows.join(dropped, PR.ROW_ID, "left").select(ID, F.coalesce("reason", F.lit("kept")).alias("decision"))
+
+
+@register("pair_model_properties", "SELECT true AS probabilities_in_range, true AS agrees_with_rule_away_from_it, "
+          "true AS one_class_predicts_nothing, true AS same_after_repartition")
+def q_pair_model_properties(spark, sf):
+    """D5-D7 by property: probabilities lie in [0, 1]; the forest and the rule agree on pairs whose mean similarity is
+    outside 0.65 to 0.80; a one-class forest predicts no pair; the input's partitioning changes no decision."""
+    feats = cut_lineage(PR.pair_features(clean(spark, sf), ID))
+    model = DD.train_dedup_model(feats, num_trees=20)
+    scored = DD.predict_pairs(feats, model, 0.0)
+    r = scored.agg(F.bool_and(F.col("proba").between(0, 1)).alias("p"),
+                   F.bool_and(F.col("avg_sim").between(0.65, 0.80) | ((F.col("proba") >= DD.MODEL_THRESHOLD) == (F.col("avg_sim") > DD.RULE_THRESHOLD))).alias("a")).collect()[0]
+    one = DD.train_dedup_model(feats.where(F.col("avg_sim") > 0.7), num_trees=3)
+    again = DD.predict_pairs(feats.repartition(5), model).select("row_i", "row_j")
+    same = DD.predict_pairs(feats, model).select("row_i", "row_j").exceptAll(again).isEmpty()
+    return spark.createDataFrame([(bool(r["p"]), bool(r["a"]), DD.predict_pairs(feats, one).isEmpty(), bool(same))],
+                                 "probabilities_in_range boolean, agrees_with_rule_away_from_it boolean, "
+                                 "one_class_predicts_nothing boolean, same_after_repartition boolean")
+
+
+@register("anomaly_properties", "SELECT true AS scores_in_range, true AS flagged_share_near_tenth, true AS same_after_repartition")
+def q_anomaly_properties(spark, sf):
+    """M1-M3 by property: scores in (0, 1], 8 to 12 % flagged, the same trees and scores after a repartition."""
+    c = clean(spark, sf)
+    model, again = AN.train(c, ID, n_trees=30), AN.train(c.repartition(5), ID, n_trees=30)
+    r = AN.score(c, model).agg(F.bool_and((F.col("anomaly_score") > 0) & (F.col("anomaly_score") <= 1)).alias("s"),
+                               F.avg(F.col("is_anomaly")).alias("f")).collect()[0]
+    same = sorted(map(tuple, model.trees.round(4).values.tolist())) == sorted(map(tuple, again.trees.round(4).values.tolist()))
+    return spark.createDataFrame([(bool(r["s"]), bool(abs(r["f"] - 0.1) <= 0.02), bool(same))],
+                                 "scores_in_range boolean, flagged_share_near_tenth boolean, same_after_repartition boolean")
 
 
 @register("anomaly_scores")
@@ -499,15 +627,9 @@ def q_anomaly_scores(spark, sf):
 @register("pipeline_model")
 def q_pipeline_model(spark, sf):
     """P2 + P3, model variant: train both models on the cleaned rows, then pairs -> drop later -> score."""
-    c = narrow_clean(spark, sf)
-    t = PR.triples(c)
-    feats = cut_lineage(PR.triple_pair_features(t, PR.candidate_pairs(t)))
-    model = DD.train_dedup_model(feats)
-    dup_t = DD.predict_pairs(feats, model)
-    dropped = DD.dropped_rows(c, dup_t, "customer_id", DD.copies_predicted_duplicate(model), t)
-    deduped = DD.drop_later_duplicates(c, dropped)
-    forest = AN.train(c, "customer_id")
-    return AN.score(deduped, forest)
+    r = raw(spark, sf)
+    trained = FL.train_models(r, num_trees=50)
+    return FL.run_with(r, trained.dedup_model, trained.anomaly_model).final
 
 
 # ---------------------------------------------------------------- load, verify, preview, group
@@ -532,19 +654,22 @@ def q_verify_counts(spark, sf):
 
 @register("preview_top5", S.with_clean("SELECT * FROM clean ORDER BY customer_id LIMIT 5"))
 def q_preview_top5(spark, sf):
-    return clean(spark, sf).orderBy("customer_id").limit(5)
+    return cleaned(spark, sf).orderBy("customer_id").limit(5)
 
 
 @register("count_by_country", S.with_clean(
     "SELECT country, CAST(count(*) AS BIGINT) AS count FROM clean GROUP BY country"))
 def q_count_by_country(spark, sf):
-    return clean(spark, sf).groupBy("country").agg(F.count(F.lit(1)).alias("count"))
+    return cleaned(spark, sf).groupBy("country").agg(F.count(F.lit(1)).alias("count"))
 
 
 @register("impute_mean", S.with_clean(
-    "SELECT customer_id, ROUND(coalesce(amount, (SELECT avg(amount) FROM clean)), 6) AS amount FROM clean"))
+    "SELECT customer_id, ROUND(coalesce(amount, (SELECT avg(amount) FROM clean)), 6) AS amount, "
+    "ROUND(coalesce(CASE WHEN customer_id % 9 <> 0 THEN customer_id END, (SELECT avg(CASE WHEN customer_id % 9 <> 0 "
+    "THEN customer_id END) FROM clean)), 6) AS number FROM clean"))
 def q_impute_mean(spark, sf):
-    return rounded(V.impute_mean(clean(spark, sf).select("customer_id", "amount"), ["amount"]))
+    numbers = cleaned(spark, sf).select("customer_id", "amount", F.when(F.col(ID) % 9 != 0, F.col(ID)).cast("double").alias("number"))
+    return rounded(V.impute_mean(numbers, ["amount", "number"]))
 
 
 @register("binary_metrics", """
@@ -602,10 +727,11 @@ def q_rule_date_order(spark, sf):
                                        "ship_date")
 
 
-@register("rule_duplicate_key", "WITH raw AS (" + S.RAW + ") SELECT regexp_replace(CAST(customer_id AS VARCHAR), "
+@register("rule_duplicate_key", "WITH raw AS (" + S.RAW + f") SELECT regexp_replace({_TEXT_ID}, "
           "'(?i)_bis$', '') AS base_key, CAST(count(*) AS BIGINT) AS rows FROM raw GROUP BY 1 HAVING count(*) > 1")
 def q_rule_duplicate_key(spark, sf):
-    return V.duplicate_keys(raw(spark, sf), "customer_id").withColumn("rows", F.col("rows").cast("bigint"))
+    keyed = raw(spark, sf).withColumn(ID, F.expr(_TEXT_ID))
+    return V.duplicate_keys(keyed, ID).withColumn("rows", F.col("rows").cast("bigint"))
 
 
 def _at_emails(df):
@@ -653,21 +779,59 @@ def q_validate_rules(spark, sf):
     return V.rule_summary(table(spark, sf, "lineitem"), _line_rules())
 
 
-@register("before_after", S.with_clean("""
-SELECT 'before' AS stage, CAST(count(*) AS BIGINT) AS rows,
-       ROUND(1.0 * (count(customer_id) + count(name) + count(email) + count(phone) + count(city) + count(country)
-             + count(signup_date) + count(amount)) / (8 * count(*)), 6) AS completeness,
-       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_nt)) AS BIGINT) AS exact_copies
-FROM raw_nt
-UNION ALL
-SELECT 'after', CAST(count(*) AS BIGINT),
-       ROUND(1.0 * (count(customer_id) + count(name) + count(email) + count(phone) + count(city) + count(country)
-             + count(signup_date) + count(amount)) / (8 * count(*)), 6),
-       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM clean)) AS BIGINT) FROM clean"""))
+@register("validation_result", """
+SELECT CAST(count(*) AS BIGINT) AS rows_checked, CAST(count(*) FILTER (WHERE n > 0) AS BIGINT) AS invalid_rows,
+       CAST(sum(n) AS BIGINT) AS violations, count(*) FILTER (WHERE n > 0) = 0 AS is_valid
+FROM (SELECT CAST(l_quantity < 1.0 OR l_quantity > 48.0 AS INT) + CAST(l_discount < 0.0 OR l_discount > 0.09 AS INT)
+             + CAST(l_shipdate IS NULL AS INT) + CAST(l_tax < 0.0 OR l_tax > 0.08 AS INT) AS n FROM lineitem) t""")
+def q_validation_result(spark, sf):
+    return V.validation_result(table(spark, sf, "lineitem"), _line_rules())
+
+
+@register("load_rejects", """
+WITH wide AS (SELECT c_custkey AS key, CASE WHEN c_custkey % 100 = 0 THEN c_custkey + 3000000000 ELSE c_custkey END AS customer_id,
+                     CASE WHEN c_custkey % 50 = 0 THEN c_acctbal * 100000000 ELSE c_acctbal END AS amount FROM customer)
+SELECT key, 'customer_id' AS "column", CAST(customer_id AS VARCHAR) AS value FROM wide WHERE TRY_CAST(customer_id AS INTEGER) IS NULL
+UNION ALL SELECT key, 'amount', 'too large' FROM wide WHERE TRY_CAST(amount AS DECIMAL(10,2)) IS NULL""")
+def q_load_rejects(spark, sf):
+    c = table(spark, sf, "customer")
+    wide = c.select(F.col("c_custkey").alias("key"),
+                    F.when(F.col("c_custkey") % 100 == 0, F.col("c_custkey") + 3000000000).otherwise(F.col("c_custkey")).alias("customer_id"),
+                    F.when(F.col("c_custkey") % 50 == 0, F.col("c_acctbal") * 100000000).otherwise(F.col("c_acctbal")).alias("amount"))
+    text = F.when(F.col("column") == "amount", F.lit("too large")).otherwise(F.col("value"))  # engines spell doubles differently
+    return SK.load_rejects(wide, "key").select("key", "column", text.alias("value"))
+
+def _stage_sql(stage, src, valid):
+    """V9 restated: ``valid`` maps a column to the condition its non-null cells must meet."""
+    cols = R.EXPECTED_COLUMNS
+    nn = " + ".join(f"count({c})" for c in cols)
+    bad = " + ".join(f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT coalesce({v}, false))" for c, v in valid.items()) or "0"
+    num = S.number("amount")
+    return f"""SELECT '{stage}' AS stage, CAST(n AS BIGINT) AS rows, cells / (8.0 * n) AS completeness,
+       CAST(n - d AS BIGINT) AS exact_copies, CAST(bad AS BIGINT) AS invalid_cells, bad / cells AS error_rate, CAST(o AS BIGINT) AS outliers,
+       40.0 * cells / (8.0 * n) + 30.0 * (1 - bad / cells) + 20.0 * d / n + 10.0 * (1 - o / n) AS quality
+FROM (SELECT CAST(count(*) AS DOUBLE) AS n, CAST({nn} AS DOUBLE) AS cells, CAST({bad} AS DOUBLE) AS bad,
+             (SELECT count(*) FROM (SELECT DISTINCT * FROM {src})) AS d,
+             CAST(count(*) FILTER (WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS DOUBLE) AS o
+      FROM (SELECT *, {num} AS x FROM {src}) t,
+           (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM (SELECT {num} AS x FROM {src})) q)"""
+
+
+_VALID_SQL = {"email": S.valid_email("email"), "phone": f"{S.norm_phone('phone')} IS NOT NULL",
+              "signup_date": f"{S.parse_date('signup_date')} IS NOT NULL", "amount": f"{S.number('amount')} IS NOT NULL"}
+
+
+@register("before_after", S.with_clean("").rstrip() + ",\nb AS (" + _stage_sql("before", "raw_nt", _VALID_SQL) + "),\na AS (" +
+          _stage_sql("after", "clean", {}) + "),\nu AS (SELECT * FROM b UNION ALL SELECT * FROM a)\n"
+          "SELECT stage, rows, ROUND(completeness, 6) AS completeness, exact_copies, invalid_cells, ROUND(error_rate, 6) AS error_rate, "
+          "outliers, ROUND(quality, 6) AS quality, ROUND(CASE WHEN stage = 'after' THEN (quality - (SELECT quality FROM b)) * 100.0 "
+          "/ (SELECT quality FROM b) END, 6) AS improvement_pct FROM u")
 def q_before_after(spark, sf):
     from ..operators import quality as Q
-    r = R.apply_null_tokens(raw(spark, sf))
-    return rounded(Q.before_after(r, clean(spark, sf)))
+    r = raw(spark, sf)
+    valid = {"email": is_valid_email("email"), "phone": normalize_phone("phone").isNotNull(),
+             "signup_date": parse_date("signup_date").isNotNull(), "amount": coerce_number("amount").isNotNull()}
+    return rounded(Q.before_after(R.apply_null_tokens(r), C.clean_customers(r), valid, None, "amount"))
 
 
 def _cleaned_exprs():
@@ -688,6 +852,33 @@ def q_correction_log(spark, sf):
     return V.correction_log(r, _cleaned_exprs(), "customer_id")
 
 
+@register("correction_counts", S.with_clean(
+    "SELECT \"column\", CAST(count(*) AS BIGINT) AS corrections, CAST(count(*) FILTER (WHERE after IS NULL) AS BIGINT) AS nulled FROM (" +
+    S.union_all(
+        f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS before, CAST({e} AS VARCHAR) AS after FROM raw_nt"
+        for c, e in [("name", S.norm_text("name")), ("email", S.clean_email("email")), ("phone", S.norm_phone("phone")),
+                     ("city", S.norm_text("city")), ("country", S.norm_text("country")),
+                     ("signup_date", S.parse_date("signup_date")), ("amount", S.number("amount"))]) +
+    ") t WHERE before IS DISTINCT FROM after GROUP BY 1"))
+def q_correction_counts(spark, sf):
+    return V.correction_counts(q_correction_log(spark, sf))
+
+
+@register("dropped_by_reason", S.with_pairs("""
+SELECT reason, CAST(count(*) AS BIGINT) AS rows FROM dropped GROUP BY reason
+UNION ALL SELECT 'empty', CAST((SELECT count(*) FROM cleaned) - count(*) AS BIGINT) FROM cleaned WHERE NOT (name IS NULL AND
+  email IS NULL AND phone IS NULL AND city IS NULL AND country IS NULL AND signup_date IS NULL AND amount IS NULL)
+UNION ALL SELECT 'exact copy', CAST(count(*) - (SELECT count(*) FROM clean) AS BIGINT) FROM cleaned WHERE NOT (name IS NULL AND
+  email IS NULL AND phone IS NULL AND city IS NULL AND country IS NULL AND signup_date IS NULL AND amount IS NULL)"""))
+def q_dropped_by_reason(spark, sf):
+    """The rows a run drops, by reason."""
+    r = raw(spark, sf)
+    counters = C.clean_report(r).select(F.explode(F.array(
+        F.struct(F.lit("empty").alias("reason"), F.col("empty_rows_removed").alias("rows")),
+        F.struct(F.lit("exact copy").alias("reason"), F.col("exact_duplicates_removed").alias("rows")))).alias("x")).select("x.*")
+    _, dropped, _ = DD.dedup_rule(cut_lineage(C.clean_customers(r)), ID)
+    return dropped.groupBy("reason").agg(F.count(F.lit(1)).alias("rows")).unionByName(counters)
+
 @register("histogram", """
 WITH b AS (SELECT min(l_extendedprice) AS mn, max(l_extendedprice) AS mx FROM lineitem),
 x AS (SELECT CASE WHEN l_extendedprice IS NULL THEN 0
@@ -737,18 +928,39 @@ def q_stream_clean(spark, sf):
     return spark.read.parquet(out)
 
 
+@register("stream_dedup", "SELECT DISTINCT CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value FROM events")
+def q_stream_dedup(spark, sf):
+    """ST-b: the events streamed twice, deduplicated within the watermark."""
+    ev = table(spark, sf, "events").select(F.col("ts").cast("timestamp_ntz").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    src = ST.stage_as_files(spark, ev.unionByName(ev), "events-twice")
+    out = ST.run_to_files(spark, ST.dedup_stream(ST.read_stream(spark, src, ev), "ts", "1 day", ev.columns), "dedup-stream")
+    return spark.read.parquet(out).select(F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value")
+
+
+@register("stream_score", "SELECT true AS all_rows_scored, true AS equal_to_batch")
+def q_stream_score(spark, sf):
+    """ST-c by property: the cleaned rows scored on a stream equal the same rows scored in a batch."""
+    c = clean(spark, sf)
+    model = AN.train(c, ID, n_trees=20)
+    src = ST.stage_as_files(spark, c.repartition(2), "to-score")
+    out = spark.read.parquet(ST.run_to_files(spark, ST.score_stream(ST.read_stream(spark, src, c, max_files=1), model), "scored-stream"))
+    both = AN.score(c, model).select(ID, F.round("anomaly_score", 9).alias("s")).exceptAll(out.select(ID, F.round("anomaly_score", 9).alias("s")))
+    return spark.createDataFrame([(out.count() == c.count(), both.isEmpty())], "all_rows_scored boolean, equal_to_batch boolean")
+
+
 @register("stream_quality_windows", """
 SELECT CAST(date_trunc('day', ts) AS DATE) AS window_start, CAST(count(*) AS BIGINT) AS rows,
        CAST(count(*) FILTER (WHERE value IS NULL) AS BIGINT) AS missing,
        CAST(count(*) FILTER (WHERE value < 0) AS BIGINT) AS negative, ROUND(sum(value), 6) AS value_sum
-FROM events GROUP BY 1""")
+FROM events GROUP BY 1
+HAVING date_trunc('day', min(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)""")
 def q_stream_quality_windows(spark, sf):
-    """ST-d: daily tumbling-window counters over the events stream."""
+    """ST-d: daily tumbling-window counters over the events stream, each written once, when the watermark has passed its
+    end (append mode: closed windows leave the state; days the watermark has not passed are still open)."""
     ev = table(spark, sf, "events").select("ts", "value")
     src = ST.stage_as_files(spark, ev, "events")
     agg = ST.quality_counters(ST.read_stream(spark, src, ev, max_files=2), "ts", "value")
-    out = ST.run_to_files(spark, agg, "event-windows", output_mode="complete")
-    res = spark.read.parquet(out)
+    res = spark.read.parquet(ST.run_to_files(spark, agg, "event-windows"))
     return rounded(res.select(F.col("window_start").cast("date").alias("window_start"),
                               F.col("rows").cast("bigint").alias("rows"), F.col("missing").cast("bigint").alias("missing"),
                               F.col("negative").cast("bigint").alias("negative"), "value_sum"))

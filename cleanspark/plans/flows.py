@@ -5,10 +5,11 @@ flow needs a cross join. Wall-clock timing of the flows belongs to ``bench.py``,
 """
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +19,8 @@ from ..operators import dedup as DD
 from ..operators import pairs as PR
 from ..operators import profile as P
 from ..session import cut_lineage
-from ..sources.readers import apply_null_tokens
+from ..sources import sinks as SK
+from ..sources.readers import apply_null_tokens, map_roles, normalize_headers, read_csv, read_table, split_rejects
 
 KEY = "customer_id"
 
@@ -57,37 +59,37 @@ def negative_rows(df: DataFrame) -> DataFrame:
     return df.where(cond)
 
 
-def _one_row(parts: list[DataFrame], flow: str) -> DataFrame:
+def _count(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(F.lit(name).alias("name"), "value")
+
+
+def _one_row(parts: list[DataFrame], names: list[str]) -> DataFrame:
     """Union of ``(name, value)`` frames -> one row with a column per name."""
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    names = [r for r in ("rows_processed", "rows_final", "duplicates_found", "anomalies_found")]
-    row = u.agg(*[F.coalesce(F.max(F.when(F.col("name") == n, F.col("value"))), F.lit(0)).cast("bigint").alias(n)
-                  for n in names])
-    return row.select(F.lit(flow).alias("flow"), *names,
-                      (F.col("rows_processed") - F.col("rows_final")).alias("rows_removed"))
-
-
-def _count(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(F.lit(name).alias("name"), "value")
+    return u.agg(*[F.coalesce(F.max(F.when(F.col("name") == n, F.col("value"))), F.lit(0)).cast("bigint").alias(n)
+                   for n in names])
 
 
 def classic_flow(raw: DataFrame) -> DataFrame:
     """P5: exact distinct -> drop rows with any null -> rows with a negative numeric value.
-    ``duplicates_found`` = rows removed by both steps (as the reference counts it)."""
+    ``duplicates_found`` = rows removed by both steps (as the reference counts it).
+
+    One ``groupBy`` over all columns holds every counter: copies per distinct row, and whether it is complete and
+    negative."""
     typed = infer_types(apply_null_tokens(raw))
-    distinct = C.distinct_rows(typed)
-    final = C.drop_any_null(distinct)
-    parts = [_count(typed, "rows_processed"), _count(final, "rows_final"), _count(negative_rows(final),
-                                                                                    "anomalies_found"),
-             _count(distinct, "_distinct")]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    names = ["rows_processed", "rows_final", "anomalies_found", "_distinct"]
-    row = u.agg(*[F.coalesce(F.max(F.when(F.col("name") == n, F.col("value"))), F.lit(0)).cast("bigint").alias(n)
-                  for n in names])
+    names = [F.col(f"`{c}`") for c in typed.columns]
+    complete, negative = F.lit(True), F.lit(False)
+    for c in names:
+        complete = complete & c.isNotNull()
+    for c in P.numeric_columns(typed):
+        negative = negative | F.coalesce(F.col(f"`{c}`") < 0, F.lit(False))
+    groups = typed.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).select("_n", complete.alias("_whole"), negative.alias("_minus"))
+    row = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows_processed"),
+                     F.count(F.lit(1)).cast("bigint").alias("_distinct"),
+                     F.count_if(F.col("_whole")).cast("bigint").alias("rows_final"),
+                     F.count_if(F.col("_whole") & F.col("_minus")).cast("bigint").alias("anomalies_found"))
     # The combined count (as the reference reports it) plus the two separate counters
     return row.select(
         F.lit("classic").alias("flow"), "rows_processed", "rows_final",
@@ -97,23 +99,51 @@ def classic_flow(raw: DataFrame) -> DataFrame:
         (F.col("_distinct") - F.col("rows_final")).alias("null_rows_removed"))
 
 
-def smart_flow(raw: DataFrame, model: PipelineModel | None = None, threshold: float = DD.MODEL_THRESHOLD) -> DataFrame:
-    """P1 cleaning -> duplicate pairs (the forest when given, else the rule) -> rows that are IQR outliers in
-    any numeric column of the cleaned frame."""
-    clean = cut_lineage(C.clean_customers(raw))
+@dataclass
+class Duplicates:
+    """Duplicate triples of a table with row ids: ``rows``, its ``triples``, the pairs of triples called duplicates
+    (``tid_i``, ``tid_j``, ``copies_i``, ``copies_j``), and what decided."""
+    rows: DataFrame
+    triples: DataFrame
+    pairs: DataFrame
+    copies: bool
+    variant: str
+    warning: str | None
+
+    def count(self) -> DataFrame:
+        """All duplicate pairs of rows (one row, ``value``)."""
+        return PR.row_pair_count(self.triples, self.pairs, self.copies)
+
+    def dropped(self) -> DataFrame:
+        return DD.dropped_rows(self.rows, self.pairs, PR.ROW_ID, self.copies, self.triples)
+
+
+def find_duplicates(clean: DataFrame, model: PipelineModel | None = None, threshold: float = DD.MODEL_THRESHOLD) -> Duplicates:
+    """Number the rows, pair their triples and let the rule or the forest decide; similarities are computed once and the
+    decided pairs written. A forest that saw one class predicts no pair (D7), which is a warning, not an error."""
+    rows = PR.with_row_id(clean, (KEY,))
+    t = PR.triples(rows)
     if model is None:
-        pairs = DD.rule_pairs(clean, KEY)
-    else:
-        pairs = model_pairs(clean, model, threshold)
-    flagged = P.iqr_flag(clean).where("is_outlier")
-    parts = [_count(raw, "rows_processed"), _count(clean, "rows_final"), _count(pairs, "duplicates_found"),
-             _count(flagged, "anomalies_found")]
-    return _one_row(parts, "smart")
+        return Duplicates(rows, t, cut_lineage(DD.rule_triple_pairs(t)), True, "rule", None)
+    feats = PR.similarities(PR.with_values(t, PR.candidate_pairs(t)))
+    pairs = cut_lineage(DD.predict_pairs(feats, model, threshold).select("tid_i", "tid_j", "copies_i", "copies_j"))
+    one_class = DD.model_classes(model) < 2
+    return Duplicates(rows, t, pairs, DD.copies_predicted_duplicate(model, threshold), "model",
+                      "the pair model saw one class and predicts no duplicates" if one_class else None)
 
 
-def model_pairs(clean: DataFrame, model: PipelineModel, threshold: float = DD.MODEL_THRESHOLD) -> DataFrame:
-    feats = PR.pair_features(clean, KEY)
-    return DD.predict_pairs(feats, model, threshold)
+def smart_flow(raw: DataFrame, model: PipelineModel | None = None, threshold: float = DD.MODEL_THRESHOLD) -> DataFrame:
+    """P1 cleaning -> duplicate pairs (the forest when given, else the rule; all row pairs counted) -> rows that are
+    IQR outliers in any numeric column of the cleaned frame."""
+    found = find_duplicates(C.clean_customers(raw), model, threshold)
+    clean = found.rows.drop(PR.ROW_ID)
+    flagged = P.iqr_flag(clean).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_outlier")).alias("o"))
+    both = F.array(F.struct(F.lit("rows_final").alias("name"), F.col("n").alias("value")),
+                   F.struct(F.lit("anomalies_found").alias("name"), F.col("o").alias("value")))
+    row = _one_row([_count(raw, "rows_processed"), flagged.select(F.explode(both).alias("x")).select("x.*"),
+                    found.count().select(F.lit("duplicates_found").alias("name"), "value")],
+                   ["rows_processed", "rows_final", "duplicates_found", "anomalies_found"])
+    return row.select(F.lit("smart").alias("flow"), "*", (F.col("rows_processed") - F.col("rows_final")).alias("rows_removed"))
 
 
 def flow_comparison(classic: DataFrame, smart: DataFrame) -> DataFrame:
@@ -134,52 +164,84 @@ def flow_comparison(classic: DataFrame, smart: DataFrame) -> DataFrame:
 @dataclass
 class RunResult:
     clean: DataFrame
-    pairs: DataFrame
-    dropped: DataFrame
+    dropped: DataFrame      # (_row_id, reason); ``clean`` without its ids keeps no trace of them
     final: DataFrame
     report: DataFrame
+    duplicates: Duplicates
+
+
+def run(raw: DataFrame, dedup_path: str | None = None, anomaly_path: str | None = None,
+        threshold: float = DD.MODEL_THRESHOLD) -> RunResult:
+    """Clean -> duplicate pairs (stored forest, or the rule when no model is stored) -> drop later members ->
+    anomaly score (stored isolation forest, or the IQR flag when none) -> report. Only a missing model falls back, and
+    the report says so; any other failure surfaces (X7)."""
+    spark = raw.sparkSession
+    return run_with(raw, DD.load_model(spark, dedup_path) if dedup_path else None,
+                    AN.IsolationForestModel.load(spark, anomaly_path) if anomaly_path else None, threshold)
 
 
 def run_rule(raw: DataFrame, score_model: AN.IsolationForestModel | None = None) -> RunResult:
-    """P3, rule variant: clean -> rule pairs -> drop later members -> anomaly flag (IQR, or the isolation forest
-    when a model is given) -> report."""
-    clean = cut_lineage(C.clean_customers(raw))
-    t = PR.triples(clean, KEY)
-    tp = DD.rule_triple_pairs(t)
-    dropped = DD.dropped_rows(clean, tp, KEY, True, t)
-    deduped = DD.drop_later_duplicates(clean, dropped, KEY)
-    if score_model is None:
-        final = P.iqr_flag(deduped, flag="_o").withColumn("is_anomaly", F.col("_o").cast("int")).drop("_o")
+    """P3, rule variant."""
+    return run_with(raw, None, score_model)
+
+
+def run_with(raw: DataFrame, dedup_model: PipelineModel | None, score_model: AN.IsolationForestModel | None,
+             threshold: float = DD.MODEL_THRESHOLD) -> RunResult:
+    """P3 with models at hand. Written once each: the numbered rows, the triples, the decided pairs, the dropped ids and
+    the final table; every report figure is an aggregate over one of them."""
+    found = find_duplicates(C.clean_customers(raw), dedup_model, threshold)
+    dropped = cut_lineage(found.dropped())
+    kept = cut_lineage(DD.drop_later_duplicates(found.rows, dropped).drop(PR.ROW_ID))
+    if score_model is not None:
+        final = cut_lineage(AN.score(kept, score_model))
+    elif P.numeric_columns(kept):
+        final = P.iqr_flag(kept, flag="_o").withColumn("is_anomaly", F.col("_o").cast("int")).drop("_o")
     else:
-        final = AN.score(deduped, score_model)
-    pairs = tp.withColumnRenamed("tid_i", "row_i").withColumnRenamed("tid_j", "row_j") \
-              .unionByName(PR.copy_edges(clean, t, KEY))
-    report = run_report(raw, clean, pairs, dropped, final)
-    return RunResult(clean, pairs, dropped, final, report)
-
-
-def run_report(raw: DataFrame, clean: DataFrame, pairs: DataFrame, dropped: DataFrame, final: DataFrame) -> DataFrame:
-    """One row - rows read, rows after cleaning, duplicate pairs, rows dropped (copies / fuzzy), anomalies,
-    final rows. The dropped keys stay a table (``dropped``), never a collected list."""
-    parts = [
-        raw.agg(F.count(F.lit(1)).alias("v")).select(F.lit("rows_read").alias("n"), "v"),
-        clean.agg(F.count(F.lit(1)).alias("v")).select(F.lit("rows_clean").alias("n"), "v"),
-        pairs.agg(F.count(F.lit(1)).alias("v")).select(F.lit("duplicate_pairs").alias("n"), "v"),
-        dropped.agg(F.count(F.lit(1)).alias("v")).select(F.lit("rows_dropped").alias("n"), "v"),
-        dropped.agg(F.count_if(F.col("reason") == "copy").alias("v")).select(F.lit("dropped_copies").alias("n"), "v"),
-        final.agg(F.coalesce(F.sum("is_anomaly"), F.lit(0)).alias("v")).select(F.lit("anomalies_found").alias("n"), "v"),
-        final.agg(F.count(F.lit(1)).alias("v")).select(F.lit("final_rows").alias("n"), "v"),
-    ]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    names = ["rows_read", "rows_clean", "duplicate_pairs", "rows_dropped", "dropped_copies", "anomalies_found",
-             "final_rows"]
-    return u.agg(*[F.coalesce(F.max(F.when(F.col("n") == n, F.col("v"))), F.lit(0)).cast("bigint").alias(n)
-                   for n in names])
+        final = AN.no_numeric_score(kept)
+    anomaly = "isolation forest" if score_model is not None else "iqr" if P.numeric_columns(kept) else "none"
+    return RunResult(found.rows.drop(PR.ROW_ID), dropped, final, run_report(raw, found, dropped, final, anomaly), found)
+
+
+def run_report(raw: DataFrame, found: Duplicates, dropped: DataFrame, final: DataFrame, anomaly_variant: str) -> DataFrame:
+    """One row - cleaning counters, all duplicate row pairs, rows dropped (copies / fuzzy), anomalies, final rows,
+    and which variants ran. The dropped ids stay a table, never a collected list."""
+    drops = dropped.agg(F.count(F.lit(1)).alias("a"), F.count_if(F.col("reason") == "copy").alias("b"))
+    ends = final.agg(F.coalesce(F.sum("is_anomaly"), F.lit(0)).cast("bigint").alias("a"), F.count(F.lit(1)).alias("b"))
+    counters = {"rows_before": "rows_read", "empty_rows_removed": "empty_rows_removed",
+                "exact_duplicates_removed": "exact_duplicates_removed", "invalid_emails": "invalid_emails",
+                "invalid_dates": "invalid_dates", "negative_amount_count": "negative_amounts", "rows_after": "rows_clean"}
+
+    def named(df: DataFrame, names: dict[str, str]) -> DataFrame:
+        cells = F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).cast("bigint").alias("value")) for c, n in names.items()])
+        return df.select(F.explode(cells).alias("x")).select("x.*")
+
+    parts = [named(C.clean_report(raw), counters), found.count().select(F.lit("duplicate_pairs").alias("name"), "value"),
+             named(drops, {"a": "rows_dropped", "b": "dropped_copies"}), named(ends, {"a": "anomalies_found", "b": "final_rows"})]
+    return _one_row(parts, [*counters.values(), "duplicate_pairs", "rows_dropped", "dropped_copies", "anomalies_found", "final_rows"]).select(
+        "*", F.lit(found.variant).alias("dedup_variant"), F.lit(anomaly_variant).alias("anomaly_variant"),
+        F.lit(found.warning).cast("string").alias("warning"))
+
+
+def run_files(spark: SparkSession, source: str | Sequence[str], out: str, fmt: str = "csv", dedup_path: str | None = None,
+              anomaly_path: str | None = None) -> DataFrame:
+    """P3 from path to path: read the source, write ``clean``, ``final``, ``dropped`` and ``rejects`` (malformed CSV
+    records) under ``out``, and the stamped report with all output paths as JSON; returns the report."""
+    if fmt == "csv":
+        good, rejects = split_rejects(cut_lineage(read_csv(spark, [source] if isinstance(source, str) else source, malformed="keep")))
+        SK.write_table(rejects, f"{out}/rejects")
+    else:
+        good = read_table(spark, source, fmt)
+    raw = C.integral_ids(apply_null_tokens(map_roles(normalize_headers(good))))
+    result = run(raw, dedup_path, anomaly_path)
+    for name, table in (("clean", result.clean), ("dropped", result.dropped), ("final", result.final)):
+        SK.write_table(table, f"{out}/{name}")
+    report = SK.stamp(result.report, source if isinstance(source, str) else ",".join(source)).select(
+        "*", *[F.lit(f"{out}/{name}").alias(f"{name}_path") for name in ("clean", "dropped", "final")])
+    SK.write_report_json(report, f"{out}/report")
+    return spark.read.json(f"{out}/report")
 
 
-# ---------------------------------------------------------------- P2 train, P3 run with stored models, P4 profile
+# ---------------------------------------------------------------- P2 train, P4 profile
 
 @dataclass
 class TrainResult:
@@ -191,16 +253,16 @@ class TrainResult:
 def train_models(raw: DataFrame, dedup_path: str | None = None, anomaly_path: str | None = None,
                  num_trees: int = 100, seed: int = 42) -> TrainResult:
     """Clean -> pair features -> pair forest (D5); clean -> isolation forest (M1); both saved when paths are
-    given (S12). The cleaned frame is materialised once and feeds both fits."""
-    clean = cut_lineage(C.clean_customers(raw))
-    t = PR.triples(clean, KEY)
+    given (S12). The cleaned frame is written once and feeds both fits."""
+    rows = PR.with_row_id(C.clean_customers(raw), (KEY,))
+    t = PR.triples(rows)
     feats = cut_lineage(PR.triple_pair_features(t, PR.candidate_pairs(t)))
     dedup_model = DD.train_dedup_model(feats, num_trees=num_trees, seed=seed)
-    anomaly_model = AN.train(clean, KEY, seed=seed)
+    anomaly_model = AN.train(rows.drop(PR.ROW_ID), KEY, seed=seed)
     if dedup_model is not None and dedup_path:
         DD.save_model(dedup_model, dedup_path)
     if anomaly_model is not None and anomaly_path:
-        anomaly_model.save(clean.sparkSession, anomaly_path)
+        anomaly_model.save(raw.sparkSession, anomaly_path)
     report = feats.agg(F.count(F.lit(1)).cast("bigint").alias("training_pairs"),
                        F.count_if(F.col("avg_sim") > DD.RULE_THRESHOLD).cast("bigint").alias("positive_pairs")) \
         .select("*", F.lit(dedup_model is not None).alias("dedup_model"),
@@ -209,33 +271,6 @@ def train_models(raw: DataFrame, dedup_path: str | None = None, anomaly_path: st
     return TrainResult(dedup_model, anomaly_model, report)
 
 
-def run(raw: DataFrame, dedup_path: str | None = None, anomaly_path: str | None = None,
-        threshold: float = DD.MODEL_THRESHOLD) -> RunResult:
-    """Clean -> duplicate pairs (stored forest, or the rule when no model is stored) -> drop later members ->
-    anomaly score (stored isolation forest, or the IQR flag when none) -> report. Only a missing model falls back;
-    any other failure surfaces (X7)."""
-    spark = raw.sparkSession
-    dedup_model = DD.load_model(spark, dedup_path) if dedup_path else None
-    anomaly_model = AN.IsolationForestModel.load(spark, anomaly_path) if anomaly_path else None
-    if dedup_model is None:
-        return run_rule(raw, anomaly_model)
-    clean = cut_lineage(C.clean_customers(raw))
-    t = PR.triples(clean, KEY)
-    feats = PR.triple_pair_features(t, PR.candidate_pairs(t))
-    dup_t = DD.predict_pairs(feats, dedup_model, threshold).select("tid_i", "tid_j")
-    copies = DD.copies_predicted_duplicate(dedup_model, threshold)
-    dropped = DD.dropped_rows(clean, dup_t, KEY, copies, t)
-    deduped = DD.drop_later_duplicates(clean, dropped, KEY)
-    if anomaly_model is None:
-        final = P.iqr_flag(deduped, flag="_o").withColumn("is_anomaly", F.col("_o").cast("int")).drop("_o")
-    else:
-        final = AN.score(deduped, anomaly_model)
-    pairs = dup_t.withColumnRenamed("tid_i", "row_i").withColumnRenamed("tid_j", "row_j")
-    if copies:
-        pairs = pairs.unionByName(PR.copy_edges(clean, t, KEY).select("row_i", "row_j"))
-    return RunResult(clean, pairs, dropped, final, run_report(raw, clean, pairs, dropped, final))
-
-
 def profiling(df: DataFrame, exact: bool = True) -> dict[str, DataFrame]:
     """The full profile of a table as named report frames."""
     num = P.numeric_columns(df)
@@ -249,3 +284,17 @@ def profiling(df: DataFrame, exact: bool = True) -> dict[str, DataFrame]:
     if cat:
         out["categorical"] = P.categorical_profile(df, cat)
     return out
+
+
+def profile_report(df: DataFrame, exact: bool = True) -> DataFrame:
+    """P4 as one table: ``(section, column, metric, value)``, every figure of every section as text."""
+    out = None
+    for section, frame in profiling(df, exact).items():
+        keys = [c for c in ("column", "col1") if c in frame.columns]
+        name = F.col(keys[0]).cast("string") if keys else F.lit(None).cast("string")
+        cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").cast("string").alias("value"))
+                          for c in frame.columns if c not in keys])
+        part = frame.select(F.lit(section).alias("section"), name.alias("column"), F.explode(cells).alias("x")).select(
+            "section", "column", "x.metric", "x.value")
+        out = part if out is None else out.unionByName(part)
+    return out

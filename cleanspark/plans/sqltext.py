@@ -192,17 +192,17 @@ def tokens_sql(e: str) -> str:
 
 
 PAIR_CTES = """
-elig AS (SELECT * FROM clean WHERE name IS NOT NULL AND email IS NOT NULL AND phone IS NOT NULL),
-tri AS (SELECT name, email, phone, min(customer_id) AS tid, count(*) AS copies FROM elig GROUP BY name, email, phone),
+elig AS (SELECT * FROM PAIR_TABLE WHERE name IS NOT NULL AND email IS NOT NULL AND phone IS NOT NULL),
+fst AS (SELECT *, min(PAIR_KEY) OVER (PARTITION BY name, email, phone) AS first_row FROM elig),
 keys AS (
-  SELECT tid, 'email' AS kind, email AS key FROM tri
-  UNION ALL SELECT tid, 'phone8', substr(phone, length(phone) - 7, 8) FROM tri
-  UNION ALL SELECT tid, 'name_sorted', array_to_string(list_sort(TOKENS_NAME), ' ') FROM tri),
-cand AS (SELECT DISTINCT a.tid AS tid_i, b.tid AS tid_j FROM keys a JOIN keys b ON a.kind = b.kind AND a.key = b.key
-         WHERE a.tid < b.tid AND a.key IS NOT NULL AND a.key <> ''),
-pv AS (SELECT c.tid_i, c.tid_j, a.name AS name_i, a.email AS email_i, a.phone AS phone_i,
-              b.name AS name_j, b.email AS email_j, b.phone AS phone_j
-       FROM cand c JOIN tri a ON a.tid = c.tid_i JOIN tri b ON b.tid = c.tid_j),
+  SELECT PAIR_KEY AS id, 'email' AS kind, email AS key FROM elig
+  UNION ALL SELECT PAIR_KEY, 'phone8', substr(phone, length(phone) - 7, 8) FROM elig
+  UNION ALL SELECT PAIR_KEY, 'name_sorted', array_to_string(list_sort(TOKENS_NAME), ' ') FROM elig),
+cand AS (SELECT DISTINCT a.id AS row_i, b.id AS row_j FROM keys a JOIN keys b ON a.kind = b.kind AND a.key = b.key
+         WHERE a.id < b.id AND a.key IS NOT NULL AND a.key <> ''),
+pv AS (SELECT c.row_i, c.row_j, a.first_row AS first_i, b.first_row AS first_j, a.name AS name_i, a.email AS email_i,
+              a.phone AS phone_i, b.name AS name_j, b.email AS email_j, b.phone AS phone_j
+       FROM cand c JOIN fst a ON a.PAIR_KEY = c.row_i JOIN fst b ON b.PAIR_KEY = c.row_j),
 tk AS (SELECT *, TOKENS_I AS ta, TOKENS_J AS tb FROM pv),
 ts AS (SELECT *, array_to_string(list_sort(list_intersect(ta, tb)), ' ') AS si,
               array_to_string(list_sort(list_filter(ta, lambda x: NOT list_contains(tb, x))), ' ') AS da,
@@ -210,7 +210,7 @@ ts AS (SELECT *, array_to_string(list_sort(list_intersect(ta, tb)), ' ') AS si,
 tl AS (SELECT *, length(si) AS li, length(da) AS lda, length(db) AS ldb,
               CASE WHEN length(si) > 0 THEN 1 ELSE 0 END AS sep,
               CASE WHEN da = db THEN length(da) ELSE LCS_DA_DB END AS lcs_d FROM ts),
-sims AS (SELECT tid_i, tid_j, email_i, email_j, phone_i, phone_j,
+sims AS (SELECT row_i, row_j, first_i, first_j, email_i, email_j, phone_i, phone_j,
    CASE WHEN len(ta) = 0 OR len(tb) = 0 THEN 0.0
         WHEN li > 0 AND (lda = 0 OR ldb = 0) THEN 1.0
         WHEN li = 0 THEN CASE WHEN 2 * li + 2 * sep + lda + ldb = 0 THEN 1.0
@@ -219,24 +219,25 @@ sims AS (SELECT tid_i, tid_j, email_i, email_j, phone_i, phone_j,
                       1.0 - (sep + lda) / (li + li + sep + lda), 1.0 - (sep + ldb) / (li + li + sep + ldb)) END
      AS name_sim,
    INDEL_EMAIL AS email_sim, INDEL_PHONE AS phone_sim FROM tl),
-feat AS (SELECT tid_i AS row_i, tid_j AS row_j, name_sim, email_sim, phone_sim,
+feat AS (SELECT row_i, row_j, first_i, first_j, name_sim, email_sim, phone_sim,
                 (name_sim + email_sim + phone_sim) / 3.0 AS avg_sim FROM sims),
-copies AS (SELECT t.tid AS row_i, e.customer_id AS row_j, 1.0 AS name_sim, 1.0 AS email_sim, 1.0 AS phone_sim,
-                  1.0 AS avg_sim FROM elig e JOIN tri t USING (name, email, phone) WHERE e.customer_id <> t.tid),
-pairs AS (SELECT * FROM feat UNION ALL SELECT * FROM copies),
-dup_tri AS (SELECT row_i AS tid_i, row_j AS tid_j FROM feat WHERE avg_sim > 0.7),
-pm AS (SELECT tid, min(partner) AS partner_min FROM (SELECT tid_j AS tid, tid_i AS partner FROM dup_tri
-       UNION ALL SELECT tid_i, tid_j FROM dup_tri) GROUP BY tid),
-mem AS (SELECT e.customer_id, t.tid FROM elig e JOIN tri t USING (name, email, phone)),
-dropped AS (SELECT m.customer_id, CASE WHEN m.customer_id > m.tid THEN 'copy' ELSE 'fuzzy' END AS reason
-            FROM mem m LEFT JOIN pm USING (tid)
-            WHERE m.customer_id > m.tid OR coalesce(m.customer_id > pm.partner_min, false)),
-deduped AS (SELECT * FROM clean WHERE customer_id NOT IN (SELECT customer_id FROM dropped))
+listed AS (SELECT * FROM feat WHERE row_i = first_i AND (row_j = first_j OR first_i = first_j)),
+dup AS (SELECT * FROM feat WHERE avg_sim > 0.7),
+dropped AS (SELECT row_j AS PAIR_KEY, CASE WHEN bool_or(first_i = first_j) THEN 'copy' ELSE 'fuzzy' END AS reason
+            FROM dup GROUP BY row_j),
+deduped AS (SELECT * FROM PAIR_TABLE WHERE PAIR_KEY NOT IN (SELECT PAIR_KEY FROM dropped))
 """
 PAIR_CTES = (PAIR_CTES.replace("TOKENS_NAME", tokens_sql("name")).replace("TOKENS_I", tokens_sql("name_i"))
              .replace("TOKENS_J", tokens_sql("name_j")).replace("LCS_DA_DB", lcs("da", "db"))
              .replace("INDEL_EMAIL", indel("email_i", "email_j")).replace("INDEL_PHONE", indel("phone_i", "phone_j")))
 
 
+def pair_ctes(table: str = "clean", key: str = "customer_id") -> str:
+    """J2 and J3 over single rows of ``table``: every pair of rows that shares a block key is compared (rows with equal
+    values too), and a row goes when an earlier row is its duplicate. ``listed`` are the pairs a report shows: between
+    the first rows of equal values, and from a first row to its copies."""
+    return PAIR_CTES.replace("PAIR_TABLE", table).replace("PAIR_KEY", key).strip()
+
+
 def with_pairs(body: str) -> str:
-    return f"WITH {CLEAN_CTES.strip()},\n{PAIR_CTES.strip()}\n{body}"
+    return f"WITH {CLEAN_CTES.strip()},\n{pair_ctes()}\n{body}"

@@ -57,7 +57,7 @@ def test_no_numeric_column_gives_no_model(spark):
 
 def test_pair_forest_agrees_with_rule(spark):
     clean = C.clean_customers(FX.narrow_customers(spark, SF001)).cache()
-    feats = PR.pair_features(clean).cache()
+    feats = PR.pair_features(clean, "customer_id", keys=(*PR.DEFAULT_KEYS, "name_token")).cache()
     model = DD.train_dedup_model(feats, num_trees=20)
     pred = DD.predict_pairs(feats, model).select("row_i", "row_j")
     rule = feats.where("avg_sim > 0.7").select("row_i", "row_j")
@@ -76,7 +76,9 @@ def test_pair_forest_agrees_with_rule(spark):
 def test_one_class_model_predicts_nothing(spark):
     feats = spark.createDataFrame([(0.1, 0.2, 0.3, 0.2)] * 5, list(DD.FEATURES))
     model = DD.train_dedup_model(feats, num_trees=3)
-    assert DD.predict_pairs(feats, model).count() == 0 or DD.model_classes(model) >= 2
+    assert DD.model_classes(model) == 1 and DD.predict_pairs(feats, model).count() == 0
+    only = spark.createDataFrame([(0.9, 0.9, 0.9, 0.9), (1.0, 1.0, 1.0, 1.0)] * 5, list(DD.FEATURES))
+    assert DD.predict_pairs(only, DD.train_dedup_model(only, num_trees=3)).count() == 0
     assert DD.train_dedup_model(feats.limit(0)) is None
 
 
@@ -134,6 +136,10 @@ def test_stream_dedup_and_windows(spark):
     w = ST.run_to_files(spark, ST.quality_counters(ST.read_stream(spark, src2, ntz), "ts", "value"), "t-win",
                         output_mode="complete")
     assert spark.read.parquet(w).agg(F.sum("rows")).collect()[0][0] == ntz.count()
+    closed = ST.run_to_files(spark, ST.quality_counters(ST.read_stream(spark, src2, ntz), "ts", "value"), "t-app")
+    full = {r[0]: r[1] for r in spark.read.parquet(w).select("window_start", "rows").collect()}
+    part = {r[0]: r[1] for r in spark.read.parquet(closed).select("window_start", "rows").collect()}
+    assert part and part.items() <= full.items()  # append mode: every closed window once, open ones not yet
 
 
 def test_train_then_run_with_stored_models(spark):
@@ -151,7 +157,76 @@ def test_train_then_run_with_stored_models(spark):
     # a missing model falls back to the rule and the IQR flag
     fb = FL.run(raw, f"{base}/none", f"{base}/none2").report.collect()[0]
     rule = FL.run_rule(raw).report.collect()[0]
-    assert fb == rule
+    assert fb == rule and (fb["dedup_variant"], fb["anomaly_variant"], fb["warning"]) == ("rule", "iqr", None)
+    assert (r["dedup_variant"], r["anomaly_variant"]) == ("model", "isolation forest")
+
+
+def test_run_reports_a_one_class_model(spark):
+    from cleanspark.plans import flows as FL
+    model = DD.train_dedup_model(spark.createDataFrame([(0.1, 0.2, 0.3, 0.2)] * 5, list(DD.FEATURES)), num_trees=3)
+    r = FL.run_with(FX.dirty_customers(spark, SF001), model, None).report.collect()[0]
+    assert r["rows_dropped"] == 0 and "one class" in r["warning"]
+
+
+def test_run_from_path_to_path(spark):
+    """French headers, text ids, quotes and line breaks inside fields, a malformed record, two header orders."""
+    from cleanspark.plans import flows as FL
+    base = tempfile.mkdtemp(prefix="run-")
+    with open(f"{base}/a.csv", "w") as f:
+        f.write('Patient_ID,Nom,Email,Telephone,prix_DT\nP1,"Ann ""A"" Lee",ann@x.tn,22334455,10\nP1_BIS,"Ann ""A"" Lee",ann@x.tn,22334455,10\n'
+                'P2,"Bob\nRay",bob@y.tn,98765432,20\nP9,too,many,fields,1,2,3\n')
+    with open(f"{base}/b.csv", "w") as f:
+        f.write("Email,Patient_ID,Nom\ncid@z.tn,P3,Cid\n,,\n")
+    r = FL.run_files(spark, [f"{base}/a.csv", f"{base}/b.csv"], f"{base}/out").collect()[0]
+    assert (r["rows_read"], r["empty_rows_removed"], r["rows_clean"], r["duplicate_pairs"], r["rows_dropped"], r["final_rows"]) == (5, 1, 4, 1, 1, 3)
+    final = {x["customer_id"]: x for x in spark.read.parquet(r["final_path"]).collect()}
+    assert set(final) == {"P1", "P2", "P3"} and final["P1"]["name"] == 'ann "a" lee' and final["P3"]["email"] == "cid@z.tn"
+    assert final["P2"]["name"].split() == ["bob", "ray"] and spark.read.parquet(f"{base}/out/rejects").count() == 1
+    assert r["input_path"].endswith("b.csv") and r["generated_at"]
+
+
+def test_csv_errors_surface(spark):
+    base = tempfile.mkdtemp(prefix="csv-")
+    os.makedirs(f"{base}/d")
+    for name, text in (("1.csv", "name,email\nann,a@x.tn\n"), ("2.csv", "email,name\nb@y.tn,bob\n")):
+        with open(f"{base}/d/{name}", "w") as f:
+            f.write(text)
+    with pytest.raises(Exception):  # another header under one path is refused, not read by position
+        R.read_table(spark, f"{base}/d", "csv").collect()
+    both = R.read_table(spark, [f"{base}/d/1.csv", f"{base}/d/2.csv"], "csv").collect()
+    assert {(r["name"], r["email"]) for r in both} == {("ann", "a@x.tn"), ("bob", "b@y.tn")}
+    with open(f"{base}/bad.csv", "w") as f:
+        f.write("name,email\nann\n")
+    with pytest.raises(Exception):
+        R.read_table(spark, f"{base}/bad.csv", "csv").collect()
+
+
+def test_load_rejects_and_saved_tables(spark):
+    df = spark.createDataFrame([(1, 3_000_000_000, 1.5), (2, 5, 123_456_789_012.0), (3, 6, float("nan"))], "k int, customer_id long, amount double")
+    assert {(r["key"], r["column"]) for r in SK.load_rejects(df, "k").collect()} == {(1, "customer_id"), (2, "amount"), (3, "amount")}
+    typed = SK.typed_load(df)
+    SK.save_table(typed, "loaded_customers", partition_by=None)
+    assert spark.table("loaded_customers").count() == 3 and spark.table("loaded_customers").where("customer_id IS NULL").count() == 1
+    spark.sql("DROP TABLE loaded_customers")
+
+
+def test_forest_without_a_usable_key(spark):
+    df = spark.range(20_000).select(F.lit(None).cast("long").alias("key"), (F.col("id") % 977).cast("double").alias("x"))
+    model = AN.train(df.withColumn("y", F.rand(1)), "key", features=["x", "y"], n_trees=5)
+    assert model.trees["tree"].nunique() == 5 and 0 < model.threshold < 1
+    with pytest.raises(ValueError, match="too many rows are equal"):
+        AN.train(spark.range(200_000).select(F.lit(1).alias("key"), F.lit(2.0).alias("x")), "key", n_trees=100)
+
+
+def test_scoring_uses_the_means_of_the_scored_frame(spark, dirty_clean):
+    model = AN.train(dirty_clean, "customer_id", n_trees=10)
+    part = dirty_clean.where("amount > 0 OR amount IS NULL")
+    mean = part.agg(F.avg("amount")).collect()[0][0]
+    a = {r["customer_id"]: r["anomaly_score"] for r in AN.score(part, model).collect()}
+    b = {r["customer_id"]: r["anomaly_score"] for r in AN.score(part.fillna(mean, ["amount"]), model).collect()}
+    assert a == pytest.approx(b)
+    text = spark.createDataFrame([("a",)], "t string")
+    assert tuple(AN.score(text, model).collect()[0]) == ("a", 0, 0.0)
 
 
 def test_profiling_flow_and_stamp(spark, dirty_clean):
