@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import LOWER, SPACE_CHARS, UPPER, c
+from .base import LOWER, SPACE_CHARS, UPPER, c, written
 
 PIECES = 16
 
@@ -36,9 +36,10 @@ def drop_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
     keyed = lines.select("doc_id", "text_hash", "pos", line_key(F.col("line")).alias("key")).filter(
         F.length("key") >= min_chars)
-    occurrences = keyed.select(
+    # written once: range bounds, the stream and the join read it, and lines are split and hashed a single time
+    occurrences = written(keyed.select(
         F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), F.col("key")).alias("h2"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(pieces)).cast("int").alias("piece"), "doc_id", "text_hash", "pos")
+        F.pmod(F.xxhash64("doc_id"), F.lit(pieces)).cast("int").alias("piece"), "doc_id", "text_hash", "pos"), "lines")
     ranged = (occurrences.repartitionByRange("h1", "h2", "piece")
               .sortWithinPartitions("h1", "h2", "piece", F.desc_nulls_last("doc_id"), "text_hash", "pos"))
     stream = Window.partitionBy("h1", "h2", "piece").orderBy(F.desc_nulls_last("doc_id"), "text_hash", "pos")
