@@ -36,13 +36,14 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"d
            "tbody": ({"tbody", "thead", "tfoot"}, {"table"}), "thead": ({"tbody", "thead", "tfoot"}, {"table"}),
            "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}), "option": ({"option"}, {"select", "datalist"})}
 #: What is not the article: by element, by role, and by the words of class and id.
-NOT_ARTICLE = frozenset("nav footer aside header form menu dialog".split())
+NOT_ARTICLE = frozenset("nav footer aside form menu dialog".split())
 NOT_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 NOT_ARTICLE_WORDS = frozenset(
-    "nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer sidebar aside ad ads advert adverts advertisement "
+    "nav navbar navigation menu breadcrumb breadcrumbs masthead topbar footer sidebar aside ad ads advert adverts advertisement "
     "advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice alert popup modal overlay newsletter "
     "subscribe subscription signup login social share sharing related recommended recommendations comment comments commentlist respond "
     "replies disqus discussion widget toolbar pagination pager search skip".split())
+HEADER_WORDS = frozenset(("header",))  # an article's own header belongs to it
 COMMENT_WORDS = frozenset("comment comments reply replies".split())
 #: Names that are never judged by class, and those that hold a page's article (an article may be a comment).
 SAFE, WHOLE = frozenset(("html", "body", "main")), frozenset(("article", "main"))
@@ -64,7 +65,7 @@ class Page:
     """The tree of one page in document order. Node 0 stands above everything."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.out = [""], [-1], [False]
+        self.tag, self.parent, self.out, self.header = [""], [-1], [False], [False]
         self.events: list[tuple[int, int, str]] = []  # (node, kind, text): 0 start, 1 end, 2 text
         self._read(source)
 
@@ -105,6 +106,7 @@ class Page:
             tag.append(name)
             parent.append(stack[-1])
             self.out.append(name in HIDDEN or bool(m[3]) and self._named_out(name, m[3]))
+            self.header.append(name == "header" or bool(m[3]) and self._named_out(name, m[3], HEADER_WORDS))
             events.append((node, 0, ""))
             stack.append(node)
             if name in VOID or m[3].endswith("/") and name not in BLOCK and name not in RAW and name != "a":
@@ -125,7 +127,7 @@ class Page:
                 return
 
     @staticmethod
-    def _named_out(name: str, attributes: str) -> bool:
+    def _named_out(name: str, attributes: str, words: frozenset[str] = NOT_ARTICLE_WORDS) -> bool:
         if name in SAFE:
             return False
         for m in _NAMED.finditer(attributes):
@@ -133,7 +135,7 @@ class Page:
             if key == "hidden" and m.group(0).lower() == "hidden":
                 return True
             if key == "role" and value.strip() in NOT_ARTICLE_ROLES or key in ("class", "id") and not (
-                    COMMENT_WORDS if name == "article" else NOT_ARTICLE_WORDS).isdisjoint(_WORDS.findall(value)):
+                    COMMENT_WORDS if name == "article" else words).isdisjoint(_WORDS.findall(value)):
                 return True
         return False
 
@@ -158,7 +160,7 @@ class Page:
         # elements that are not the article, with all that is in them
         gone = hidden[:]
         for i in range(1, n):
-            named = self.out[i] or tag[i] in NOT_ARTICLE and not (tag[i] == "header" and inside[i])
+            named = self.out[i] or tag[i] in NOT_ARTICLE or self.header[i] and not inside[i]
             sure = holds[0] or tag[i] in ("nav", "footer", "aside", "menu", "dialog") or total[i] < MOST * total[0]
             gone[i] = gone[i] or gone[parent[i]] or named and sure and not holds[i]
 

@@ -99,6 +99,7 @@ WHOLE = f"{html.unescape(P1)}\n{P2}"
     (f"<div><div class='cookie-notice'>{P2}</div><div class='ad banner'>{P2}</div><div><p>{P1}</p><p>{P2}</p></div></div>", WHOLE),
     (f"<article><p>{P1}</p><ul><li><a href=1>one</a><li><a href=2>two</a><li><a href=3>three</a></ul><ul><li>point<li>next</ul></article>",
      html.unescape(P1) + "\npoint\nnext"),
+    (f"<div class='page-header'>{P2}</div><article><div class='entry-header'><h1>H</h1></div><p>{P1}</p></article>", "H\n" + html.unescape(P1)),
     ("<article>x</article><footer>a footer that is far longer than the whole article</footer>", "x"),
     ("<body><nav>only a menu</nav></body>", ""), ("<p>a<br>b<script>x</script>c<!-- <p>no</p> -->d</p>", "a bcd"),
     ("<p>un\n  closed\t&#233;&eacute; <a href='x>y", "un closed éé y"), ("<article><table><tr><td>a<td>b</table></article>", "a\nb"),
