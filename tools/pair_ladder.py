@@ -35,10 +35,10 @@ def main() -> None:
         raw = FX.dirty_customers(spark, sf) if a.fixture == "dirty" else FX.narrow_customers(spark, sf)
         clean = cut_lineage(C.clean_customers(raw))
         t0 = time.perf_counter()
-        t = PR.triples(clean)
+        t = PR.triples(clean, "customer_id")
         cand = cut_lineage(PR.candidate_pairs(t))
         n_cand = cand.count()
-        _, dropped, tp = DD.dedup_rule(clean)
+        _, dropped, tp = DD.dedup_rule(clean, "customer_id")
         n_pairs, n_dropped = tp.count(), dropped.count()
         secs = time.perf_counter() - t0
         elig = [r.asDict() for r in PR.eligible(clean).select("customer_id", *PR.COMPARED).collect()]
