@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import hashlib
 import re
 import sys
 import unicodedata
@@ -18,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +26,9 @@ from cleanspark.session import ship_package
 from .base import c
 
 #: Matches remembered in each Python worker (a memo: when full it starts again), and the longest that is.
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 64
-#: Characters of text handled at once.
-SLICE_CHARS = 1 << 20
+MEMO_ENTRIES, MEMO_CHARS = 150_000, 64
+#: Bytes of text, or tokens, handled at once.
+SLICE = 1 << 19
 
 
 def rank_file(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
@@ -96,7 +96,7 @@ def splitter(pattern: str):
 
 
 class ByteBpe:
-    """Encoder and decoder of one rank file, with its memo."""
+    """The encoder of one rank file, with its memo."""
 
     def __init__(self, content: bytes, pattern: str):
         from tokenizers import Tokenizer, models, pre_tokenizers
@@ -109,15 +109,7 @@ class ByteBpe:
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.findall = splitter(pattern).findall
         self.memo: dict[str, bytes] = {}
-        # decoding: all token bytes in one array; ids that name no token decode to nothing known, U+FFFD
-        top = max(ranks.values(), default=-1) + 1
-        tokens = ["\ufffd".encode()] * (top + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
-        self.unknown = top
-        self.length = np.array([len(t) for t in tokens], np.int64)
-        self.start = np.cumsum(self.length) - self.length
-        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.length = Spelling(content).length
 
     def pieces(self, texts: list[str]) -> list[list[str]]:
         return [self.findall(t) for t in texts]
@@ -146,6 +138,21 @@ class ByteBpe:
         char = np.cumsum((raw & 0xC0) != 0x80) - 1
         return (char[starts] if len(ids) else starts).astype(np.int32), (char[ends - 1] + 1 if len(ids) else ends).astype(np.int32)
 
+
+class Spelling:
+    """The decoder of one rank file: all token bytes in one array. Ids that name no token spell U+FFFD."""
+
+    def __init__(self, content: bytes):
+        ranks = parse_ranks(content)
+        top = max(ranks.values(), default=-1) + 1
+        tokens = ["\ufffd".encode()] * (top + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.unknown = top
+        self.length = np.array([len(t) for t in tokens], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of the ids, one after the other, and each one's length."""
         ids = np.where((ids >= 0) & (ids < self.unknown), ids, self.unknown)
@@ -154,15 +161,22 @@ class ByteBpe:
         return self.bytes[shift + np.arange(len(shift))], length
 
 
-_BUILT: dict[tuple[str, str], ByteBpe] = {}
+@functools.lru_cache(maxsize=2)
+def built(content: bytes, pattern: str) -> ByteBpe:
+    """One encoder per Python worker and rank file."""
+    return ByteBpe(content, pattern)
 
 
-def built(content: bytes, pattern: str) -> ByteBpe:
-    """One instance per Python worker and rank file."""
-    key = (hashlib.sha256(content).hexdigest(), pattern)
-    if key not in _BUILT:
-        _BUILT[key] = ByteBpe(content, pattern)
-    return _BUILT[key]
+@functools.lru_cache(maxsize=2)
+def spelling(content: bytes) -> Spelling:
+    """One decoder per Python worker and rank file."""
+    return Spelling(content)
+
+
+def text_slices(column: pa.Array, most: int) -> Iterator[tuple[int, int, list[str | None]]]:
+    """Ranges of rows of a string column that hold about ``most`` bytes, and their texts."""
+    for a, b in slices(pc.fill_null(pc.binary_length(column), 0).to_pylist(), most):
+        yield a, b, column.slice(a, b - a).to_pylist()
 
 
 def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
@@ -198,14 +212,13 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     def run(batches):
         bpe = built(ranks.value, pattern)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                packed = bpe.packed(texts[a:b])
+            for a, b, texts in text_slices(batch.column(batch.num_columns - 1), SLICE):
+                packed = bpe.packed(texts)
                 bounds = pa.array(np.cumsum([0, *(len(p) // 4 for p in packed)]), pa.int32())
                 lists = lambda parts: pa.ListArray.from_arrays(bounds, pa.array(parts, pa.int32()))
                 columns = [*(x.slice(a, b - a) for x in batch.columns[:-1]), lists(np.frombuffer(b"".join(packed), "<i4"))]
                 if offsets:
-                    spans = [bpe.offsets(t, np.frombuffer(p, "<i4")) for t, p in zip(texts[a:b], packed)]
+                    spans = [bpe.offsets(t, np.frombuffer(p, "<i4")) for t, p in zip(texts, packed)]
                     columns += [lists(np.concatenate([s[k] for s in spans])) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "ids", "starts", "ends"][:len(columns)])
 
@@ -224,14 +237,14 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: st
     schema = ", ".join([f"doc_id {kinds['doc_id']}", *(f"`{k}` {kinds[k]}" for k in keep), "bytes binary"])
 
     def run(batches):
-        bpe = built(ranks.value, pattern)
+        spell = spelling(ranks.value)
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
             sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64) * lists.is_valid().to_numpy(zero_copy_only=False)
-            for a, b in slices(sizes.tolist(), SLICE_CHARS):
+            for a, b in slices(sizes.tolist(), SLICE):
                 part = lists.slice(a, b - a)
                 ids = part.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-                raw, length = bpe.decode(ids)
+                raw, length = spell.decode(ids)
                 cuts = np.concatenate([[0], np.cumsum(sizes[a:b])])
                 ends = np.concatenate([[0], np.cumsum(length)])[cuts]
                 null = ~part.is_valid().to_numpy(zero_copy_only=False)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from cleanspark.session import ship_package
 
 from .base import c
+from .bpe import text_slices
 from .words import mix
 
 #: Lengths of the n-grams: inside a word or touching its ends.
@@ -28,8 +29,8 @@ SIZES = (3, 4)
 MIN_SHARE = 1e-5
 #: Cells of the filter (a power of two) and cells probed per n-gram; 64 languages take 8 bytes a cell.
 CELLS, PROBES = 1 << 20, 3
-#: Characters of text handled at once.
-SLICE_CHARS = 1 << 20
+#: Bytes of text handled at once.
+SLICE = 1 << 18
 UNDETERMINED = "und"
 
 
@@ -70,18 +71,6 @@ def gram_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(owners)
 
 
-def _slices(texts):
-    start, total = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
-        if i > start and total + n > SLICE_CHARS:
-            yield start, i
-            start, total = i, 0
-        total += n
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def gram_counts(labelled: DataFrame) -> DataFrame:
     """``lang, gram, n`` of all texts of ``labelled`` (text, lang): each task sums its own, Spark the tasks'."""
 
@@ -96,14 +85,14 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
             sums.clear()
 
         for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False)
-            for a, b in _slices(texts):
-                hashes, owner = gram_hashes(texts[a:b])
+            langs = batch.column(1).to_numpy(zero_copy_only=False)
+            for a, b, texts in text_slices(batch.column(0), SLICE):
+                hashes, owner = gram_hashes(texts)
                 of = langs[a:b][owner]
                 for lang in set(langs[a:b]):
                     new = pd.Series(hashes[of == lang]).value_counts(sort=False)
                     sums[lang] = sums[lang].add(new, fill_value=0) if lang in sums else new
-                if sum(map(len, sums.values())) > 2_000_000:
+                if sum(map(len, sums.values())) > 500_000:
                     yield from out()
         yield from out()
 
@@ -181,9 +170,8 @@ def predict(df: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_co
     def run(batches):
         known = LanguageModel(*shared.value)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in _slices(texts):
-                names, scores = known.predict(texts[a:b])
+            for a, b, texts in text_slices(batch.column(1), SLICE):
+                names, scores = known.predict(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(names, pa.string()), pa.array(scores)],
                                                  names=["doc_id", "lang_pred", "score"])
 

@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from cleanspark.session import ship_package
 
 from .base import c
-from .bpe import parse_ranks, rank_file, slices
+from .bpe import parse_ranks, rank_file, text_slices
 
 #: Word counts remembered in each Python worker (a memo: when full it starts again), and the longest word that is.
-MEMO_ENTRIES, MEMO_CHARS = 500_000, 64
-SLICE_CHARS = 1 << 20
+MEMO_ENTRIES, MEMO_CHARS = 200_000, 64
+SLICE = 1 << 19
 
 
 class Automaton:
@@ -119,9 +119,8 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches):
         automaton = _automaton(vocabulary.value, prefix)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                split = [t.split() for t in texts[a:b]]
+            for a, b, texts in text_slices(batch.column(1), SLICE):
+                split = [t.split() for t in texts]
                 sizes = np.array([len(w) for w in split], np.int64)
                 n = np.array(automaton.counts([w for words in split for w in words]), np.int64)
                 ends = np.cumsum(sizes)
