@@ -33,16 +33,15 @@ WITH base AS (
     CASE WHEN k % 71 = 0 THEN 'null' WHEN k % 2 = 0 THEN 'TN' ELSE 'tn ' END AS country,
     CASE WHEN k % 71 = 0 OR k % 53 = 0 THEN 'nan' WHEN k % 4 = 0 THEN yy || '-' || mm || '-' || dd WHEN k % 4 = 1 THEN yy || '/' || mm || '/' || dd
          WHEN k % 4 = 2 THEN dd || '-' || mm || '-' || yy ELSE dd || '/' || mm || '/' || yy END AS signup_date,
-    CASE WHEN k % 71 = 0 OR k % 61 = 0 THEN NULL WHEN k % 59 = 0 THEN 'abc' ELSE CAST(bal AS STRING) END AS amount
+    CASE WHEN k % 71 = 0 OR k % 61 = 0 THEN NULL WHEN k % 59 = 0 THEN 'abc' ELSE CAST(bal AS STRING) END AS amount, fn, ln, dom
   FROM base
 ), parts AS (
-  SELECT o.*, b.fn, b.ln, b.dom, 
-         substr(o.email, 1, 2) || 'x' || substr(o.email, 4) AS email_typo,
+  SELECT o.*, substr(o.email, 1, 2) || 'x' || substr(o.email, 4) AS email_typo,
          substr(o.phone, 1, length(o.phone) - 1) || translate(substr(o.phone, length(o.phone), 1), '0123456789', '1234567890') AS phone_typo
-  FROM one o JOIN base b ON o.customer_id = b.k
+  FROM one o
 )
-SELECT * FROM one
-UNION ALL SELECT * FROM one WHERE customer_id % 10 = 0
+SELECT customer_id, name, email, phone, city, country, signup_date, amount FROM one
+UNION ALL SELECT customer_id, name, email, phone, city, country, signup_date, amount FROM one WHERE customer_id % 10 = 0
 UNION ALL SELECT customer_id + 1000000, upper(ln) || ' ' || fn, email_typo, phone, city, country, signup_date, amount FROM parts WHERE customer_id % 21 = 0
 UNION ALL SELECT customer_id + 1000000, fn || ' ' || reverse(ln), email, phone_typo, city, country, signup_date, amount FROM parts WHERE customer_id % 21 = 7
 UNION ALL SELECT customer_id + 1000000, name, email_typo, phone_typo, city, country, signup_date, amount FROM parts WHERE customer_id % 21 = 14
