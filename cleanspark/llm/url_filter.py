@@ -1,30 +1,32 @@
 """URL filter: rules first, then the ratio of two character language models.
 
 A smoothed variable-order Markov model is learned for the URLs that the rules accept and one for those they reject.
-A character is predicted from the longest context that the model holds; shorter contexts are mixed in by their
-counts. A context is held from ``min_share`` of its class's characters on, which bounds the model (at most
-1 / min_share contexts per order and class) whatever the corpus. The score of a URL is the log-likelihood difference
-per character; the threshold is calibrated on ruled URLs that the models have not seen.
+A character is predicted from the longest context that was seen; shorter contexts are mixed in by their counts. All
+counts are kept, as a table in the shared folder that grows with the input. URLs are scored in chunks: a chunk's
+distinct n-grams and contexts are joined with the counts, and one task scores the chunk from what comes back, so no
+task holds the model and a common n-gram is one row a chunk. The score of a URL is the log-likelihood difference per
+character; the threshold is calibrated on ruled URLs that the models have not seen.
 """
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cleanspark.session import ship_package
 
-from .base import LOWER, UPPER, c
+from .base import LOWER, UPPER, c, written
 from .words import mix
 
 #: The rules of the contract as (host, path, verdict); a rule reads host + path.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 #: Longest context in characters.
 ORDER = 5
-#: A context or n-gram is held from this share of its class's characters on.
-MIN_SHARE = 1e-5
+#: Bytes of URLs that are scored together; a longer URL is a chunk of its own.
+CHUNK_BYTES = 1 << 17
 #: Weight of the shorter context, in observations.
 SMOOTHING = 2.0
 #: Width of the score bins that the threshold is calibrated on, and their range.
@@ -172,10 +174,9 @@ class UrlModel:
         return np.bincount(owner, weights=difference, minlength=len(urls)) / lengths
 
 
-def train(labelled: DataFrame, min_share: float = MIN_SHARE) -> UrlModel:
-    """The model of all rows of ``labelled`` (url, label). The driver receives the n-grams held, at most
-    2 * (2 * ORDER + 1) / min_share rows."""
-    spark = labelled.sparkSession
+def train(labelled: DataFrame, min_share: float = 0.0) -> UrlModel:
+    """The model of all rows of ``labelled`` (url, label) on the driver, for small inputs; ``filter_urls`` does not
+    collect its counts. With ``min_share`` what has less than this share of its class's characters is left out."""
     counts = gram_counts(labelled).persist()
     totals = {r["label"]: r["n"] for r in counts.filter("kind = 1 AND gram = 0").select("label", "n").collect()}
     least = F.create_map(*[F.lit(x) for label in (ACCEPT, REJECT) for x in (label, float(totals.get(label, 0) * min_share))])
@@ -187,23 +188,80 @@ def train(labelled: DataFrame, min_share: float = MIN_SHARE) -> UrlModel:
     return UrlModel(parts)
 
 
-def score(df: DataFrame, model: UrlModel) -> DataFrame:
-    """``df``, which has a column ``url``, with ``score``; a null url is scored as an empty one."""
-    shared = df.sparkSession.sparkContext.broadcast(model.parts)
+def class_counts(labelled: DataFrame) -> DataFrame:
+    """``kind, gram, accept, reject``: how often both classes of ``labelled`` (url, label) hold each n-gram and context."""
+    def of(label: int) -> Column:
+        return F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(F.lit(0)))
+
+    return gram_counts(labelled).groupBy("kind", "gram").agg(of(ACCEPT).alias("accept"), of(REJECT).alias("reject"))
+
+
+def _chunked(df: DataFrame) -> DataFrame:
+    """``df``, which has a column ``url``, with ``chunk``: rows of a task that follow each other, CHUNK_BYTES at most."""
     position = df.columns.index("url")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", score double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", chunk bigint"
 
     def run(batches):
-        known = UrlModel(shared.value)
+        chunk, size = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
-            urls = [u or "" for u in batch.column(position).to_pylist()]
-            for a, b in _slices(urls):
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(known.scores(urls[a:b]))], names=[*part.schema.names, "score"])
+            lengths = [len((u or "").encode("utf-8", "surrogatepass")) + ORDER + 1 for u in batch.column(position).to_pylist()]
+            chunks = np.empty(len(lengths), np.int64)
+            for i, length in enumerate(lengths):
+                if size and size + length > CHUNK_BYTES:
+                    chunk, size = chunk + 1, 0
+                size += length
+                chunks[i] = chunk
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunks)], names=[*batch.schema.names, "chunk"])
 
     return df.mapInArrow(run, schema)
 
 
+def _wanted(chunked: DataFrame) -> DataFrame:
+    """``chunk, kind, gram``: the n-grams and contexts of each chunk's URLs, each once a chunk and batch."""
+
+    def run(batches):
+        for batch in batches:
+            urls, chunks = [u or "" for u in batch.column(0).to_pylist()], batch.column(1).to_numpy()
+            starts = [0, *(np.flatnonzero(np.diff(chunks)) + 1), len(urls)]
+            for a, b in zip(starts, starts[1:]):
+                if a == b:
+                    continue
+                codes, lengths = _codes(list(dict.fromkeys(urls[a:b])))
+                at, grams = _gram_hashes(codes, lengths)
+                contexts = [np.zeros(1, np.uint64), *_context_hashes(codes, at)]
+                found = [np.unique(np.concatenate(x)) for x in (grams, contexts)]
+                n = sum(map(len, found))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, chunks[a])), pa.array(np.repeat(np.arange(2, dtype=np.int32), [len(x) for x in found])),
+                     pa.array(np.concatenate(found).view(np.int64))], names=["chunk", "kind", "gram"])
+
+    return chunked.select("url", "chunk").mapInArrow(run, "chunk bigint, kind int, gram bigint")
+
+
+def score(df: DataFrame, counts: DataFrame) -> DataFrame:
+    """``df``, which has a column ``url``, with ``score`` by the ``class_counts``; a null url is scored as an empty one."""
+    position = df.columns.index("url")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", score double"
+    chunked = written(_chunked(df), "url-chunks")
+    known = _wanted(chunked).join(counts, ["kind", "gram"]).select("chunk", "kind", "gram", "accept", "reject")
+
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        kind, gram = found["kind"].to_numpy(), found["gram"].to_numpy().view(np.uint64)
+        parts = {}
+        for label, name in ((ACCEPT, "accept"), (REJECT, "reject")):
+            n = found[name].to_numpy()
+            for k in (0, 1):
+                own = (kind == k) & (n > 0)
+                parts[label, k] = gram[own], n[own]
+        rows = rows.drop_columns(["chunk"])
+        urls = [u or "" for u in rows.column(position).to_pylist()]
+        distinct = {u: i for i, u in enumerate(dict.fromkeys(urls))}
+        scores = UrlModel(parts).scores(list(distinct))
+        return rows.append_column("score", pa.array(scores[[distinct[u] for u in urls]]))
+
+    return chunked.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)
+
+
 def calibrate(scored: DataFrame) -> float:
     """The threshold with the best balanced accuracy on ruled rows (label, score), from counts per bin; of equal
     ones the middle. 0 where a class is missing."""
@@ -221,7 +279,7 @@ def calibrate(scored: DataFrame) -> float:
     return float((best[0] + best[-1]) / 2 - top) * BIN
 
 
-def filter_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, min_share: float = MIN_SHARE) -> DataFrame:
+def filter_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
     """One row per input row: ``page_id, host, path, rule, verdict, score``.
 
     A rule decides where one fits, else the model: allow from the threshold on. The models learn from all ruled URLs
@@ -236,8 +294,9 @@ def filter_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", ru
     label = F.when(F.col("ruled.verdict") == "allow", ACCEPT).otherwise(REJECT)
     known = ruled.filter("ruled IS NOT NULL").select("url", label.alias("label"))
     unseen = F.crc32("url") % 5 == 0
-    model = train(known.filter(~unseen), min_share)
-    threshold = calibrate(score(known.filter(unseen), model))
-    return score(ruled, model).select(
+    counts = written(class_counts(known.filter(~unseen)), "url-counts")
+    scored = written(score(ruled, counts), "url-scores")
+    threshold = calibrate(scored.filter("ruled IS NOT NULL").filter(unseen).select(label.alias("label"), "score"))
+    return scored.select(
         "page_id", "host", "path", F.col("ruled.rule").alias("rule"),
         F.coalesce("ruled.verdict", F.when(F.col("score") >= threshold, "allow").otherwise("block")).alias("verdict"), "score")

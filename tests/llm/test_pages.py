@@ -66,6 +66,20 @@ def test_one_class_or_no_rows(spark):
     assert {r.verdict for r in UF.filter_urls(frame(spark, ["https://b.com/x", ""])).collect()} == {"allow"}
 
 
+def test_rare_grams_count(spark):
+    """Over 100,000 characters a class: what occurs once still counts, and every score is that of all counts."""
+    urls = [f"https://{h}.{top}/fr/{i * 7919 % 10007}-{'abcdefgh'[i % 8]}{'stuvwxyz'[i // 8 % 8]}-{h}-story-of-the-day.html"
+            for i in range(3600) for h, top in ((f"n{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + i // 676)}", "org"),
+                                                (f"c{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}", "net"))]
+    urls += ["https://nqjc.com/qjc", "https://ceve.com/eve", "", None] * 3
+    got = {r.page_id: r.score for r in UF.filter_urls(frame(spark, urls)).collect()}
+    ruled = frame(spark, urls).filter("(url LIKE '%.org/%' OR url LIKE '%.net/%') AND crc32(url) % 5 <> 0")
+    model = UF.train(ruled.selectExpr("url", f"if(url LIKE '%.org/%', {UF.ACCEPT}, {UF.REJECT}) AS label"), 0.0)
+    assert min(model.counts[x, 1].of(UF.np.zeros(1, UF.np.uint64))[0] for x in (UF.ACCEPT, UF.REJECT)) > 100_000
+    assert min(model.counts[x, 0].n.min() for x in (UF.ACCEPT, UF.REJECT)) == 1
+    assert [got[i] for i in range(len(urls))] == pytest.approx(list(model.scores([u or "" for u in urls])), abs=1e-9)
+
+
 def test_op3_query_rules_in_sql(spark):
     """Everything but the model's verdict has a SQL form."""
     con = duckdb.connect()
