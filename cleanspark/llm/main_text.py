@@ -4,7 +4,8 @@ A page becomes a tree. Every node has its characters, tags, link characters and
 characters per tag, damped by its links relative to those of the body. The density sum of a node adds up its
 children's densities: it is largest where many dense blocks stand side by side. The node with the largest sum is the
 content; the smallest density on its path to the body is the threshold that other parts must reach, by a largest sum
-of their own. Elements whose name, role or class says what they are (menus, forms, comments ...) are taken out first,
+of their own. Where that node lies in a main or article, what the page so marks is the content: the whole main, else all
+articles but those of mostly links. Elements whose name, role or class says what they are (menus, forms, comments ...) are taken out first,
 unless they hold most of the page's text.
 """
 from __future__ import annotations
@@ -142,8 +143,10 @@ class Page:
     def main_text(self) -> str:
         tag, parent, n = self.tag, self.parent, len(self.tag)
         inside = [False] * n  # in an article or main
+        within = [False] * n  # below an article
         hidden = [False] * n
         for i in range(1, n):
+            within[i] = tag[parent[i]] == "article" and not self.out[parent[i]] or within[parent[i]]
             inside[i] = tag[i] in WHOLE and not self.out[i] or inside[parent[i]]
             hidden[i] = tag[i] in HIDDEN or hidden[parent[i]]
         chars = [0] * n
@@ -201,14 +204,22 @@ class Page:
             if not gone[i] and sums[best[i]] > sums[best[parent[i]]]:
                 best[parent[i]] = best[i]
         top = best[body] if sums[best[body]] > 0 else body
-        path, i = [], top
+        path, above, i = [], {top}, top
         while i > 0 and i != body:
             path.append(dense[i])
             i = parent[i]
+            above.add(i)
         threshold = min([*path, dense[body]])
         chosen = [False] * n
-        chosen[self._article(top)] = True
-        if not inside[top]:  # other parts as dense as the path to the body
+        # an article of mostly links beside the one that holds the densest node is no part of it
+        beside = any(tag[i] == "article" for i in above)
+        teaser = [beside and tag[i] == "article" and i not in above and not within[i] and link_size[i] >= LINKED * size[i] for i in range(n)]
+        if inside[top]:  # what the page marks is whole: the main around the node, else all articles
+            main = min((i for i in above if tag[i] == "main"), default=0)
+            for i in [main] if main else range(1, n):
+                chosen[i] = tag[i] in WHOLE and not gone[i] and size[i] > 0 and not teaser[i]
+        else:  # other parts as dense as the path to the body
+            chosen[top] = True
             for i in range(1, n):
                 if not gone[i] and size[i] and dense[i] >= threshold and dense[i] > 0 and tag[i] in BLOCK and tag[i] not in ("html", "body"):
                     chosen[best[i] if sums[best[i]] > 0 else i] = True
@@ -216,23 +227,9 @@ class Page:
         for i in range(n):
             up = i and kept[parent[i]]
             menu = (tag[i] in ("ul", "ol", "div", "section", "table", "dl") and links[i] >= LINKS and link_size[i] >= LINKED * size[i])
-            kept[i] = (up or chosen[i]) and not gone[i] and not (menu and not chosen[i])
+            kept[i] = (up or chosen[i]) and not gone[i] and not ((menu or teaser[i]) and not chosen[i])
         return "\n".join(self._blocks(kept))
 
-    def _article(self, node: int) -> int:
-        """The nearest article (else main) around the node, or the node itself."""
-        i = node
-        while i > 0:
-            if self.tag[i] == "article":
-                return i
-            i = self.parent[i]
-        i = node
-        while i > 0:
-            if self.tag[i] == "main":
-                return i
-            i = self.parent[i]
-        return node
-
     def _blocks(self, kept: list[bool]):
         parts: list[str] = []
         for node, kind, text in self.events:

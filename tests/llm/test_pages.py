@@ -124,6 +124,20 @@ def test_extract(page, text):
     assert extract(page) == text
 
 
+MANY, MANY_TEXT = f"<p>{P1}</p><p>{P2}</p>" * 5, "\n".join([WHOLE] * 5)
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<body><nav>menu</nav><article>{MANY}</article><div><article>{MANY}</article></div><article><p>{P2 * 4}</p></article></body>",
+     f"{MANY_TEXT}\n{MANY_TEXT}\n{P2 * 4}"),
+    (f"<body><main><p>{P2 * 4}</p><article><h1>T</h1>{MANY}</article><article>{MANY}</article></main><footer>{P2}</footer></body>",
+     f"{P2 * 4}\nT\n{MANY_TEXT}\n{MANY_TEXT}"),
+    (f"<body><article>{MANY}</article><article><a href=1>More</a> <a href=2>of</a> <a href=3>this</a></article><p>{P2 * 4}</p></body>", MANY_TEXT),
+])
+def test_extract_several_articles(page, text):
+    assert extract(page) == text
+
+
 @pytest.mark.parametrize("page", ["<a href=\"" * 5000, "<p '=\"x" * 5000, "<div>" * 20_000, "</b>" * 20_000, "<" * 20_000, "<!--" * 9000,
                                   "<p><table>" + "<b>" * 9000 + "<div>" * 9000, "<script>" * 500, "&" * 5000, "<li>" * 9000, "</" * 9000])
 def test_extract_hostile(page):
