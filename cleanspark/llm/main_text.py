@@ -46,11 +46,15 @@ NOT_ARTICLE_WORDS = frozenset(
     "replies disqus discussion widget toolbar pagination pager search skip".split())
 HEADER_WORDS = frozenset(("header",))  # an article's own header belongs to it
 COMMENT_WORDS = frozenset("comment comments reply replies".split())
+#: Inside the article only a whole class token counts: one of the words above, alone or with such words and these.
+PART_WORDS = frozenset("area bar block body box button buttons container content form icons inner item items links list post posts section "
+                       "unit wrap wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Names that are never judged by class, and those that hold a page's article (an article may be a comment).
 SAFE, WHOLE = frozenset(("html", "body", "main")), frozenset(("article", "main"))
 #: In a page without article and main, from this share of the text on an element is not taken out by its class.
 MOST = 0.5
-#: A list or division is a menu from this share of link characters and this number of links on.
+#: Outside the article a list or division is a menu from this share of link characters and this number of links on.
 LINKED, LINKS = 0.6, 3
 
 #: Elements nested deeper become siblings, as in browsers.
@@ -66,7 +70,7 @@ class Page:
     """The tree of one page in document order. Node 0 stands above everything."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.out, self.header = [""], [-1], [False], [False]
+        self.tag, self.parent, self.out, self.sure, self.header = [""], [-1], [False], [False], [False]
         self.events: list[tuple[int, int, str]] = []  # (node, kind, text): 0 start, 1 end, 2 text
         self._read(source)
 
@@ -107,6 +111,7 @@ class Page:
             tag.append(name)
             parent.append(stack[-1])
             self.out.append(name in HIDDEN or bool(m[3]) and self._named_out(name, m[3]))
+            self.sure.append(self.out[-1] and (name in HIDDEN or self._surely_out(name, m[3])))
             self.header.append(name == "header" or bool(m[3]) and self._named_out(name, m[3], HEADER_WORDS))
             events.append((node, 0, ""))
             stack.append(node)
@@ -140,15 +145,33 @@ class Page:
                 return True
         return False
 
+    @staticmethod
+    def _surely_out(name: str, attributes: str) -> bool:
+        """As ``_named_out`` inside the article: by hidden, role or a whole class token (not of a heading), never by id."""
+        words = COMMENT_WORDS if name == "article" else NOT_ARTICLE_WORDS
+        for m in _NAMED.finditer(attributes):
+            key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+            if key == "hidden" and m.group(0).lower() == "hidden" or key == "role" and value.strip() in NOT_ARTICLE_ROLES:
+                return True
+            if key == "class" and name not in HEADINGS:
+                for token in value.split():
+                    parts = set(token.replace("_", "-").split("-"))
+                    if not parts.isdisjoint(words) and parts <= words | PART_WORDS:
+                        return True
+        return False
+
     def main_text(self) -> str:
         tag, parent, n = self.tag, self.parent, len(self.tag)
         inside = [False] * n  # in an article or main
-        within = [False] * n  # below an article
-        hidden = [False] * n
+        within = [False] * n  # below an article; on a page without one, below main
+        hidden, out = [False] * n, self.out[:]
         for i in range(1, n):
-            within[i] = tag[parent[i]] == "article" and not self.out[parent[i]] or within[parent[i]]
-            inside[i] = tag[i] in WHOLE and not self.out[i] or inside[parent[i]]
             hidden[i] = tag[i] in HIDDEN or hidden[parent[i]]
+        whole = "article" if any(tag[i] == "article" and not out[i] and not hidden[i] for i in range(n)) else "main"
+        for i in range(1, n):
+            within[i] = tag[parent[i]] == whole and not out[parent[i]] or within[parent[i]]
+            out[i] = self.sure[i] if within[i] else out[i]
+            inside[i] = tag[i] in WHOLE and not out[i] or inside[parent[i]]
         chars = [0] * n
         for node, kind, text in self.events:
             if kind == 2 and not hidden[node]:
@@ -158,12 +181,12 @@ class Page:
             total[parent[i]] += total[i]
         holds = [False] * n  # an article or main, itself or below
         for i in range(n - 1, 0, -1):
-            holds[i] = holds[i] or tag[i] in WHOLE and not self.out[i] and not hidden[i]
+            holds[i] = holds[i] or tag[i] in WHOLE and not out[i] and not hidden[i]
             holds[parent[i]] = holds[parent[i]] or holds[i]
         # elements that are not the article, with all that is in them
         gone = hidden[:]
         for i in range(1, n):
-            named = self.out[i] or tag[i] in NOT_ARTICLE or self.header[i] and not inside[i]
+            named = out[i] or tag[i] in NOT_ARTICLE or self.header[i] and not inside[i]
             sure = holds[0] or tag[i] in ("nav", "footer", "aside", "menu", "dialog") or total[i] < MOST * total[0]
             gone[i] = gone[i] or gone[parent[i]] or named and sure and not holds[i]
 
@@ -227,6 +250,8 @@ class Page:
         for i in range(n):
             up = i and kept[parent[i]]
             menu = (tag[i] in ("ul", "ol", "div", "section", "table", "dl") and links[i] >= LINKS and link_size[i] >= LINKED * size[i])
+            if within[i]:  # of the article only bullets that are nothing but links
+                menu = tag[i] == "ul" and links[i] >= LINKS and link_size[i] == size[i]
             kept[i] = (up or chosen[i]) and not gone[i] and not ((menu or teaser[i]) and not chosen[i])
         return "\n".join(self._blocks(kept))
 

@@ -138,6 +138,28 @@ def test_extract_several_articles(page, text):
     assert extract(page) == text
 
 
+LINKS = "".join(f"<li><a href={i}>Reference number {i}</a> {i}" for i in range(5))
+ROWS = "".join(f"<tr><td><a href={i}>Row {i}</a></td></tr>" for i in range(4))
+
+
+@pytest.mark.parametrize("within, text", [
+    (f"<section id=discussion><h2 id=related-work>Work</h2><p>{P2}</p></section>", "Work\n" + P2),
+    (f"<h2 id=search class=search>Search</h2><p id=notice-of-change>{P2}</p>", "Search\n" + P2),
+    (f"<div class='notice-of-change'>{P2}</div><div class='comments-area'>{P2}</div><p class='related'>{P2}</p>", P2),
+    (f"<div class=social_share>{P2}</div><div role=search>{P2}</div><nav>{P2}</nav><p hidden>{P2}</p>", ""),
+    (f"<ol>{LINKS}</ol>", "\n".join(f"Reference number {i} {i}" for i in range(5))),
+    (f"<ul>{LINKS}</ul>", "\n".join(f"Reference number {i} {i}" for i in range(5))),
+    (f"<table>{ROWS}</table>", "\n".join(f"Row {i}" for i in range(4))),
+    ("<div><a href=1>One</a>, <a href=2>two</a>, <a href=3>three</a></div>", "One, two, three"),
+    (f"<ul class=menu>{LINKS}</ul><article class=comment-body><p>{P2}</p></article>", ""),
+])
+@pytest.mark.parametrize("element", ["article", "main"])
+def test_extract_keeps_the_article(element, within, text):
+    if "<article" in within and element == "main":
+        pytest.skip("the comment would be the page's article")
+    assert extract(f"<body><nav>menu</nav><{element}><p>{P1}</p>{within}</{element}></body>") == "\n".join(filter(None, [html.unescape(P1), text]))
+
+
 @pytest.mark.parametrize("page", ["<a href=\"" * 5000, "<p '=\"x" * 5000, "<div>" * 20_000, "</b>" * 20_000, "<" * 20_000, "<!--" * 9000,
                                   "<p><table>" + "<b>" * 9000 + "<div>" * 9000, "<script>" * 500, "&" * 5000, "<li>" * 9000, "</" * 9000])
 def test_extract_hostile(page):
