@@ -956,10 +956,11 @@ FROM events GROUP BY 1
 HAVING date_trunc('day', min(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)""")
 def q_stream_quality_windows(spark, sf):
     """ST-d: daily tumbling-window counters over the events stream, each written once, when the watermark has passed its
-    end (append mode: closed windows leave the state; days the watermark has not passed are still open)."""
+    end (append mode: closed windows leave the state; days the watermark has not passed are still open). The staged files
+    are one micro-batch: their order of writing says nothing about ``ts``, and a watermark between them would drop rows."""
     ev = table(spark, sf, "events").select("ts", "value")
     src = ST.stage_as_files(spark, ev, "events")
-    agg = ST.quality_counters(ST.read_stream(spark, src, ev, max_files=2), "ts", "value")
+    agg = ST.quality_counters(ST.read_stream(spark, src, ev), "ts", "value")
     res = spark.read.parquet(ST.run_to_files(spark, agg, "event-windows"))
     return rounded(res.select(F.col("window_start").cast("date").alias("window_start"),
                               F.col("rows").cast("bigint").alias("rows"), F.col("missing").cast("bigint").alias("missing"),

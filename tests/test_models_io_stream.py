@@ -142,6 +142,27 @@ def test_stream_dedup_and_windows(spark):
     assert part and part.items() <= full.items()  # append mode: every closed window once, open ones not yet
 
 
+def test_window_query_over_many_files(spark):
+    """The events as 24 files, the latest days in the first and largest ones: no row is late."""
+    from cleanspark.plans import catalog
+    base = tempfile.mkdtemp(prefix="many-files-")
+    days = spark.range(24 * 400).selectExpr("cast(id % 24 as int) AS d", "cast(id as int) AS i")
+    days = days.where("i <= 24 * (20 + 15 * d)").selectExpr(
+        "d", "cast(timestamp '2024-01-01 00:00:00' + make_interval(0, 0, 0, d, i % 20) as timestamp_ntz) AS ts",
+        "cast(i as bigint) AS user_id", "'view' AS event_type", "if(i % 5 = 0, null, i - 100.5) AS value", "cast(i as bigint) AS event_id")
+    for k in range(24):
+        days.where(f"d = {23 - k}").drop("d").coalesce(1).write.mode("append").parquet(f"{base}/events.parquet")
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = catalog.QUERIES["stream_quality_windows"](spark, base).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    want = days.where("d < 22").groupBy(F.to_date("ts")).agg(
+        F.count(F.lit(1)), F.count_if(F.col("value").isNull()), F.count_if(F.col("value") < 0), F.round(F.sum("value"), 6)).collect()
+    assert len(want) == 22 and sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
 def test_train_then_run_with_stored_models(spark):
     from cleanspark.plans import flows as FL
     raw = FX.narrow_customers(spark, SF001)
