@@ -18,11 +18,15 @@ From signatures to classes, in Spark and without listing the pairs of a group:
 """
 from __future__ import annotations
 
+import functools
 import math
+import sys
+import unicodedata
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +44,33 @@ SLICE_BYTES = 1 << 19
 SPREAD = 16
 #: Rows and shingles of a part of a large group; two parts are compared in one piece of work.
 PART_ROWS, PART_SHINGLES = 2_000, 1_000_000
+#: Scripts written without spaces between words, in RE2's names, and the marks that lengthen kana.
+UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\x{30FC}\x{FF70}\p{Bopomofo}\p{Yi}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tai_Tham}\p{Javanese}"
 _U = np.uint64
 
 
+@functools.lru_cache(maxsize=1)
+def _apart() -> str:
+    """The pattern of an unspaced character (group 1) or a punctuation mark or space beyond ASCII."""
+    ranges, last = [], -2
+    for i in range(128, sys.maxunicode + 1):
+        if unicodedata.category(chr(i))[0] in "PZ":
+            if i == last + 1:
+                ranges[-1][1] = i
+            else:
+                ranges.append([i, i])
+            last = i
+    return f"([{UNSPACED}])|[{''.join(f'\\x{{{a:X}}}-\\x{{{b:X}}}' for a, b in ranges)}]"
+
+
+def spaced(column: pa.Array) -> pa.Array:
+    """Texts with a blank on both sides of each unspaced character and for punctuation and spaces beyond ASCII."""
+    column = column.cast(pa.large_string())
+    if pc.all(pc.string_is_ascii(column)).as_py() is not False:
+        return column
+    return pc.replace_substring_regex(column, _apart(), r" \1 ")
+
+
 def dart_signatures(elements: np.ndarray, weights: np.ndarray, bounds: np.ndarray, k: int) -> np.ndarray:
     """Signatures (texts x k) of weighted sets: ``elements`` are 64-bit hashes, distinct within a text, with positive
     ``weights``; text i has elements bounds[i] to bounds[i + 1]. A text without elements has a row of zeros.
@@ -116,7 +144,7 @@ def _scan(rows: DataFrame, id_type: str, size: int, bands: int, band_rows: int)
     def run(batches):
         base, count = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
-            raw, ends = W.text_bytes(batch.column(1))
+            raw, ends = W.text_bytes(spaced(batch.column(1)))
             for a, b in W.row_slices(ends, SLICE_BYTES):
                 words, bounds = W.word_hashes(raw[ends[a]:ends[b]], ends[a:b + 1] - ends[a])
                 element, counts, of = shingle_bags(words, bounds, size)
@@ -222,7 +250,8 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per input row: ``doc_id, class_id, class_size, kept``.
 
     Texts are linked when the Jaccard similarity of their bags of ``size``-word shingles is at least ``threshold``
-    (words as in ``words.py``: A-Z lower-cased, punctuation and white space apart); classes are what links connect.
+    (words as in ``words.py``: A-Z lower-cased, punctuation and white space apart; here also those beyond ASCII, and each
+    character of a script without spaces is a word); classes are what links connect.
     ``class_id`` is the smallest id of the class, whose row is ``kept``: of null ids, or rows that repeat the id, any
     one. A text of fewer words than a shingle is one shingle. Texts without words, null ones too, are each a class of
     their own. An empty table gives an empty result.

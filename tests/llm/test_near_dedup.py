@@ -110,3 +110,20 @@ def test_components(spark):
     got = {r.node: r.label for r in ND.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 104)}, **{i: 500 for i in range(500, 700)}}
     assert ND.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_scripts_without_spaces(spark):
+    """One changed character of 100 leaves a copy similar; punctuation beyond ASCII parts words."""
+    rng = random.Random(11)
+    rows, pairs = [], []
+    for first, last in ((0x4E00, 0x9FA5), (0x3041, 0x3096), (0x30A1, 0x30FA), (0xE01, 0xE2E), (0x1780, 0x17B3)):
+        text = [chr(rng.randint(first, last)) for _ in range(100)]
+        pairs.append((len(rows), len(rows) + 1))
+        rows += [(len(rows), "".join(text)), (len(rows) + 1, "".join(text[:50]) + "x" + "".join(text[51:]))]
+        rows.append((len(rows), "".join(chr(rng.randint(first, last)) for _ in range(100))))
+    words = prose(rng, 60)
+    pairs.append((len(rows), len(rows) + 1))
+    rows += [(len(rows), "\u3002".join(words)), (len(rows) + 1, "\uff0c".join(words))]
+    got = {r[0]: r.class_id for r in classes(spark, rows)}
+    second = {b: a for a, b in pairs}
+    assert got == {i: second.get(i, i) for i, _ in rows}
