@@ -190,9 +190,9 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 
 
 def keep_identified(df: DataFrame, min_score: float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``df``, all columns as they are, whose text has a language with at least ``min_score``. Rows that
-    share an id go together when all of them are rejected."""
-    verdicts = identify(df, id_col, text_col, lang_col)
+    """The rows of ``df``, all columns as they are, whose text has a language with at least ``min_score``, learned from
+    all rows with a language. Rows that share an id go together when all of them are rejected."""
+    verdicts = predict(df, train(df, text_col, lang_col), id_col, text_col)
     kept = verdicts.groupBy("doc_id").agg(F.max(F.when(F.col("lang_pred") != UNDETERMINED, F.col("score")).otherwise(-1.0)).alias("best"))
     return df.join(kept.filter(F.col("best") >= min_score).select(F.col("doc_id").alias("__kept_id")),
                    c(id_col).eqNullSafe(F.col("__kept_id")), "left_semi")

@@ -1,6 +1,7 @@
 """BPE, token counts, decontamination and language ID: against libraries, brute force and held-out rows."""
 import hashlib
 import random
+import zlib
 from collections import Counter
 
 import duckdb
@@ -220,6 +221,15 @@ def test_language_odd_rows(spark):
     assert {103, 104, None} <= {r.doc_id for r in kept.collect()}
 
 
+def test_filter_learns_from_all_rows(spark):
+    """A language that only rows of the held-out fifth are labelled with is known to the filter."""
+    out = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0][:6]
+    rows = [(i, "the cat sat on the mat and the dog", "en") for i in range(400) if i not in out]
+    rows += [(i, "qwxz zjkv vbxq kqzz wvvx", "xx") for i in out]
+    kept = LI.keep_identified(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 0.2)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(400))
+
+
 def test_language_without_training_rows(spark):
     df = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert [tuple(r)[2:] for r in LI.identify(df).collect()] == [("und", 0.0)]
