@@ -136,3 +136,12 @@ def test_lsh_keys_only_add_candidates(spark):
     _, d0, _ = DD.dedup_rule(clean, "customer_id")
     _, d1, _ = DD.dedup_rule(clean, "customer_id", keys=PR.DEFAULT_KEYS + ("email_lsh", "name_lsh"))
     assert {r[0] for r in d0.collect()} <= {r[0] for r in d1.collect()}
+
+
+def test_recall_compares_every_query(spark):
+    """More queries than a block holds: none is left out, and the result is that of one block."""
+    from cleanspark.operators import pairs as PR
+    from cleanspark.sources import fixtures as FX
+    raw = FX.narrow_customers(spark, "/root/testdata/sf0.001").limit(60).localCheckpoint()
+    few, one = (PR.sampled_recall(raw, every=1, most=most).first() for most in (7, 2_000))
+    assert few == one and one.queries > 7 and one.pairs > 0
