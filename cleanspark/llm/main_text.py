@@ -3,10 +3,11 @@
 A page becomes a tree. Every node has its characters, tags, link characters and link tags; its composite density is
 characters per tag, damped by its links relative to those of the body. The density sum of a node adds up its
 children's densities: it is largest where many dense blocks stand side by side. The node with the largest sum is the
-content; the smallest density on its path to the body is the threshold that other parts must reach, by a largest sum
-of their own. Where that node lies in a main or article, what the page so marks is the content: the whole main, else all
-articles but those of mostly links. Elements whose name, role or class says what they are (menus, forms, comments ...) are taken out first,
-unless they hold most of the page's text.
+content; the smallest density on its path to the body is the threshold that other parts must reach. A part that lies in
+a main or article is widened to it, as the page marks what belongs together; on a page whose densest node lies in one,
+text outside of such marks is not the article. A marked article reaches the threshold also by its characters per tag
+alone, so that links inside of an article do not cost it its place. Elements whose name, role or whole class token says what they are (menus,
+forms, comments ...) are taken out first.
 """
 from __future__ import annotations
 
@@ -36,7 +37,7 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"d
            "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}),
            "tbody": ({"tbody", "thead", "tfoot"}, {"table"}), "thead": ({"tbody", "thead", "tfoot"}, {"table"}),
            "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}), "option": ({"option"}, {"select", "datalist"})}
-#: What is not the article: by element, by role, and by the words of class and id.
+#: What is not the article: by element, by role, and by the tokens of class.
 NOT_ARTICLE = frozenset("nav footer aside form menu dialog".split())
 NOT_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 NOT_ARTICLE_WORDS = frozenset(
@@ -46,16 +47,17 @@ NOT_ARTICLE_WORDS = frozenset(
     "replies disqus discussion widget toolbar pagination pager search skip".split())
 HEADER_WORDS = frozenset(("header",))  # an article's own header belongs to it
 COMMENT_WORDS = frozenset("comment comments reply replies".split())
-#: Inside the article only a whole class token counts: one of the words above, alone or with such words and these.
-PART_WORDS = frozenset("area bar block body box button buttons container content form icons inner item items links list post posts section "
-                       "unit wrap wrapper".split())
+#: Only a whole class token counts: one of the words above, alone or with such words and these.
+PART_WORDS = frozenset(
+    "area bar block body bottom box button buttons container content form global icons inner item items left links list main page post posts "
+    "primary right secondary section site top unit wrap wrapper".split())
+#: Ids that say as much by themselves, outside of the article and not of headings; no part of an id ever does.
+NOT_ARTICLE_IDS = frozenset("nav navbar navigation menu breadcrumbs masthead topbar footer sidebar comments commentlist respond disqus_thread".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that can lead into the text beside them.
+LEADS = HEADINGS | frozenset("p blockquote hgroup figure".split())
 #: Names that are never judged by class, and those that hold a page's article (an article may be a comment).
 SAFE, WHOLE = frozenset(("html", "body", "main")), frozenset(("article", "main"))
-#: In a page without article and main, from this share of the text on an element is not taken out by its class.
-MOST = 0.5
-#: Outside the article a list or division is a menu from this share of link characters and this number of links on.
-LINKED, LINKS = 0.6, 3
 
 #: Elements nested deeper become siblings, as in browsers.
 DEPTH = 512
@@ -70,7 +72,7 @@ class Page:
     """The tree of one page in document order. Node 0 stands above everything."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.out, self.sure, self.header = [""], [-1], [False], [False], [False]
+        self.tag, self.parent, self.out, self.id_out, self.header = [""], [-1], [False], [False], [False]
         self.events: list[tuple[int, int, str]] = []  # (node, kind, text): 0 start, 1 end, 2 text
         self._read(source)
 
@@ -110,9 +112,10 @@ class Page:
             node = len(tag)
             tag.append(name)
             parent.append(stack[-1])
-            self.out.append(name in HIDDEN or bool(m[3]) and self._named_out(name, m[3]))
-            self.sure.append(self.out[-1] and (name in HIDDEN or self._surely_out(name, m[3])))
-            self.header.append(name == "header" or bool(m[3]) and self._named_out(name, m[3], HEADER_WORDS))
+            out, id_out, header = self._named(name, m[3]) if m[3] else (False, False, False)
+            self.out.append(name in HIDDEN or out)
+            self.id_out.append(id_out)
+            self.header.append(name == "header" or header)
             events.append((node, 0, ""))
             stack.append(node)
             if name in VOID or m[3].endswith("/") and name not in BLOCK and name not in RAW and name != "a":
@@ -133,71 +136,70 @@ class Page:
                 return
 
     @staticmethod
-    def _named_out(name: str, attributes: str, words: frozenset[str] = NOT_ARTICLE_WORDS) -> bool:
-        if name in SAFE:
-            return False
-        for m in _NAMED.finditer(attributes):
-            key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if key == "hidden" and m.group(0).lower() == "hidden":
-                return True
-            if key == "role" and value.strip() in NOT_ARTICLE_ROLES or key in ("class", "id") and not (
-                    COMMENT_WORDS if name == "article" else words).isdisjoint(_WORDS.findall(value)):
-                return True
-        return False
-
-    @staticmethod
-    def _surely_out(name: str, attributes: str) -> bool:
-        """As ``_named_out`` inside the article: by hidden, role or a whole class token (not of a heading), never by id."""
+    def _named(name: str, attributes: str) -> tuple[bool, bool, bool]:
+        """Whether hidden, role or a whole class token says that an element is not the article, whether its id does,
+        and whether its class calls it a header."""
+        out = id_out = header = False
         words = COMMENT_WORDS if name == "article" else NOT_ARTICLE_WORDS
         for m in _NAMED.finditer(attributes):
             key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if key == "hidden" and m.group(0).lower() == "hidden" or key == "role" and value.strip() in NOT_ARTICLE_ROLES:
-                return True
-            if key == "class" and name not in HEADINGS:
+            if name in SAFE:
+                break
+            if key == "hidden":
+                out = out or m.group(0).lower() == "hidden"
+            elif key == "role":
+                out = out or value.strip() in NOT_ARTICLE_ROLES
+            elif name in HEADINGS:
+                continue
+            elif key == "id":
+                id_out = value.strip() in NOT_ARTICLE_IDS
+            else:
                 for token in value.split():
                     parts = set(token.replace("_", "-").split("-"))
-                    if not parts.isdisjoint(words) and parts <= words | PART_WORDS:
-                        return True
-        return False
+                    out = out or not parts.isdisjoint(words) and parts <= words | PART_WORDS
+                    header = header or not parts.isdisjoint(HEADER_WORDS) and parts <= HEADER_WORDS | PART_WORDS | {"entry", "article"}
+        return out, id_out, header
 
-    def main_text(self) -> str:
+    def _gone(self, believe: bool) -> tuple[list[bool], list[bool]]:
+        """Which nodes are taken out, with all that is in them, and which lie in an article or main. Without
+        ``believe`` forms, classes and ids are not judged."""
         tag, parent, n = self.tag, self.parent, len(self.tag)
-        inside = [False] * n  # in an article or main
-        within = [False] * n  # below an article; on a page without one, below main
-        hidden, out = [False] * n, self.out[:]
+        hidden, inside, within = [False] * n, [False] * n, [False] * n
         for i in range(1, n):
             hidden[i] = tag[i] in HIDDEN or hidden[parent[i]]
-        whole = "article" if any(tag[i] == "article" and not out[i] and not hidden[i] for i in range(n)) else "main"
+        whole = "article" if any(tag[i] == "article" and not self.out[i] and not hidden[i] for i in range(n)) else "main"
+        out = self.out[:]
         for i in range(1, n):
             within[i] = tag[parent[i]] == whole and not out[parent[i]] or within[parent[i]]
-            out[i] = self.sure[i] if within[i] else out[i]
+            out[i] = out[i] or self.id_out[i] and not within[i]
             inside[i] = tag[i] in WHOLE and not out[i] or inside[parent[i]]
-        chars = [0] * n
-        for node, kind, text in self.events:
-            if kind == 2 and not hidden[node]:
-                chars[node] += len("".join(text.split()))
-        total = chars[:]
-        for i in range(n - 1, 0, -1):
-            total[parent[i]] += total[i]
-        holds = [False] * n  # an article or main, itself or below
+        holds = [False] * n  # an article or main, or the page's title, itself or below
         for i in range(n - 1, 0, -1):
             holds[i] = holds[i] or tag[i] in WHOLE and not out[i] and not hidden[i]
             holds[parent[i]] = holds[parent[i]] or holds[i]
-        # elements that are not the article, with all that is in them
-        gone = hidden[:]
+        titled = [False] * n
+        for i in range(n - 1, 0, -1):
+            titled[i] = titled[i] or tag[i] == "h1" and not hidden[i]
+            titled[parent[i]] = titled[parent[i]] or titled[i] and not self.header[i]
+        gone = hidden
         for i in range(1, n):
-            named = out[i] or tag[i] in NOT_ARTICLE or self.header[i] and not inside[i]
-            sure = holds[0] or tag[i] in ("nav", "footer", "aside", "menu", "dialog") or total[i] < MOST * total[0]
-            gone[i] = gone[i] or gone[parent[i]] or named and sure and not holds[i]
+            sure = tag[i] in NOT_ARTICLE and tag[i] != "form" or self.header[i] and not inside[i]
+            named = believe and (out[i] or tag[i] == "form") and (within[i] or not titled[i])
+            gone[i] = gone[i] or gone[parent[i]] or (sure or named) and not holds[i]
+        return gone, inside
 
-        size, tags, link_size, links = [0] * n, [0] * n, [0] * n, [0] * n
-        linked = [False] * n
+    def measure(self, gone: list[bool]) -> tuple[list[int], list[int], list[float], list[float], list[int], list[int]]:
+        """Characters (without white space), tags, composite density and density sum of every node that stays; its links
+        and their characters."""
+        tag, parent, n = self.tag, self.parent, len(self.tag)
+        size, tags, link_size, links, linked = [0] * n, [0] * n, [0] * n, [0] * n, [False] * n
         for i in range(1, n):
             linked[i] = tag[i] == "a" or linked[parent[i]]
-            if not gone[i]:
-                size[i] = chars[i]
-                link_size[i] = chars[i] if linked[i] else 0
-        size[0] = chars[0]
+        for node, kind, text in self.events:
+            if kind == 2 and not gone[node]:
+                chars = len("".join(text.split()))
+                size[node] += chars
+                link_size[node] += chars if linked[node] else 0
         for i in range(n - 1, 0, -1):
             if not gone[i]:
                 up = parent[i]
@@ -205,7 +207,7 @@ class Page:
                 link_size[up] += link_size[i]
                 tags[up] += tags[i] + 1
                 links[up] += links[i] + (tag[i] == "a")
-        body = next((i for i in range(1, n) if tag[i] == "body"), 0)
+        body = self.body()
         of_body = link_size[body] / max(1, size[body])
 
         def density(i: int) -> float:
@@ -219,7 +221,19 @@ class Page:
         sums = [0.0] * n
         for i in range(1, n):
             sums[parent[i]] += dense[i]
-        if not size[body]:
+        return size, tags, dense, sums, links, link_size
+
+    def body(self) -> int:
+        return next((i for i in range(1, len(self.tag)) if self.tag[i] == "body"), 0)
+
+    def main_text(self) -> str:
+        tag, parent, n, body = self.tag, self.parent, len(self.tag), self.body()
+        for believe in (True, False):  # where what names say leaves nothing, they are not believed
+            gone, inside = self._gone(believe)
+            size, tags, dense, sums, links, link_size = self.measure(gone)
+            if size[body]:
+                break
+        else:
             return ""
         # the largest sum of each subtree, and where it is (of equal ones the outermost)
         best = list(range(n))
@@ -227,34 +241,58 @@ class Page:
             if not gone[i] and sums[best[i]] > sums[best[parent[i]]]:
                 best[parent[i]] = best[i]
         top = best[body] if sums[best[body]] > 0 else body
-        path, above, i = [], {top}, top
+        path, i = [body], top
         while i > 0 and i != body:
-            path.append(dense[i])
+            path.append(i)
             i = parent[i]
-            above.add(i)
-        threshold = min([*path, dense[body]])
+        threshold = min(dense[i] for i in path)
+        plain = min(size[i] / max(1, tags[i]) for i in path)
+        around = [0] * n  # the outermost main or article around each node
+        for i in range(1, n):
+            around[i] = around[parent[i]] or (i if tag[i] in WHOLE and not gone[i] else 0)
         chosen = [False] * n
-        # an article of mostly links beside the one that holds the densest node is no part of it
-        beside = any(tag[i] == "article" for i in above)
-        teaser = [beside and tag[i] == "article" and i not in above and not within[i] and link_size[i] >= LINKED * size[i] for i in range(n)]
-        if inside[top]:  # what the page marks is whole: the main around the node, else all articles
-            main = min((i for i in above if tag[i] == "main"), default=0)
-            for i in [main] if main else range(1, n):
-                chosen[i] = tag[i] in WHOLE and not gone[i] and size[i] > 0 and not teaser[i]
-        else:  # other parts as dense as the path to the body
-            chosen[top] = True
-            for i in range(1, n):
-                if not gone[i] and size[i] and dense[i] >= threshold and dense[i] > 0 and tag[i] in BLOCK and tag[i] not in ("html", "body"):
+        chosen[around[top] or top] = True
+        for i in range(1, n):  # other parts as dense as the path to the body; an article also by its characters a tag alone
+            reached = dense[i] >= threshold and dense[i] > 0 or tag[i] in WHOLE and size[i] >= plain * max(1, tags[i])
+            if not gone[i] and size[i] and reached and tag[i] in BLOCK and tag[i] not in ("html", "body"):
+                if inside[i]:
+                    chosen[around[i]] = True
+                elif not inside[top]:
                     chosen[best[i] if sums[best[i]] > 0 else i] = True
+        if not inside[top]:
+            self._lead_in(chosen, gone, body)
+        after = self._after_heading()
         kept = [False] * n
-        for i in range(n):
-            up = i and kept[parent[i]]
-            menu = (tag[i] in ("ul", "ol", "div", "section", "table", "dl") and links[i] >= LINKS and link_size[i] >= LINKED * size[i])
-            if within[i]:  # of the article only bullets that are nothing but links
-                menu = tag[i] == "ul" and links[i] >= LINKS and link_size[i] == size[i]
-            kept[i] = (up or chosen[i]) and not gone[i] and not ((menu or teaser[i]) and not chosen[i])
+        for i in range(n):  # bullets that are nothing but links are a menu, but not under a heading of theirs
+            menu = tag[i] == "ul" and links[i] > 2 and link_size[i] == size[i] and not after[i]
+            kept[i] = (i and kept[parent[i]] or chosen[i]) and not gone[i] and not (menu and not chosen[i])
         return "\n".join(self._blocks(kept))
 
+    def _lead_in(self, chosen: list[bool], gone: list[bool], body: int) -> None:
+        """Headings and paragraphs that stand right before a chosen part, if a heading is among them, belong to it."""
+        last: dict[int, list[int]] = {}  # parent -> its children so far that lead into the next
+        for i in range(1, len(self.tag)):
+            run = last.setdefault(self.parent[i], [])
+            if chosen[i] and any(self.tag[x] in HEADINGS for x in run):
+                for x in run:
+                    chosen[x] = True
+            if self.tag[i] in LEADS and not gone[i]:
+                run.append(i)
+            elif self.tag[i] in BLOCK and self.tag[i] != "hr":
+                run.clear()
+
+    def _after_heading(self) -> list[bool]:
+        """Which nodes come right after a heading, or after the element that only holds it."""
+        out, heading = [False] * len(self.tag), False
+        for node, kind, text in self.events:
+            if kind == 0:
+                out[node] = heading
+            elif kind == 1:
+                heading = self.tag[node] in HEADINGS or heading and self.tag[node] in ("header", "hgroup", "div")
+            elif text.strip():
+                heading = False
+        return out
+
     def _blocks(self, kept: list[bool]):
         parts: list[str] = []
         for node, kind, text in self.events:
