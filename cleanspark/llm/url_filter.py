@@ -102,6 +102,7 @@ def _slices(urls: list[str], most: int = 1 << 18):
 def gram_counts(labelled: DataFrame) -> DataFrame:
     """``label, kind, gram, n`` over all rows of ``labelled`` (url, label). Kind 0 counts predicted n-grams, kind 1
     the contexts they were predicted from; gram 0 of kind 1 is the empty context, the number of characters."""
+    ship_package(labelled.sparkSession)
 
     def run(batches):
         sums: dict[tuple[int, int], pd.Series] = {}
@@ -156,6 +157,12 @@ class UrlModel:
 
     def scores(self, urls: list[str]) -> np.ndarray:
         """Log-likelihood of the accepted class minus the rejected one's, per character."""
+        difference, lengths = self.differences(urls)
+        owner = np.repeat(np.arange(len(urls)), lengths)
+        return np.bincount(owner, weights=difference, minlength=len(urls)) / lengths
+
+    def differences(self, urls: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The difference of the classes' log-probabilities for each character of each URL, and the URLs' lengths."""
         codes, lengths = _codes(urls)
         at, grams = _gram_hashes(codes, lengths)
         contexts = _context_hashes(codes, at)
@@ -170,8 +177,7 @@ class UrlModel:
                 mixed = (seen.of(grams[n]) + SMOOTHING * p) / (of_context + SMOOTHING)
                 p = np.where(held, mixed, p)
             difference += sign * np.log(p)
-        owner = np.repeat(np.arange(len(urls)), lengths)
-        return np.bincount(owner, weights=difference, minlength=len(urls)) / lengths
+        return difference, lengths
 
 
 def train(labelled: DataFrame, min_share: float = 0.0) -> UrlModel:

@@ -1,13 +1,15 @@
 """URL filter and HTML extraction."""
 import html
+import math
 import re
+from html.parser import HTMLParser
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from cleanspark.llm import url_filter as UF
-from cleanspark.llm.main_text import extract, extract_pages
+from cleanspark.llm.main_text import Page, extract, extract_pages
 from cleanspark.llm.queries import QUERIES
 
 from ..conftest import SF001
@@ -51,11 +53,14 @@ def test_probabilities_sum_to_one(spark):
     rows = spark.createDataFrame([(f"http://ab{i % 3}c.org/fr/", UF.ACCEPT) for i in range(50)], "url string, label int")
     model = UF.train(rows, 0.0)
     model.counts[UF.REJECT, 0] = model.counts[UF.REJECT, 1] = UF._Counts(np.zeros(0, np.uint64), np.zeros(0))
-    for context in ("ab", "abc", "zzzz", ""):
-        # the score of context + byte, in characters, minus that of the context alone holds the byte's probability
-        texts = [context + chr(b) + "\x03" for b in range(0x20, 0x7F) if chr(b) not in "0123456789" and not chr(b).isupper()]
+    symbols = [b for b in range(128) if chr(b) not in "123456789" and not chr(b).isupper()]
+    for context in ("ab", "abc", "zzzz", ""):  # without counts the rejected class gives every byte 1 / 256
+        texts = [context + chr(b) for b in symbols]
         codes, lengths = UF._codes(texts)
-        assert lengths[0] == len(context) + 3 and len(codes) == sum(lengths) + UF.ORDER * len(lengths)
+        assert lengths[0] == len(context) + 2 and len(codes) == sum(lengths) + UF.ORDER * len(lengths)
+        difference, lengths = model.differences(texts)
+        p = np.exp(difference[np.cumsum(lengths) - lengths + len(context)]) / 256
+        assert sum(p) + (256 - len(p)) * p[symbols.index(0x7F)] == pytest.approx(1.0)  # the other bytes were never seen
         assert np.isfinite(model.scores(texts)).all()
 
 
@@ -160,6 +165,89 @@ def test_extract_keeps_the_article(element, within, text):
     assert extract(f"<body><nav>menu</nav><{element}><p>{P1}</p>{within}</{element}></body>") == "\n".join(filter(None, [html.unescape(P1), text]))
 
 
+SHORT = "A short lead."
+LINKED_WORDS = "".join(f"<tr><td><a href={i}>word{i}</a><td>means {i} of the things that words can mean" for i in range(6))
+
+
+@pytest.mark.parametrize("body, text", [
+    (f"<div>{MANY}<div class='related-work'><p>{P2}</p></div></div>", f"{MANY_TEXT}\n{P2}"),
+    (f"<div>{MANY}<section id='discussion'><p>{P2}</p></section></div>", f"{MANY_TEXT}\n{P2}"),
+    (f"<div><h2 id=search-methods>Search methods</h2>{MANY}</div>", f"Search methods\n{MANY_TEXT}"),
+    (f"<h1>Title</h1><p>{SHORT}</p><div>{MANY}</div>", f"Title\n{SHORT}\n{MANY_TEXT}"),
+    (f"<div>{MANY}<table>{LINKED_WORDS}</table></div>", MANY_TEXT + "".join(f"\nword{i}\nmeans {i} of the things that words can mean" for i in range(6))),
+    (f"<div>{MANY}<h2>References</h2><ul>{''.join(f'<li><a href={i}>Reference {i}</a>' for i in range(4))}</ul></div>",
+     MANY_TEXT + "\nReferences\n" + "\n".join(f"Reference {i}" for i in range(4))),
+    (f"<div>{MANY}<ul><li><a href=1>one</a><li><a href=2>two</a><li><a href=3>three</a></ul></div>", MANY_TEXT),
+    (f"<div>{MANY}</div><div id=comments><p>{P2 * 30}</p></div><div class='main sidebar'>{P2}</div>", MANY_TEXT),
+    (f"<form id=all><div class=widget><h1>Title</h1>{MANY}</div></form>", "Title\n" + MANY_TEXT),
+    (f"<div class=widget>{MANY}</div><nav>menu</nav>", MANY_TEXT),
+    (f"<article>{MANY}<h2>References</h2><ul>{''.join(f'<li><a href={i}>Reference {i}</a>' for i in range(4))}</ul></article>",
+     MANY_TEXT + "\nReferences\n" + "\n".join(f"Reference {i}" for i in range(4))),
+    (f"<article>{MANY}</article><article><p>{P2} <a href=1>{P2} {P2}</a> {P2}</p></article>", f"{MANY_TEXT}\n{P2} {P2} {P2} {P2}"),
+])
+def test_extract_drops_nothing_else(body, text):
+    assert extract(f"<html><body><nav><a href=0>Home</a></nav>{body}<footer>foot</footer></body></html>") == text
+
+
+class PlainTree(HTMLParser):
+    """Nested [tag, own text, children] of well-formed markup."""
+
+    def __init__(self, source):
+        super().__init__()
+        self.root = ["", "", []]
+        self.stack = [self.root]
+        self.feed(source)
+
+    def handle_starttag(self, tag, attrs):
+        node = [tag, "", []]
+        self.stack[-1][2].append(node)
+        self.stack.append(node)
+
+    def handle_endtag(self, tag):
+        self.stack.pop()
+
+    def handle_data(self, data):
+        self.stack[-1][1] += data
+
+
+def plain_densities(source):
+    """Density and density sum of every node in document order, by the published formulas, one recursion a figure."""
+    root = PlainTree(source).root
+
+    def walk(node):
+        yield node
+        for x in node[2]:
+            yield from walk(x)
+
+    chars = lambda node: sum(len("".join(x[1].split())) for x in walk(node))
+    link_chars = lambda node: chars(node) if node[0] == "a" else sum(link_chars(x) for x in node[2])
+    tags = lambda node: sum(1 for x in walk(node)) - 1
+    links = lambda node: sum(x[0] == "a" for x in walk(node)) - (node[0] == "a")
+    body = next(x for x in walk(root) if x[0] == "body")
+
+    def density(node):
+        n, ln = chars(node), link_chars(node)
+        if not n:
+            return 0.0
+        t, lt = max(1, tags(node)), max(1, links(node))
+        base = math.log(n / max(1, n - ln) * ln + link_chars(body) / max(1, chars(body)) * n + math.e)
+        value = n / max(1, ln) * t / lt
+        return n / t * max(0.0, math.log(value, base) if base > 1 else math.log(max(value, 1)))
+
+    return [(density(x), sum(density(y) for y in x[2])) for x in walk(root)]
+
+
+@pytest.mark.parametrize("inner", [
+    f"<div><p>{P2}</p><p>{P1}</p></div>", f"<div><p>{P2} <a href=1>more</a></p></div><div><a href=2>x</a><a href=3>yy</a></div>",
+    f"<div><div><p>{P2 * 3}</p></div><table><tr><td><a href=1>cell</a></td><td>{P1}</td></tr></table></div><p></p>", "<p><a href=1>all linked text</a></p>",
+])
+def test_density_formulas(inner):
+    source = f"<html><body>{inner}</body></html>"
+    page = Page(source)
+    _, _, dense, sums, _, _ = page.measure([False] * len(page.tag))
+    assert list(zip(dense, sums))[1:] == [pytest.approx(x) for x in plain_densities(source)][1:]
+
+
 @pytest.mark.parametrize("page", ["<a href=\"" * 5000, "<p '=\"x" * 5000, "<div>" * 20_000, "</b>" * 20_000, "<" * 20_000, "<!--" * 9000,
                                   "<p><table>" + "<b>" * 9000 + "<div>" * 9000, "<script>" * 500, "&" * 5000, "<li>" * 9000, "</" * 9000])
 def test_extract_hostile(page):
