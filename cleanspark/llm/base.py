@@ -29,6 +29,18 @@ def two_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(c(id_col).alias("doc_id"), c(text_col).cast("string").alias("text"))
 
 
+#: Most bytes of an Arrow batch between Spark and a Python worker; Spark's own bound is 64 MB.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to ``BATCH_BYTES``: a batch lies in the executor's buffers and in the worker at
+    the same time. A smaller setting of the user's stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, ``spark.checkpoint.dir``. Only where that is unset and the master
     is local (tests) a scratch folder is set; a cluster without the setting is an error."""

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cleanspark.session import ship_package
 
-from .base import c
+from .base import bound_batches, c
 
 #: Matches remembered in each Python worker (a memo: when full it starts again), and the longest that is.
 MEMO_ENTRIES, MEMO_CHARS = 150_000, 64
@@ -109,7 +109,7 @@ class ByteBpe:
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.findall = splitter(pattern).findall
         self.memo: dict[str, bytes] = {}
-        self.length = Spelling(content).length
+        self.length = spelling(content).length
 
     def pieces(self, texts: list[str]) -> list[list[str]]:
         return [self.findall(t) for t in texts]
@@ -195,6 +195,7 @@ def _shipped(df: DataFrame, path: str | None, pattern: str | None):
     import public_tokenizers
 
     ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
     with open(path or rank_file(), "rb") as f:  # a file of the driver, of fixed size: its content is broadcast
         return df.sparkSession.sparkContext.broadcast(f.read()), pattern or public_tokenizers.PATTERN
 
@@ -214,17 +215,53 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         for batch in batches:
             for a, b, texts in text_slices(batch.column(batch.num_columns - 1), SLICE):
                 packed = bpe.packed(texts)
-                bounds = pa.array(np.cumsum([0, *(len(p) // 4 for p in packed)]), pa.int32())
-                lists = lambda parts: pa.ListArray.from_arrays(bounds, pa.array(parts, pa.int32()))
-                columns = [*(x.slice(a, b - a) for x in batch.columns[:-1]), lists(np.frombuffer(b"".join(packed), "<i4"))]
+                columns = [*(x.slice(a, b - a) for x in batch.columns[:-1]), id_lists(packed)]
                 if offsets:
                     spans = [bpe.offsets(t, np.frombuffer(p, "<i4")) for t, p in zip(texts, packed)]
-                    columns += [lists(np.concatenate([s[k] for s in spans])) for k in (0, 1)]
+                    columns += [pa.ListArray.from_arrays(columns[-1].offsets, pa.array(np.concatenate([s[k] for s in spans]), pa.int32()))
+                                for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "ids", "starts", "ends"][:len(columns)])
 
     return rows.mapInArrow(run, schema)
 
 
+def id_lists(packed: list[bytes]) -> pa.ListArray:
+    """An Arrow list of ids for each text of ``ByteBpe.packed``."""
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(p) // 4 for p in packed)]), pa.int32()),
+                                    pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32()))
+
+
+def spelled(ids: pa.ListArray, spell: Spelling) -> pa.Array:
+    """The bytes that each list of ids spells; null lists give null, null ids U+FFFD."""
+    null = ~ids.is_valid().to_numpy(zero_copy_only=False)
+    sizes = np.where(null, 0, np.diff(ids.offsets.to_numpy()).astype(np.int64))
+    raw, length = spell.decode(ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64))
+    ends = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(sizes)])]
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(ids), [pa.py_buffer(np.packbits(~null, bitorder="little").tobytes()),
+                                      pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes())]).cast(pa.binary())
+
+
+def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
+               pattern: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the columns ``keep``, ``ids`` as of ``encode`` and ``bytes`` as of ``decode``, for every input row, in one
+    pass: the worker that made the ids decodes them, so texts and ids cross to Python once and each task needs one
+    worker instead of two."""
+    ranks, pattern = _shipped(df, path, pattern)
+    rows = df.select(c(id_col).alias("doc_id"), *[c(k) for k in keep], F.coalesce(c(text_col).cast("string"), F.lit("")).alias("text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", ids array<int>, bytes binary"
+
+    def run(batches):
+        bpe, spell = built(ranks.value, pattern), spelling(ranks.value)
+        for batch in batches:
+            for a, b, texts in text_slices(batch.column(batch.num_columns - 1), SLICE):
+                ids = id_lists(bpe.packed(texts))
+                yield pa.RecordBatch.from_arrays([*(x.slice(a, b - a) for x in batch.columns[:-1]), ids, spelled(ids, spell)],
+                                                 names=[*batch.schema.names[:-1], "ids", "bytes"])
+
+    return rows.mapInArrow(run, schema)
+
+
 def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None,
            pattern: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: ``doc_id``, the columns ``keep`` and ``bytes``, what the ids spell; null ids give null.
@@ -242,17 +279,7 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: st
             lists = batch.column(batch.num_columns - 1)
             sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64) * lists.is_valid().to_numpy(zero_copy_only=False)
             for a, b in slices(sizes.tolist(), SLICE):
-                part = lists.slice(a, b - a)
-                ids = part.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-                raw, length = spell.decode(ids)
-                cuts = np.concatenate([[0], np.cumsum(sizes[a:b])])
-                ends = np.concatenate([[0], np.cumsum(length)])[cuts]
-                null = ~part.is_valid().to_numpy(zero_copy_only=False)
-                text = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), b - a,
-                    [pa.py_buffer(np.packbits(~null, bitorder="little").tobytes()), pa.py_buffer(ends.astype(np.int64).tobytes()),
-                     pa.py_buffer(raw.tobytes())]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([x.slice(a, b - a) for x in batch.columns[:-1]] + [text],
+                yield pa.RecordBatch.from_arrays([*(x.slice(a, b - a) for x in batch.columns[:-1]), spelled(lists.slice(a, b - a), spell)],
                                                  names=[*batch.schema.names[:-1], "bytes"])
 
     return rows.mapInArrow(run, schema)

@@ -1,15 +1,17 @@
 """Language ID by language-bitmask n-gram filters.
 
-For each language the character n-grams that make up at least ``min_share`` of its n-grams are kept, so a language
-has at most 1 / min_share of them however large the corpus is. They enter one bit-sliced Bloom filter: a table of
-cells, each a bitmask over languages; the AND of an n-gram's cells are all languages that (probably) contain it. A
-text counts, per language, its n-grams with that bit, corrects the share for the filter's false positives, and takes
-the largest.
+Every character n-gram of the learning rows enters one bit-sliced Bloom filter: a table of cells, each a bitmask over
+languages; the AND of an n-gram's cells are all languages that (probably) contain it. A text counts, per language, its
+n-grams with that bit, corrects the share for the filter's false positives, and takes the largest. The filter has
+``CELLS_A_GRAM`` cells for each n-gram of the language that has most, as a power of two between ``CELLS``; beyond its
+upper bound nothing is left out, the rate of false positives rises and is corrected. Learning takes up to ``LEARN_ROWS``
+rows of a language, by a hash of their texts: the one bound on what is learned from.
 """
 from __future__ import annotations
 
 import functools
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,16 +21,17 @@ from pyspark.sql import functions as F
 
 from cleanspark.session import ship_package
 
-from .base import c
+from .base import bound_batches, c, written
 from .bpe import text_slices
 from .words import mix
 
 #: Lengths of the n-grams: inside a word or touching its ends.
 SIZES = (3, 4)
-#: An n-gram of a language is kept from this share of the language's n-grams on.
-MIN_SHARE = 1e-5
-#: Cells of the filter (a power of two) and cells probed per n-gram; 64 languages take 8 bytes a cell.
-CELLS, PROBES = 1 << 20, 3
+#: Rows a language is learned from, about: a bounded sample of its labelled rows; with fewer, all of them.
+LEARN_ROWS = 1_000_000
+#: Cells of the filter for an n-gram, its least and most cells (powers of two), and cells probed per n-gram; 64 languages
+#: take 8 bytes a cell, so the filter has 128 MB for each 64 languages at most.
+CELLS_A_GRAM, CELLS, PROBES = 16, (1 << 16, 1 << 24), 3
 #: Bytes of text handled at once.
 SLICE = 1 << 18
 UNDETERMINED = "und"
@@ -73,6 +76,8 @@ def gram_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def gram_counts(labelled: DataFrame) -> DataFrame:
     """``lang, gram, n`` of all texts of ``labelled`` (text, lang): each task sums its own, Spark the tasks'."""
+    ship_package(labelled.sparkSession)
+    bound_batches(labelled.sparkSession)
 
     def run(batches):
         sums: dict[str, pd.Series] = {}
@@ -133,38 +138,56 @@ class LanguageModel:
 def _probe_cells(hashes: np.ndarray, cells: int):
     mask = np.uint64(cells - 1)
     for i in range(PROBES):
-        yield (hashes >> np.uint64(21 * i)) & mask
+        yield (hashes >> np.uint64(20 * i)) & mask
+
+
+def filter_cells(most_grams: int) -> int:
+    """Cells of a filter whose largest language has ``most_grams`` n-grams."""
+    return min(CELLS[1], max(CELLS[0], 1 << (CELLS_A_GRAM * most_grams - 1).bit_length()))
+
 
+def learning_rows(rows: DataFrame, most: int) -> DataFrame:
+    """About ``most`` rows of each ``lang`` of ``rows`` (text, lang), chosen by a hash of the text; all, where there are fewer."""
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).collect()  # a row a language
+    if not sizes:
+        return rows
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    cut = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], most * (1 << 30) // r["n"])])
+    return rows.filter(place < F.coalesce(cut[F.col("lang")], F.lit(1 << 30)))
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", min_share: float = MIN_SHARE, cells: int = CELLS) -> LanguageModel:
-    """The model of all rows of ``labelled`` with a language. Languages come in order of their n-grams, most first
+
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", learn_rows: int = LEARN_ROWS) -> LanguageModel:
+    """The model of the rows of ``labelled`` with a language. Languages come in order of their n-grams, most first
     (ties by name), which also decides ties of predictions.
 
-    The driver receives the languages with their totals and the set cells: at most ``cells`` per 64 languages."""
-    ship_package(labelled.sparkSession)
+    The driver receives the languages with their totals and the set cells: at most ``CELLS[1]`` per 64 languages."""
     rows = labelled.select(c(text_col).cast("string").alias("text"), c(lang_col).cast("string").alias("lang"))
-    counts = gram_counts(rows.filter("text IS NOT NULL AND lang IS NOT NULL")).persist()
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    counts = written(gram_counts(learning_rows(rows.filter("text IS NOT NULL AND lang IS NOT NULL"), learn_rows)), "grams")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("grams"))
     ordered = sorted(totals.collect(), key=lambda r: (-r["total"], r["lang"]))
     languages = [r["lang"] for r in ordered]
+    cells = filter_cells(max((r["grams"] for r in ordered), default=0))
     masks = np.zeros(((len(languages) + 63) // 64, cells), np.uint64)
     if languages:
-        known = labelled.sparkSession.createDataFrame(
-            [(r["lang"], i, int(np.ceil(r["total"] * min_share))) for i, r in enumerate(ordered)], "lang string, bit int, least bigint")
-        kept = counts.join(F.broadcast(known), "lang").filter("n >= least")
-        probes = F.array(*[F.shiftrightunsigned("gram", 21 * i).bitwiseAND(F.lit(cells - 1)) for i in range(PROBES)])
-        found = (kept.select((F.col("bit") / 64).cast("int").alias("plane"), (F.col("bit") % 64).alias("bit"), F.explode(probes).alias("cell"))
+        bits = labelled.sparkSession.createDataFrame([(r["lang"], i) for i, r in enumerate(ordered)], "lang string, bit int")
+        probes = F.array(*[F.shiftrightunsigned("gram", 20 * i).bitwiseAND(F.lit(cells - 1)) for i in range(PROBES)])
+        found = (counts.join(F.broadcast(bits), "lang")
+                 .select((F.col("bit") / 64).cast("int").alias("plane"), (F.col("bit") % 64).alias("bit"), F.explode(probes).alias("cell"))
                  .groupBy("plane", "cell").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask")).toArrow())
         masks[found["plane"].to_numpy(), found["cell"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
-    counts.unpersist()
     return LanguageModel(languages, masks)
 
 
+def _shared(df: DataFrame, model: LanguageModel):
+    ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
+    return df.sparkSession.sparkContext.broadcast((model.languages, model.masks))
+
+
 def predict(df: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, lang_pred, score``. Null, empty and letterless texts, and all texts of a model
     without languages, are ``und`` with score 0; a text with letters always gets a learned language."""
-    ship_package(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast((model.languages, model.masks))
+    shared = _shared(df, model)
     rows = df.select(c(id_col).alias("doc_id"), c(text_col).cast("string").alias("text"))
 
     def run(batches):
@@ -189,10 +212,19 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     return predict(df, model, id_col, text_col).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(df: DataFrame, min_score: float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def keep_identified(df: DataFrame, min_score: float, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``df``, all columns as they are, whose text has a language with at least ``min_score``, learned from
-    all rows with a language. Rows that share an id go together when all of them are rejected."""
-    verdicts = predict(df, train(df, text_col, lang_col), id_col, text_col)
-    kept = verdicts.groupBy("doc_id").agg(F.max(F.when(F.col("lang_pred") != UNDETERMINED, F.col("score")).otherwise(-1.0)).alias("best"))
-    return df.join(kept.filter(F.col("best") >= min_score).select(F.col("doc_id").alias("__kept_id")),
-                   c(id_col).eqNullSafe(F.col("__kept_id")), "left_semi")
+    the rows with a language. Each row is judged by itself, in the scan: only its text goes to Python, nothing is
+    shuffled."""
+    shared = _shared(df, train(df, text_col, lang_col))
+
+    def judge(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = LanguageModel(*shared.value)
+        for column in columns:
+            kept = [np.zeros(0, bool)]
+            for _, _, texts in text_slices(column, SLICE):
+                names, scores = known.predict(texts)
+                kept.append((scores >= min_score) & (np.array(names, object) != UNDETERMINED))
+            yield pa.array(np.concatenate(kept))
+
+    return df.filter(F.arrow_udf(judge, "boolean")(c(text_col).cast("string")))

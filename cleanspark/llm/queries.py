@@ -22,11 +22,9 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents")).select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"))
-    decoded = bpe.decode(encoded, keep=("n_tokens", "ids_sha256"))
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+    found = bpe.round_trip(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                        F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -205,6 +205,50 @@ def test_language_held_out_accuracy(spark):
     assert all(r.held_out == (brute.crc(str(r.doc_id)) % 5 == 0) for r in got.collect())
 
 
+def test_language_equals_sets_of_grams(spark):
+    """Every n-gram of the learning rows is in the filter: predictions are those of plain sets, but for false positives."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text", "lang").collect()
+    grams = lambda t: LI.gram_hashes([t])[0].tolist()
+    sets, sizes = {}, Counter()
+    for r in docs:
+        if r.text is not None and r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 5:
+            sets.setdefault(r.lang, set()).update(grams(r.text))
+            sizes[r.lang] += len(grams(r.text))
+    got = {r.doc_id: r for r in QUERIES["op6_language_id"](spark, SF001).collect()}
+    for r in docs:
+        own = grams(r.text)
+        if not own:
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        share = {x: sum(g in held for g in own) / len(own) for x, held in sets.items()}
+        best = max(share, key=lambda x: (share[x], sizes[x]))
+        assert got[r.doc_id].score == pytest.approx(share[best], abs=0.02)
+        assert got[r.doc_id].lang_pred == best or share[best] - share[got[r.doc_id].lang_pred] < 0.02
+    model = LI.train(spark.createDataFrame([(r.text, r.lang) for r in docs if r.lang], "text string, lang string"))
+    for r in docs[:50]:  # no n-gram of a learning row is missing
+        if r.lang and grams(r.text):
+            assert LI.LanguageModel([r.lang], model.masks >> np.uint64(model.languages.index(r.lang)) & np.uint64(1)).predict([r.text])[1][0] == 1.0
+
+
+def test_language_learning_rows(spark):
+    """Up to the bound all rows are learned from; beyond it a share of each large language, the small ones whole."""
+    rows = [(f"text {i} {'abcdefgh'[i % 8]}", "xx") for i in range(4000)] + [(f"other {i}", "yy") for i in range(30)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    assert LI.learning_rows(df, 4000).count() == 4030
+    some = {r.lang: r["count"] for r in LI.learning_rows(df, 1000).groupBy("lang").count().collect()}
+    assert some["yy"] == 30 and 850 < some["xx"] < 1150
+    assert [LI.filter_cells(n) for n in (0, 4096, 4097, 1 << 30)] == [1 << 16, 1 << 16, 1 << 17, 1 << 24]
+
+
+def test_round_trip_is_encode_and_decode(spark):
+    rows = [(i, t, "s") for i, t in enumerate([None, "", "a", "Grüße, 東京 🙂", "x" * 3000, "The end.\n" * 50])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(2)
+    got = bpe.round_trip(df).collect()
+    assert {r.doc_id: r.ids for r in got} == {r.doc_id: r.ids for r in bpe.encode(df).collect()}
+    assert {r.doc_id: bytes(r.bytes).decode() for r in got} == {i: t or "" for i, t, _ in rows}
+    assert bpe.round_trip(df.limit(0)).count() == 0
+
+
 def test_language_odd_rows(spark):
     rows = [(i, "the cat sat on the mat and the dog", "en") for i in range(30)] + [(30 + i, "der hund und die katze schlafen", "de") for i in range(30)]
     rows += [(100, None, "en"), (101, "", None), (102, "123 !?", "de"), (103, "Der Hund", None), (104, "THE DOG " * 20_000, None),
