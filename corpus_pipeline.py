@@ -38,10 +38,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's token ids, and its text as the ids spell it: ``doc_id, lang, source, text, n_tokens, ids``."""
-    encoded = bpe.encode(docs, keep=("lang", "source"))
-    decoded = bpe.decode(encoded.withColumn("kept_ids", F.col("ids")), keep=("lang", "source", "kept_ids"))
-    return decoded.select("doc_id", "lang", "source", F.col("bytes").cast("string").alias("text"),
-                          F.size("kept_ids").cast("long").alias("n_tokens"), F.col("kept_ids").alias("ids"))
+    found = bpe.round_trip(docs, keep=("lang", "source"))
+    return found.select("doc_id", "lang", "source", F.col("bytes").cast("string").alias("text"), F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),
