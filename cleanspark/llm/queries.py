@@ -8,6 +8,7 @@ from . import bpe
 from .base import table
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
+from .jaccard_join import similar_components
 from .language_id import identify
 from .line_dedup import line_dedup
 from .main_text import extract_pages
@@ -73,8 +74,12 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(table(spark, sf_dir, "documents"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_byte_bpe, op3_url_filter, op4_near_dedup, op5_sharding, op6_language_id, op7_line_dedup,
-                                  op8_decontamination, op9_html_extraction, op10_token_counts, op11_prefix_trie, op12_spelling)}
+                                  op8_decontamination, op9_html_extraction, op10_token_counts, op11_prefix_trie, op12_spelling, op13_jaccard_join)}
 
 #: CRC-32 in SQL: the table of the reflected polynomial, and a fold over the UTF-8 bytes of characters up to U+00FF.
 CRC_TABLE = """crc AS (SELECT list(list_reduce(range(8), lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) ORDER BY i) AS t
@@ -157,4 +162,15 @@ f AS (SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * w.n T
       FROM w LEFT JOIN best ON best.a = w.word),
 r AS (SELECT word, word AS root, form AS next FROM f UNION ALL SELECT r.word, f.word, f.form FROM r JOIN f ON f.word = r.next)
 SELECT f.word, form, root, n, n_near, form_n FROM f JOIN r ON r.word = f.word AND r.next IS NULL""",
+    "op13_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+s AS (SELECT doc_id, g, n FROM g JOIN n USING (doc_id)),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+r AS (SELECT DISTINCT a AS doc_id, a AS x FROM l UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.m, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(x) AS m FROM r GROUP BY doc_id) m USING (doc_id)""",
 }

@@ -46,13 +46,14 @@ def _codes() -> np.ndarray:
     return code
 
 
-def word_hashes(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``raw``: the bytes of texts one after the other, ``bounds``: where each starts, and the end.
+def word_hashes(raw: np.ndarray, bounds: np.ndarray, codes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``raw``: the bytes of texts one after the other, ``bounds``: where each starts, and the end. ``codes`` gives each byte's
+    code in a word, 0 outside of words; by default the rule above.
 
     Returns the hash of every word in order, and where each text's words start, and the end. Hashes 0 and 1 are free
     for the callers' padding."""
     power, inverse = _powers()
-    codes = _codes()
+    codes = _codes() if codes is None else codes
     parts_h, parts_at, open_length = [], [], 0
     begins = np.zeros(len(raw) + 1, bool)
     begins[bounds] = True
