@@ -131,21 +131,27 @@ def block_report(t: DataFrame, keys: Sequence[str] = DEFAULT_KEYS, min_size: int
 
 
 def candidate_pairs(t: DataFrame, keys: Sequence[str] = DEFAULT_KEYS, split_rows: int = SPLIT_ROWS) -> DataFrame:
-    """Distinct ``(tid_i, tid_j)``, ``tid_i < tid_j``, sharing at least one block key.
+    """Distinct ``(tid_i, tid_j)``, ``tid_i < tid_j``, sharing at least one block key; large blocks are joined as a grid of
+    parts (``grid_join``). ``lossless.py`` finds pairs without keys."""
+    return grid_join(cut_lineage(block_keys(t, keys)), ["kind", "key"], split_rows).select("tid_i", "tid_j").distinct()
+
+
+def grid_join(k: DataFrame, on: Sequence[str], split_rows: int = SPLIT_ROWS, carry: Sequence[str] = ()) -> DataFrame:
+    """``tid_i < tid_j`` of the rows of ``k`` (``tid``, ``on``, ``carry``: a written table) that agree in ``on``, with both sides' ``carry``.
 
     The first side of a large block is repeated along the rows of its grid and the second along the columns; all other
     blocks are one cell."""
-    k = cut_lineage(block_keys(t, keys))
+    on = list(on)
     limit = max(split_rows, k.count() // HOT_BLOCKS)
-    hot = k.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > limit).select(
-        "kind", "key", F.ceil(F.col("size") / F.lit(limit)).cast("int").alias("parts"))  # at most HOT_BLOCKS rows
-    k = k.join(F.broadcast(hot), ["kind", "key"], "left").withColumn("parts", F.coalesce("parts", F.lit(1))) \
+    hot = k.groupBy(*on).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > limit).select(
+        *on, F.ceil(F.col("size") / F.lit(limit)).cast("int").alias("parts"))  # at most HOT_BLOCKS rows
+    k = k.join(F.broadcast(hot), on, "left").withColumn("parts", F.coalesce("parts", F.lit(1))) \
          .withColumn("part", F.pmod(F.xxhash64("tid"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    left = k.select(F.col("tid").alias("tid_i"), "kind", "key", F.col("part").alias("row"), other.alias("col"))
-    right = k.select(F.col("tid").alias("tid_j"), "kind", "key", F.col("part").alias("col"), other.alias("row"))
-    return left.join(right, ["kind", "key", "row", "col"]).where(F.col("tid_i") < F.col("tid_j")) \
-               .select("tid_i", "tid_j").distinct()
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("tid", *carry)]
+    left = k.select(*side("i"), *on, F.col("part").alias("row"), other.alias("col"))
+    right = k.select(*side("j"), *on, F.col("part").alias("col"), other.alias("row"))
+    return left.join(right, [*on, "row", "col"]).where(F.col("tid_i") < F.col("tid_j"))
 
 
 def with_values(t: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -374,6 +374,7 @@ def q_column_summary(spark, sf):
 from ..operators import anomaly as AN  # noqa: E402
 from ..operators import dedup as DD  # noqa: E402
 from ..operators import pairs as PR  # noqa: E402
+from ..operators import lossless as LL  # noqa: E402
 from . import flows as FL  # noqa: E402
 
 
@@ -457,6 +458,23 @@ def q_blocking_recall(spark, sf):
     return PR.sampled_recall(cleaned(spark, sf), every=10)
 
 
+def _lossless(t):
+    found = LL.lossless_pairs(t)
+    return rounded(found.select(F.col("tid_i").alias("row_i"), F.col("tid_j").alias("row_j"), "name_sim", "email_sim", "phone_sim"))
+
+
+@register("pairs_lossless", S.all_pairs_sql("clean", S.CLEAN_CTES.strip()))
+def q_pairs_lossless(spark, sf):
+    """J2 without block keys: every pair that the rule calls a duplicate."""
+    return _lossless(PR.triples(clean(spark, sf), ID))
+
+
+@register("pairs_lossless_narrow", S.all_pairs_sql("narrow", "narrow AS (" + FX.oracle_sql_text(FX.NARROW_CUSTOMERS_SQL).strip() + ")"))
+def q_pairs_lossless_narrow(spark, sf):
+    """The same where names, mail domain and phones are alike, and block keys lose pairs."""
+    return _lossless(PR.triples(FX.narrow_customers(spark, sf), ID))
+
+
 _TEXT_ID = "'PAT' || CAST(customer_id % 1000 AS STRING) || CASE WHEN customer_id >= 1000 THEN '_BIS' ELSE '' END"
 
 

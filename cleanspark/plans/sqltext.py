@@ -241,3 +241,31 @@ def pair_ctes(table: str = "clean", key: str = "customer_id") -> str:
 
 def with_pairs(body: str) -> str:
     return f"WITH {CLEAN_CTES.strip()},\n{pair_ctes()}\n{body}"
+
+
+def chars_sql(e: str) -> str:
+    """The characters of a string with their occurrence; equal multisets give equal sets."""
+    return (f"list_transform(string_split({e}, ''), lambda ch, i: ch || len(list_filter(string_split({e}, '')[1:i], lambda y: y = ch))::VARCHAR)")
+
+
+def all_pairs_sql(source: str, prelude: str) -> str:
+    """The rule on all pairs of the distinct triples of ``source``, with no block keys: what the characters that two values share
+    rule out (an upper bound of each similarity) is left out first, and each pair of values is compared once."""
+    bound = lambda f: f"2.0 * len(list_intersect(a.{f}_c, b.{f}_c)) / (len(a.{f}_c) + len(b.{f}_c))"
+    name = (PAIR_CTES[PAIR_CTES.index("tk AS"):PAIR_CTES.index("feat AS")].rstrip().rstrip(",").replace("FROM pv", "FROM nv")
+            .replace("row_i, row_j, first_i, first_j, email_i, email_j, phone_i, phone_j,", "name_i, name_j,"))
+    name = name[:name.rindex("AS name_sim")] + "AS name_sim FROM tl)"
+    return f"""WITH {prelude},
+tr AS (SELECT min(customer_id) AS tid, name, email, phone FROM {source}
+       WHERE name IS NOT NULL AND email IS NOT NULL AND phone IS NOT NULL GROUP BY name, email, phone),
+tc AS (SELECT *, {tokens_sql("name")} AS tok, {chars_sql("array_to_string(list_sort(" + tokens_sql("name") + "), ' ')")} AS name_c, {chars_sql("email")} AS email_c, {chars_sql("phone")} AS phone_c FROM tr),
+ub AS (SELECT a.tid AS row_i, b.tid AS row_j, a.name AS name_i, b.name AS name_j, a.email AS email_i, b.email AS email_j, a.phone AS phone_i, b.phone AS phone_j
+       FROM tc a JOIN tc b ON a.tid < b.tid
+       WHERE CASE WHEN list_has_any(a.tok, b.tok) THEN 1.0 ELSE {bound("name")} + 1e-9 END + {bound("email")} + {bound("phone")} > 2.1 - 1e-9),
+nv AS (SELECT DISTINCT name_i, name_j FROM ub),
+{name},
+es AS (SELECT email_i, email_j, {indel("email_i", "email_j")} AS email_sim FROM (SELECT DISTINCT email_i, email_j FROM ub)),
+ps AS (SELECT phone_i, phone_j, {indel("phone_i", "phone_j")} AS phone_sim FROM (SELECT DISTINCT phone_i, phone_j FROM ub))
+SELECT row_i, row_j, ROUND(name_sim, 6) AS name_sim, ROUND(email_sim, 6) AS email_sim, ROUND(phone_sim, 6) AS phone_sim
+FROM ub JOIN sims USING (name_i, name_j) JOIN es USING (email_i, email_j) JOIN ps USING (phone_i, phone_j)
+WHERE (name_sim + email_sim + phone_sim) / 3.0 > 0.7"""
