@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import os
 import re
 import sys
 import unicodedata
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cleanspark.session import ship_package
 
-from .base import bound_batches, c
+from .base import bound_batches, c, frugal
 
 #: Matches remembered in each Python worker (a memo: when full it starts again), and the longest that is.
 MEMO_ENTRIES, MEMO_CHARS = 150_000, 64
@@ -99,6 +100,8 @@ class ByteBpe:
     """The encoder of one rank file, with its memo."""
 
     def __init__(self, content: bytes, pattern: str):
+        # one thread a task: those of the library would share the task's core and take memory each
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         ranks = parse_ranks(content)
@@ -222,7 +225,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
                                 for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "ids", "starts", "ends"][:len(columns)])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(frugal(run), schema)
 
 
 def id_lists(packed: list[bytes]) -> pa.ListArray:
@@ -259,7 +262,7 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
                 yield pa.RecordBatch.from_arrays([*(x.slice(a, b - a) for x in batch.columns[:-1]), ids, spelled(ids, spell)],
                                                  names=[*batch.schema.names[:-1], "ids", "bytes"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(frugal(run), schema)
 
 
 def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None,
@@ -282,4 +285,4 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: st
                 yield pa.RecordBatch.from_arrays([*(x.slice(a, b - a) for x in batch.columns[:-1]), spelled(lists.slice(a, b - a), spell)],
                                                  names=[*batch.schema.names[:-1], "bytes"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(frugal(run), schema)

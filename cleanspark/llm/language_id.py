@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cleanspark.session import ship_package
 
-from .base import bound_batches, c, written
+from .base import bound_batches, c, frugal, written
 from .bpe import text_slices
 from .words import mix
 
@@ -101,7 +101,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
                     yield from out()
         yield from out()
 
-    return (labelled.select("text", "lang").mapInArrow(run, "lang string, gram bigint, n bigint")
+    return (labelled.select("text", "lang").mapInArrow(frugal(run), "lang string, gram bigint, n bigint")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
@@ -198,7 +198,7 @@ def predict(df: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(names, pa.string()), pa.array(scores)],
                                                  names=["doc_id", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInArrow(frugal(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
 def held_out(id_column: Column) -> Column:
@@ -219,12 +219,15 @@ def keep_identified(df: DataFrame, min_score: float, text_col: str = "text", lan
     shared = _shared(df, train(df, text_col, lang_col))
 
     def judge(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = LanguageModel(*shared.value)
-        for column in columns:
-            kept = [np.zeros(0, bool)]
-            for _, _, texts in text_slices(column, SLICE):
-                names, scores = known.predict(texts)
-                kept.append((scores >= min_score) & (np.array(names, object) != UNDETERMINED))
-            yield pa.array(np.concatenate(kept))
+        def run(parts):
+            known = LanguageModel(*shared.value)
+            for column in parts:
+                kept = [np.zeros(0, bool)]
+                for _, _, texts in text_slices(column, SLICE):
+                    names, scores = known.predict(texts)
+                    kept.append((scores >= min_score) & (np.array(names, object) != UNDETERMINED))
+                yield pa.array(np.concatenate(kept))
+
+        yield from frugal(run)(columns)
 
     return df.filter(F.arrow_udf(judge, "boolean")(c(text_col).cast("string")))
