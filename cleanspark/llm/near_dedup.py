@@ -7,14 +7,8 @@ dart per coordinate. Two texts agree in a coordinate with a probability equal to
 
 From signatures to classes, in Spark and without listing the pairs of a group:
 
-1. texts with equal words are one node; a node sends a row to each of its band buckets;
-2. in each bucket every member is compared with the bucket's first member, by exact similarity; links form classes;
-3. where members of a bucket are still in different classes, they are compared across classes: such groups are cut into
-   parts, and each pair of parts is compared through an inverted index by one task, which returns links between classes
-   only. So no candidate pair of the buckets is left between two classes without having been compared. This is the one
-   step whose work grows with the square of a group, namely of one that scatters around the threshold without being a
-   class; groups of copies and of closer texts end in step 2;
-4. links of both rounds form the final classes, by label propagation with pointer jumping.
+texts with equal words are one node; a node sends a row to each of its band buckets, and ``classes.py`` compares what
+shares a bucket exactly and forms the classes.
 """
 from __future__ import annotations
 
@@ -24,7 +18,6 @@ import sys
 import unicodedata
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -34,16 +27,13 @@ from pyspark.sql import functions as F
 from cleanspark.session import ship_package
 
 from . import words as W
-from .base import c, written
+from .base import c, frugal, written
+from .classes import bucket_classes, class_rows, components  # noqa: F401
 
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
 #: 24 bands of 6 coordinates: a pair of similarity 0.8 shares a bucket with probability 0.9993, one of 0.5 with 0.31.
 BANDS, BAND_ROWS = 24, 6
 SLICE_BYTES = 1 << 19
-#: Join partitions that the rows of one group are dealt over.
-SPREAD = 16
-#: Rows and shingles of a part of a large group; two parts are compared in one piece of work.
-PART_ROWS, PART_SHINGLES = 2_000, 1_000_000
 #: Scripts written without spaces between words, in RE2's names, and the marks that lengthen kana.
 UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\x{30FC}\x{FF70}\p{Bopomofo}\p{Yi}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tai_Tham}\p{Javanese}"
 _U = np.uint64
@@ -166,83 +156,7 @@ def _scan(rows: DataFrame, id_type: str, size: int, bands: int, band_rows: int)
                     names=["row", "doc_id", "c1", "c2", "n", "buckets", "shingles"])
                 count += b - a
 
-    return rows.mapInArrow(run, schema)
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """``node, label`` of every node of ``edges`` (a, b): the smallest node of its connected component.
-
-    Each round takes the smallest label among neighbours, then the label's own label; rounds grow with the logarithm
-    of a component's width. Every round is written to the shared folder."""
-    both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
-    while True:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        above = labels.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        moved = written(step.join(above, "label", "left").select(
-            "node", "old", F.least("label", F.coalesce("above", "label")).alias("label")), "labels")
-        labels = moved.select("node", "label")
-        if moved.filter("label <> old").isEmpty():
-            return labels
-
-
-def _similar(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with their exact similarity ``sim``."""
-    left = shingles.select(F.col("row").alias("a"), F.col("shingles").alias("of_a"))
-    right = shingles.select(F.col("row").alias("b"), F.col("shingles").alias("of_b"))
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    return pairs.join(right, "b").join(left, "a").select(
-        "a", "b", (shared / (F.size("of_a") + F.size("of_b") - shared)).alias("sim"))
-
-
-def _links_between(members: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
-    """Links ``a, b`` between labels, of rows that share a bucket (``bucket, row, n, label``) under different labels.
-
-    The buckets whose most frequent label is the same are one group. A group is cut into parts of about ``PART_ROWS``
-    rows and ``PART_SHINGLES`` shingles, each pair of parts is one cell, and a cell is compared through an inverted index
-    of its shingles: rows of all but its most frequent label are the queries, against every row of the cell."""
-    counts = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    hubs = counts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("labels")).filter(
-        "labels > 1").select("bucket", F.col("m.label").alias("hub"))
-    group = written(members.join(hubs, "bucket").select("hub", "row", "n", "label").distinct(), "groups")
-    sizes = group.groupBy("hub").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(PART_ROWS)),
-                                                F.ceil(F.sum("n") / F.lit(PART_SHINGLES))).cast("int").alias("parts"))
-    parted = written(group.join(sizes, "hub").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")), "parts")
-    load = parted.agg(F.coalesce(F.sum(F.col("n").cast("long") * F.col("parts")), F.lit(0)).alias("n")).collect()[0]["n"]
-    other = F.col("other")
-    cells = (parted.join(shingles, "row").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select(F.pmod(F.xxhash64("hub", F.least("part", other), F.greatest("part", other)), F.lit(1 + load // PART_SHINGLES)).alias("task"),
-                     "hub", F.least("part", other).alias("i"), F.greatest("part", other).alias("j"), "label", "shingles"))
-
-    def compare(rows):
-        out = []
-        for _, cell in rows.groupby(["hub", "i", "j"], sort=False):
-            out += _cell_links(cell["label"].to_numpy(), [np.asarray(x) for x in cell["shingles"]], threshold)
-        a, b = zip(*set(out)) if out else ((), ())
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
-
-    return cells.groupBy("task").applyInPandas(compare, "a bigint, b bigint").distinct()
-
-
-def _cell_links(labels: np.ndarray, sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
-    """Pairs of different labels that hold rows with a similarity of at least ``threshold``."""
-    names, code, count = np.unique(labels, return_inverse=True, return_counts=True)
-    if len(names) < 2:
-        return []
-    size = np.array([len(x) for x in sets], np.int64)
-    element = np.concatenate(sets)
-    order = np.argsort(element, kind="stable")
-    element, owner = element[order], np.repeat(np.arange(len(sets)), size)[order]
-    links = []
-    for x in np.flatnonzero(code != count.argmax()):
-        low, high = np.searchsorted(element, sets[x], "left"), np.searchsorted(element, sets[x], "right")
-        run = high - low
-        at = np.repeat(low - (np.cumsum(run) - run), run) + np.arange(run.sum())
-        shared = np.bincount(owner[at], minlength=len(sets))
-        near = np.flatnonzero((shared >= threshold * (size[x] + size - shared)) & (code != code[x]))
-        links += [(int(labels[x]), int(y)) for y in np.unique(labels[near])]
-    return links
+    return rows.mapInArrow(frugal(run), schema)
 
 
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS,
@@ -268,40 +182,8 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = written(same.filter("copies > 1").select("c1", "c2", F.col("m.row").alias("node")), "copies")
     nodes = scan.select("row", "n", "buckets").join(same.select(F.col("m.row").alias("row")), "row", "left_semi")
     members = written(nodes.select(F.explode("buckets").alias("bucket"), "row", "n"), "members")
-    shingles = scan.select("row", "shingles")
-
-    firsts = members.groupBy("bucket").agg(F.min(F.struct("row", "n")).alias("f"), F.count(F.lit(1)).alias("size")).filter(
-        "size > 1").select("bucket", F.col("f.row").alias("first"), F.col("f.n").alias("first_n"), "size")
-    full = written(members.join(firsts, "bucket"), "buckets")
-
-    def comparable(x: str, y: str):  # a similarity needs sizes this close
-        return F.least(x, y) >= threshold * F.greatest(x, y)
-
-    pairs = full.filter((F.col("row") != F.col("first")) & comparable("n", "first_n")).select(
-        F.col("first").alias("a"), F.col("row").alias("b")).distinct()
-    compared = written(_similar(pairs, shingles), "compared")
-    labels = components(compared.filter(F.col("sim") >= threshold))
-
-    # buckets of three members or more, whose members other than the first are in several classes
-    others = written(full.filter((F.col("size") > 2) & (F.col("row") != F.col("first")))
-                     .join(labels.withColumnRenamed("node", "row"), "row", "left")
-                     .withColumn("label", F.coalesce("label", "row")), "others")
-    joined = components(_links_between(others.select("bucket", "row", "n", "label"), shingles, threshold))
-
-    final = (labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left")
-             .select("node", F.coalesce("top", "label").alias("class"))
-             .union(joined.join(labels, "node", "left_anti").select("node", F.col("label").alias("class"))))
-    # a group may hold a third of all rows: what is looked up by group is repeated, and its rows dealt over the repeats
-    spread = F.pmod(F.xxhash64("row"), F.lit(SPREAD)).cast("int").alias("spread")
-    repeats = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("spread")
-    of_copies = copies.join(final, "node", "left").select("c1", "c2", F.coalesce("class", "node").alias("of_copies"), repeats)
-    placed = written(
-        scan.select("row", "doc_id", "c1", "c2", "n", spread).join(of_copies, ["c1", "c2", "spread"], "left")
-        .join(final.select(F.col("node").alias("row"), F.col("class").alias("own")), "row", "left")
-        .select("row", "doc_id", "spread", F.when(F.col("n") > 0, F.coalesce("of_copies", "own", "row")).otherwise(F.col("row")).alias("class")),
-        "placed")
-    groups = placed.groupBy("class").agg(F.min(order).alias("m"), F.count(F.lit(1)).alias("class_size")).filter("class_size > 1")
-    return placed.join(groups.select("class", "m", "class_size", repeats), ["class", "spread"], "left").select(
+    classes = written(bucket_classes(members, scan.select("row", F.col("shingles").alias("elements")), threshold), "classes")
+    return class_rows(scan, classes, copies, order).select(
         "doc_id", F.when(F.col("m").isNull(), F.col("doc_id")).otherwise(F.col("m.doc_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
         (F.col("m").isNull() | (F.col("m.row") == F.col("row"))).alias("kept"))
