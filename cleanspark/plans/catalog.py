@@ -351,6 +351,16 @@ def q_read_csv(spark, sf):
     return R.read_table(spark, paths, "csv").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
 
 
+@register("read_csv_split", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents")
+def q_read_csv_split(spark, sf):
+    """Documents, whose texts hold quotes, commas and line breaks, written as CSV and read back by splits."""
+    from ..streaming.stream import scratch_path
+    path = scratch_path(spark, "csv-split")
+    table(spark, sf, "documents").select(F.col("doc_id").cast("string"), "text", "lang", "source").write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return R.read_csv(spark, [path], split=True)
+
+
 def _column_summary_sql(tbl, cols, numeric):
     parts = []
     for c in cols:
@@ -670,6 +680,32 @@ def q_verify_counts(spark, sf):
     return SK.verify_counts({"clean": r.clean, "final": r.final, "anomalies": r.final.where("is_anomaly = 1")})
 
 
+def _run_files(spark, sf):
+    from ..streaming.stream import scratch_path
+    source, out = scratch_path(spark, "run-source"), scratch_path(spark, "run-out")
+    raw(spark, sf).write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(source)
+    return out, FL.run_files(spark, source, out)
+
+
+@register("run_files_loaded", S.with_pairs("").rstrip() + ",\n" + _qb("deduped") + ",\nfin AS (SELECT *" + _FLAG +
+          " FROM deduped)\nSELECT TRY_CAST(customer_id AS INTEGER) AS customer_id, name, email, phone, city, country, "
+          "signup_date, TRY_CAST(amount AS DECIMAL(10,2)) AS amount, is_anomaly, CAST(NULL AS FLOAT) AS anomaly_score FROM fin")
+def q_run_files_loaded(spark, sf):
+    """P3 from CSV files to the typed load, read back from its path."""
+    out, _ = _run_files(spark, sf)
+    return spark.read.parquet(f"{out}/loaded")
+
+
+@register("run_files_verified", S.with_pairs("").rstrip() + ",\n" + _qb("deduped") + ",\nfin AS (SELECT *" + _FLAG +
+          " FROM deduped)\nSELECT 'clean' AS \"table\", CAST(count(*) AS BIGINT) AS rows, CAST(NULL AS BIGINT) AS flagged FROM clean "
+          "UNION ALL SELECT 'final', CAST(count(*) AS BIGINT), CAST(sum(is_anomaly) AS BIGINT) FROM fin "
+          "UNION ALL SELECT 'loaded', CAST(count(*) AS BIGINT), CAST(sum(is_anomaly) AS BIGINT) FROM fin")
+def q_run_files_verified(spark, sf):
+    """The run's report names the paths of its tables, whose rows were counted after writing."""
+    _, report = _run_files(spark, sf)
+    return spark.read.parquet(report.collect()[0]["verified_path"])
+
+
 @register("preview_top5", S.with_clean("SELECT * FROM clean ORDER BY customer_id LIMIT 5"))
 def q_preview_top5(spark, sf):
     return cleaned(spark, sf).orderBy("customer_id").limit(5)

@@ -223,11 +223,14 @@ def run_report(raw: DataFrame, found: Duplicates, dropped: DataFrame, final: Dat
 
 
 def run_files(spark: SparkSession, source: str | Sequence[str], out: str, fmt: str = "csv", dedup_path: str | None = None,
-              anomaly_path: str | None = None) -> DataFrame:
-    """P3 from path to path: read the source, write ``clean``, ``final``, ``dropped`` and ``rejects`` (malformed CSV
-    records) under ``out``, and the stamped report with all output paths as JSON; returns the report."""
+              anomaly_path: str | None = None, load_table: str | None = None) -> DataFrame:
+    """P3 from path to path: read the source (large CSV files by many tasks), write ``clean``, ``final``, ``dropped`` and ``rejects``
+    (malformed CSV records) under ``out``, then the typed load: ``loaded``, the final rows in the load's column types (S9; also as the
+    catalog table ``load_table``), ``load_rejects``, the values that do not fit, and ``verified``, the row counts of all (S10). The
+    stamped report with all output paths is written as JSON and returned."""
     if fmt == "csv":
-        good, rejects = split_rejects(cut_lineage(read_csv(spark, [source] if isinstance(source, str) else source, malformed="keep")))
+        read = read_csv(spark, [source] if isinstance(source, str) else source, malformed="keep", split=True)
+        good, rejects = split_rejects(cut_lineage(read))
         SK.write_table(rejects, f"{out}/rejects")
     else:
         good = read_table(spark, source, fmt)
@@ -235,8 +238,17 @@ def run_files(spark: SparkSession, source: str | Sequence[str], out: str, fmt: s
     result = run(raw, dedup_path, anomaly_path)
     for name, table in (("clean", result.clean), ("dropped", result.dropped), ("final", result.final)):
         SK.write_table(table, f"{out}/{name}")
+    written = spark.read.parquet(f"{out}/final")
+    SK.write_table(SK.typed_load(written), f"{out}/loaded")
+    SK.write_table(SK.load_rejects(written, KEY), f"{out}/load_rejects")
+    loaded = spark.read.parquet(f"{out}/loaded")
+    if load_table:
+        SK.save_table(loaded, load_table)
+        loaded = spark.table(load_table)
+    SK.write_table(SK.verify_counts({"clean": spark.read.parquet(f"{out}/clean"), "final": written, "loaded": loaded}), f"{out}/verified")
+    names = ("clean", "dropped", "final", "loaded", "load_rejects", "verified")
     report = SK.stamp(result.report, source if isinstance(source, str) else ",".join(source)).select(
-        "*", *[F.lit(f"{out}/{name}").alias(f"{name}_path") for name in ("clean", "dropped", "final")])
+        "*", *[F.lit(f"{out}/{name}").alias(f"{name}_path") for name in names])
     SK.write_report_json(report, f"{out}/report")
     return spark.read.json(f"{out}/report")
 

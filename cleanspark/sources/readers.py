@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .csv_split import read_csv_split
+
 # The text tokens a CSV reader treats as missing by default.
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -61,15 +63,17 @@ def read_table(spark: SparkSession, path: str | Sequence[str], fmt: str = "parqu
 
 
 def read_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None, malformed: str = "fail",
-             **options) -> DataFrame:
+             split: bool = False, **options) -> DataFrame:
     """CSV paths as one table of strings, columns aligned by name.
 
     Fields may hold quotes (doubled), separators and line breaks. Each path has a header of its own; paths whose headers
     differ in order or content are read apart and stacked by name (absent columns null), and a file under a path that
     has another header than the path's first is an error, never read by position. A record with too few or too many
     fields fails the read (``malformed="fail"``) or stays as a row whose text is in ``_corrupt_record``
-    (``malformed="keep"``, see ``split_rejects``). ``multiLine="false"`` lets Spark split large files that are known to
-    hold no line break inside fields.
+    (``malformed="keep"``, see ``split_rejects``).
+
+    ``split=True`` deals large files over tasks although fields may hold line breaks (``csv_split.py``; of the options it takes
+    ``header``, ``sep`` and ``quote``); else a file is one task, unless ``multiLine="false"`` says that there are none.
     """
     if malformed not in ("fail", "keep"):
         raise ValueError("malformed must be 'fail' or 'keep'")
@@ -77,6 +81,8 @@ def read_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] |
             "mode": "FAILFAST" if malformed == "fail" else "PERMISSIVE", "columnNameOfCorruptRecord": REJECT_COLUMN, **options}
 
     def read(part: Sequence[str], names: Sequence[str]) -> DataFrame:
+        if split:
+            return read_csv_split(spark, part, names, str(opts["header"]).lower() == "true", malformed, opts.get("sep", ","), opts["quote"], REJECT_COLUMN)
         kept = [*names, REJECT_COLUMN] if malformed == "keep" else names
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in kept])
         # enforceSchema=false also checks the header; a header-less file has none
