@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import pct, quality_grade, traffic_light
+from .gram import correlation_matrix
 from .quantiles import approx_quantiles, exact_quantiles, long_numeric
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -27,6 +28,8 @@ NON_NORMAL_WEIGHT, NON_NORMAL_CAP = 2.0, 10.0
 IQR_FACTOR = 1.5
 NORMAL_P = 0.05
 STRONG_CORRELATION = 0.7
+# Columns up to which correlations are plain aggregate expressions.
+NATIVE_COLUMNS = 8
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -258,6 +261,7 @@ def duplicate_rows_top(df: DataFrame, key: str, n: int = 10, digest_columns: Seq
 def correlations(df: DataFrame, columns: Sequence[str] | None = None, threshold: float | None = None) -> DataFrame:
     """Pearson r of every numeric pair over pairwise-complete rows; ``|r| > threshold`` when given.
 
+    More than ``NATIVE_COLUMNS`` columns go through one Gram matrix a task (``gram.py``); the expressions below grow with the pairs.
     Two passes of plain sums (the fastest aggregate Spark has): column means and missing counts, then centred
     sufficient statistics. Values are shifted by their column mean before products are summed, which keeps the
     one-pass formula numerically stable. Without missing values the per-column sums serve every pair and only
@@ -270,6 +274,8 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None, threshold:
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
     if not pairs:
         return spark.createDataFrame([], "col1 string, col2 string, corr double")
+    if len(columns) > NATIVE_COLUMNS:
+        return correlation_matrix(df, columns, threshold)
     xs = {c: F.col(f"`{c}`").cast("double") for c in columns}
     ok = {c: xs[c].isNotNull() & ~F.isnan(xs[c]) for c in columns}
     first = df.agg(F.count(F.lit(1)).alias("_rows"),

@@ -276,6 +276,18 @@ def q_correlations_strong(spark, sf):
     return rounded(P.correlations(li, _CHARGE, threshold=0.7))
 
 
+_WIDE = [(f"{c}_{k}", e.replace("x", c)) for c in LINE_NUM for k, e in (
+    ("all", "x"), ("some", "CASE WHEN l_linenumber % 3 <> 0 THEN x END"), ("scaled", "x * (l_linenumber + 1000000)"))]
+_WIDE_SELECT = "SELECT " + ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in _WIDE) + " FROM {lineitem}"
+
+
+@register("correlations_wide", "WITH wide AS (" + _WIDE_SELECT.format(lineitem="lineitem") + ")\n" + S.corr_sql("wide", [n for n, _ in _WIDE]))
+def q_correlations_wide(spark, sf):
+    """A12 over three times the columns, a third of them with missing cells."""
+    wide = spark.sql(_WIDE_SELECT, lineitem=table(spark, sf, "lineitem"))
+    return rounded(P.correlations(wide, [n for n, _ in _WIDE]))
+
+
 def _quality_sql(tbl, cols, numeric):
     pc = _profile_columns_sql(tbl, cols, numeric)
     io = S.iqr_outliers_sql(tbl, numeric).replace("WITH bounds AS", "bounds AS", 1)
