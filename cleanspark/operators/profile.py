@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import pct, quality_grade, traffic_light
 from .gram import correlation_matrix
+from .heavy import most_common
 from .quantiles import approx_quantiles, exact_quantiles, long_numeric
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -53,10 +54,13 @@ def _as_text(df: DataFrame, name: str):
 
 def frequency(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column, value, n)``: copies of every value (null included) of every column."""
-    columns = list(columns or df.columns)
+    return _unpivoted(df, list(columns or df.columns)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _unpivoted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value)`` of every cell, within the scan."""
     pairs = [F.struct(F.lit(c).alias("column"), _as_text(df, c).alias("value")) for c in columns]
-    long = df.select(F.explode(F.array(*pairs)).alias("x")).select("x.column", "x.value")
-    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return df.select(F.explode(F.array(*pairs)).alias("x")).select("x.column", "x.value")
 
 
 def profile_table(df: DataFrame) -> DataFrame:
@@ -87,9 +91,7 @@ def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
             F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
             F.count("value").alias("unique_count"))
     else:
-        pairs = [F.struct(F.lit(c).alias("column"), _as_text(df, c).alias("value")) for c in cols]
-        long = df.select(F.explode(F.array(*pairs)).alias("x")).select("x.column", "x.value")
-        per = long.groupBy("column").agg(
+        per = _unpivoted(df, cols).groupBy("column").agg(
             F.count(F.lit(1)).alias("rows"), F.count("value").alias("non_null_count"),
             F.count_if(F.col("value").isNull()).alias("null_count"),
             F.approx_count_distinct("value", 0.01).alias("unique_count"))
@@ -197,17 +199,13 @@ def normality_jb(df: DataFrame, columns: Sequence[str] | None = None, alpha: flo
 
 
 def categorical_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Most common value, its count and % of all rows. Ties -> smallest value."""
+    """Most common value, its count and % of all rows. Ties -> smallest value. Candidates come from a sketch and are
+    counted exactly; only columns that this does not decide are counted in full (``heavy.py``)."""
     columns = list(columns or categorical_columns(df))
-    freq = frequency(df, columns)
-    per = freq.groupBy("column").agg(
-        F.sum("n").alias("_rows"),
-        F.min_by(F.struct(F.col("value"), F.col("n")),
-                 F.when(F.col("value").isNotNull(), F.struct(-F.col("n"), F.col("value")))).alias("_top"))
-    return per.select(
-        "column", F.col("_top.value").alias("most_common"),
-        F.coalesce(F.col("_top.n"), F.lit(0)).cast("bigint").alias("most_common_count"),
-        F.coalesce(pct(F.col("_top.n"), "_rows"), F.lit(0.0)).alias("most_common_percentage"))
+    found = most_common(_unpivoted(df, columns), columns)
+    return found.select(
+        "column", F.col("value").alias("most_common"), F.col("n").cast("bigint").alias("most_common_count"),
+        F.coalesce(F.when(F.col("n") > 0, pct("n", "rows")), F.lit(0.0)).alias("most_common_percentage"))
 
 
 def missing_values(df: DataFrame) -> DataFrame:
