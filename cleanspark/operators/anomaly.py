@@ -133,9 +133,12 @@ def train(df: DataFrame, key: str, features: Sequence[str] | None = None, n_tree
     identity = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed))
     pool = df.withColumn("_key", identity).withColumn("_h0", F.abs(F.xxhash64("_key")) / F.lit(scale)) \
         .where(F.col("_h0") < F.lit(pool_share)).select("_key", *_impute(df, features, means))
-    per_tree = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-    ht = F.abs(F.xxhash64(F.col("_key"), F.col("tree"), F.lit(seed + 1))) / F.lit(scale)
-    sampled = per_tree.withColumn("_h", ht).where(F.col("_h") < F.lit(tree_share))
+    # a row names the few trees it enters and is copied for those only
+    def place(tree):
+        return F.abs(F.xxhash64(F.col("_key"), tree, F.lit(seed + 1))) / F.lit(scale)
+
+    entered = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda tree: place(tree) < F.lit(tree_share))
+    sampled = pool.select("*", F.explode(entered).alias("tree")).withColumn("_h", place(F.col("tree")))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     feats = list(features)
 

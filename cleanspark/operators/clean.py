@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import parse_date
 from ..functions.text import clean_email, coerce_long, coerce_number, normalize_phone, normalize_text, strip_ws
+from ..session import cut_lineage
 from ..sources.readers import (CONTENT_COLUMNS, EXPECTED_COLUMNS, apply_null_tokens, complete_schema,
                                map_roles, normalize_headers)
 
@@ -80,19 +81,33 @@ def clean_customers(raw: DataFrame, year_first_order: str = "ymd") -> DataFrame:
     return distinct_rows(drop_empty_rows(clean_columns(raw, year_first_order)))
 
 
-def clean_report(raw: DataFrame, year_first_order: str = "ymd") -> DataFrame:
-    """One row of cleaning counters.
+#: How many raw rows a distinct cleaned row stands for.
+COPIES = "_copies"
 
-    Every counter is a function of the cleaned columns (an invalid e-mail or date is exactly a null after cleaning),
-    so one ``groupBy`` over all cleaned columns gives copies per distinct row, and one global aggregate over the
-    groups gives both the pre-drop counters and the distinct count: a single shuffle.
-    """
+
+def clean_groups(raw: DataFrame, year_first_order: str = "ymd") -> DataFrame:
+    """The distinct cleaned rows, empty ones too, with their number of copies: what both the cleaned table and the counters are
+    made of. Written once, so neither cleans the raw rows again (and, unlike metrics taken on the way, tasks that run twice
+    are not counted twice)."""
     cleaned = clean_columns(raw, year_first_order)
-    groups = cleaned.groupBy(*[F.col(f"`{c}`") for c in cleaned.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    g = groups.withColumn("_keep", F.greatest(*[F.col(c).isNotNull() for c in CONTENT_COLUMNS]))
+    return cut_lineage(cleaned.groupBy(*[F.col(f"`{c}`") for c in cleaned.columns]).agg(F.count(F.lit(1)).alias(COPIES)))
+
+
+def _content():
+    return F.greatest(*[F.col(c).isNotNull() for c in CONTENT_COLUMNS])
+
+
+def group_rows(groups: DataFrame) -> DataFrame:
+    """P1 from ``clean_groups``: the cleaned, non-empty, exactly-distinct rows."""
+    return groups.where(_content()).drop(COPIES)
+
+
+def group_report(groups: DataFrame) -> DataFrame:
+    """A14 from ``clean_groups``."""
+    g = groups.withColumn("_keep", _content())
 
     def total_if(cond):
-        return F.coalesce(F.sum(F.when(cond, F.col("_n"))), F.lit(0)).cast("bigint")
+        return F.coalesce(F.sum(F.when(cond, F.col(COPIES))), F.lit(0)).cast("bigint")
 
     return g.agg(
         total_if(F.lit(True)).alias("rows_before"),
@@ -107,3 +122,13 @@ def clean_report(raw: DataFrame, year_first_order: str = "ymd") -> DataFrame:
         "invalid_emails", "invalid_dates", "negative_amount_count", "rows_after",
         (F.col("rows_before") - F.col("_rows_nonempty")).alias("empty_rows_removed"),
     )
+
+
+def clean_report(raw: DataFrame, year_first_order: str = "ymd") -> DataFrame:
+    """One row of cleaning counters.
+
+    Every counter is a function of the cleaned columns (an invalid e-mail or date is exactly a null after cleaning), so one
+    ``groupBy`` over all cleaned columns gives copies per distinct row, and one global aggregate over the groups gives both the
+    pre-drop counters and the distinct count: a single shuffle."""
+    cleaned = clean_columns(raw, year_first_order)
+    return group_report(cleaned.groupBy(*[F.col(f"`{c}`") for c in cleaned.columns]).agg(F.count(F.lit(1)).alias(COPIES)))

@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.similarity import indel_ratio, token_set_ratio, tokens
 from ..session import cut_lineage
@@ -41,14 +42,27 @@ LSH_BANDS = 6
 LSH_ROWS = 2
 
 
-def with_row_id(df: DataFrame, order: Sequence[str] = ("customer_id",), row_id: str = ROW_ID) -> DataFrame:
-    """``df`` with a unique number that rises with ``order`` (nulls first), then with all other columns. The rows are
-    sorted into ranges once and written, so the numbers are fixed from then on."""
+def with_row_id(df: DataFrame, order: Sequence[str] = ("customer_id",), row_id: str = ROW_ID, written: bool = False) -> DataFrame:
+    """``df`` with a unique number that rises with ``order`` (nulls first), then with all other columns, fixed from then on.
+
+    Where the first column of ``order`` is a whole number, never missing and never repeated, it is that number: finding this
+    out shuffles nothing but that column. Else the rows are sorted into ranges once and written. ``written`` says that
+    ``df`` is a written table already."""
     by = [c for c in order if c in df.columns] + [c for c in df.columns if c not in order]
+    first = next((f for f in df.schema.fields if by and f.name == by[0] and f.name in order), None)
+    if first is not None and isinstance(first.dataType, (T.LongType, T.IntegerType, T.ShortType)):
+        df = df if written else cut_lineage(df)
+        if is_unique(df, first.name):
+            return df.withColumn(row_id, F.col(f"`{first.name}`").cast("long"))
     ranked = df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in by])
     return cut_lineage(ranked.withColumn(row_id, F.monotonically_increasing_id()))
 
 
+def is_unique(df: DataFrame, key: str) -> bool:
+    """Whether ``key`` is held by every row and names one each."""
+    return df.groupBy(F.col(f"`{key}`").alias("k")).agg(F.count(F.lit(1)).alias("n")).where(F.col("k").isNull() | (F.col("n") > 1)).isEmpty()
+
+
 def require_unique(df: DataFrame, key: str) -> None:
     """Fail when ``key`` is missing in a row or names more than one."""
     repeated = df.groupBy(F.col(f"`{key}`").alias("k")).agg(F.count(F.lit(1)).alias("n")).where(

@@ -59,10 +59,6 @@ def negative_rows(df: DataFrame) -> DataFrame:
     return df.where(cond)
 
 
-def _count(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(F.lit(name).alias("name"), "value")
-
-
 def _one_row(parts: list[DataFrame], names: list[str]) -> DataFrame:
     """Union of ``(name, value)`` frames -> one row with a column per name."""
     u = parts[0]
@@ -120,8 +116,9 @@ class Duplicates:
 
 def find_duplicates(clean: DataFrame, model: PipelineModel | None = None, threshold: float = DD.MODEL_THRESHOLD) -> Duplicates:
     """Number the rows, pair their triples and let the rule or the forest decide; similarities are computed once and the
-    decided pairs written. A forest that saw one class predicts no pair (D7), which is a warning, not an error."""
-    rows = PR.with_row_id(clean, (KEY,))
+    decided pairs written. A forest that saw one class predicts no pair (D7), which is a warning, not an error. ``clean`` is
+    read several times: a written table."""
+    rows = PR.with_row_id(clean, (KEY,), written=True)
     t = PR.triples(rows)
     if model is None:
         return Duplicates(rows, t, cut_lineage(DD.rule_triple_pairs(t)), True, "rule", None)
@@ -135,12 +132,14 @@ def find_duplicates(clean: DataFrame, model: PipelineModel | None = None, thresh
 def smart_flow(raw: DataFrame, model: PipelineModel | None = None, threshold: float = DD.MODEL_THRESHOLD) -> DataFrame:
     """P1 cleaning -> duplicate pairs (the forest when given, else the rule; all row pairs counted) -> rows that are
     IQR outliers in any numeric column of the cleaned frame."""
-    found = find_duplicates(C.clean_customers(raw), model, threshold)
+    groups = C.clean_groups(raw)
+    found = find_duplicates(C.group_rows(groups), model, threshold)
     clean = found.rows.drop(PR.ROW_ID)
     flagged = P.iqr_flag(clean).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_outlier")).alias("o"))
     both = F.array(F.struct(F.lit("rows_final").alias("name"), F.col("n").alias("value")),
                    F.struct(F.lit("anomalies_found").alias("name"), F.col("o").alias("value")))
-    row = _one_row([_count(raw, "rows_processed"), flagged.select(F.explode(both).alias("x")).select("x.*"),
+    read = groups.agg(F.coalesce(F.sum(C.COPIES), F.lit(0)).cast("bigint").alias("value")).select(F.lit("rows_processed").alias("name"), "value")
+    row = _one_row([read, flagged.select(F.explode(both).alias("x")).select("x.*"),
                     found.count().select(F.lit("duplicates_found").alias("name"), "value")],
                    ["rows_processed", "rows_final", "duplicates_found", "anomalies_found"])
     return row.select(F.lit("smart").alias("flow"), "*", (F.col("rows_processed") - F.col("rows_final")).alias("rows_removed"))
@@ -187,9 +186,10 @@ def run_rule(raw: DataFrame, score_model: AN.IsolationForestModel | None = None)
 
 def run_with(raw: DataFrame, dedup_model: PipelineModel | None, score_model: AN.IsolationForestModel | None,
              threshold: float = DD.MODEL_THRESHOLD) -> RunResult:
-    """P3 with models at hand. Written once each: the numbered rows, the triples, the decided pairs, the dropped ids and
-    the final table; every report figure is an aggregate over one of them."""
-    found = find_duplicates(C.clean_customers(raw), dedup_model, threshold)
+    """P3 with models at hand. Written once each: the cleaned rows with their copies, the triples, the decided pairs, the dropped
+    ids and the final table; every report figure is an aggregate over one of them, so the raw rows are read once."""
+    groups = C.clean_groups(raw)
+    found = find_duplicates(C.group_rows(groups), dedup_model, threshold)
     dropped = cut_lineage(found.dropped())
     kept = cut_lineage(DD.drop_later_duplicates(found.rows, dropped).drop(PR.ROW_ID))
     if score_model is not None:
@@ -199,12 +199,13 @@ def run_with(raw: DataFrame, dedup_model: PipelineModel | None, score_model: AN.
     else:
         final = AN.no_numeric_score(kept)
     anomaly = "isolation forest" if score_model is not None else "iqr" if P.numeric_columns(kept) else "none"
-    return RunResult(found.rows.drop(PR.ROW_ID), dropped, final, run_report(raw, found, dropped, final, anomaly), found)
+    return RunResult(found.rows.drop(PR.ROW_ID), dropped, final, run_report(groups, found, dropped, final, anomaly), found)
 
 
-def run_report(raw: DataFrame, found: Duplicates, dropped: DataFrame, final: DataFrame, anomaly_variant: str) -> DataFrame:
+def run_report(groups: DataFrame, found: Duplicates, dropped: DataFrame, final: DataFrame, anomaly_variant: str) -> DataFrame:
     """One row - cleaning counters, all duplicate row pairs, rows dropped (copies / fuzzy), anomalies, final rows,
-    and which variants ran. The dropped ids stay a table, never a collected list."""
+    and which variants ran. ``groups`` is what the cleaning wrote (``clean_groups``). The dropped ids stay a table, never a collected
+    list."""
     drops = dropped.agg(F.count(F.lit(1)).alias("a"), F.count_if(F.col("reason") == "copy").alias("b"))
     ends = final.agg(F.coalesce(F.sum("is_anomaly"), F.lit(0)).cast("bigint").alias("a"), F.count(F.lit(1)).alias("b"))
     counters = {"rows_before": "rows_read", "empty_rows_removed": "empty_rows_removed",
@@ -215,7 +216,7 @@ def run_report(raw: DataFrame, found: Duplicates, dropped: DataFrame, final: Dat
         cells = F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).cast("bigint").alias("value")) for c, n in names.items()])
         return df.select(F.explode(cells).alias("x")).select("x.*")
 
-    parts = [named(C.clean_report(raw), counters), found.count().select(F.lit("duplicate_pairs").alias("name"), "value"),
+    parts = [named(C.group_report(groups), counters), found.count().select(F.lit("duplicate_pairs").alias("name"), "value"),
              named(drops, {"a": "rows_dropped", "b": "dropped_copies"}), named(ends, {"a": "anomalies_found", "b": "final_rows"})]
     return _one_row(parts, [*counters.values(), "duplicate_pairs", "rows_dropped", "dropped_copies", "anomalies_found", "final_rows"]).select(
         "*", F.lit(found.variant).alias("dedup_variant"), F.lit(anomaly_variant).alias("anomaly_variant"),

@@ -145,3 +145,28 @@ def test_recall_compares_every_query(spark):
     raw = FX.narrow_customers(spark, "/root/testdata/sf0.001").limit(60).localCheckpoint()
     few, one = (PR.sampled_recall(raw, every=1, most=most).first() for most in (7, 2_000))
     assert few == one and one.queries > 7 and one.pairs > 0
+
+
+def test_row_ids_without_a_sort(spark):
+    """A whole-number key that names every row once is the row's number; else rows are ranked by key and content."""
+    rows = [(3, "b"), (1, "a"), (2, None)]
+    unique = PR.with_row_id(spark.createDataFrame(rows, "customer_id long, name string"))
+    assert {(r.customer_id, r[PR.ROW_ID]) for r in unique.collect()} == {(1, 1), (2, 2), (3, 3)}
+    assert "Sort" not in unique._jdf.queryExecution().optimizedPlan().toString()
+    for more in ((3, "c"), (None, "n")):
+        ranked = PR.with_row_id(spark.createDataFrame([*rows, more], "customer_id long, name string")).collect()
+        by_rank = [(r.customer_id, r.name) for r in sorted(ranked, key=lambda r: r[PR.ROW_ID])]
+        assert by_rank == sorted([*rows, more], key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    text = PR.with_row_id(spark.createDataFrame([("b", 1), ("a", 2)], "customer_id string, n int")).collect()
+    assert [r.customer_id for r in sorted(text, key=lambda r: r[PR.ROW_ID])] == ["a", "b"]
+
+
+def test_raw_rows_are_cleaned_once(spark):
+    """Cleaned rows and counters come from one written table."""
+    raw = FX.dirty_customers(spark, SF001)
+    groups = C.clean_groups(raw)
+    assert sorted(map(str, C.group_rows(groups).collect())) == sorted(map(str, C.clean_customers(raw).collect()))
+    assert C.group_report(groups).collect() == C.clean_report(raw).collect()
+    from cleanspark.plans import flows as FL
+    report = FL.run_rule(raw).report._jdf.queryExecution().optimizedPlan().toString()
+    assert "signup_date" not in report or "regexp" not in report.lower()
