@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.text import pct, quality_grade, traffic_light
 from .gram import correlation_matrix
@@ -252,8 +253,16 @@ def duplicate_rows(df: DataFrame, key: str, digest_columns: Sequence[str] = ())
 
 
 def duplicate_rows_top(df: DataFrame, key: str, n: int = 10, digest_columns: Sequence[str] = ()) -> DataFrame:
-    """The first ``n`` row keys of duplicated rows (a top-k report)."""
-    return duplicate_rows(df, key, digest_columns).orderBy(key).limit(n)
+    """The first ``n`` row keys of duplicated rows (a top-k report). ``key`` is not part of the comparison.
+
+    Each content keeps its first keys only, cut before and after the shuffle (a limit by rank, at least two, which say that
+    the content is held twice): no content is a task of all its rows, and nothing is joined back."""
+    content = [c for c in df.columns if c != key]
+    body = df.select(F.col(f"`{key}`").alias("_k"), *[x.alias(f"_c{i}") for i, x in enumerate(_row_key(df.select(*content), digest_columns))])
+    same = Window.partitionBy(*[f"_c{i}" for i in range(len(content))])
+    first = body.withColumn("_rank", F.row_number().over(same.orderBy("_k"))).where(F.col("_rank") <= max(n, 2))
+    held = first.withColumn("_last", F.max("_rank").over(same)).where(F.col("_last") > 1)
+    return held.orderBy("_k").limit(n).select(F.col("_k").alias(key))
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None, threshold: float | None = None) -> DataFrame:

@@ -259,6 +259,14 @@ def q_duplicate_rows_top10(spark, sf):
     return P.duplicate_rows_top(docs, "doc_id", 10, digest_columns=["text"])
 
 
+@register("duplicate_rows_top10_whole", "WITH raw AS (" + S.RAW + """)
+SELECT customer_id FROM (SELECT customer_id, count(*) OVER (PARTITION BY name, email, phone, city, country, signup_date, amount) AS n FROM raw)
+WHERE n > 1 ORDER BY customer_id LIMIT 10""")
+def q_duplicate_rows_top10_whole(spark, sf):
+    """A11 over whole rows: all columns but the id are compared."""
+    return P.duplicate_rows_top(raw(spark, sf), ID)
+
+
 @register("correlations_all", S.corr_sql("lineitem", LINE_NUM))
 def q_correlations_all(spark, sf):
     return rounded(P.correlations(table(spark, sf, "lineitem"), LINE_NUM))
@@ -1031,3 +1039,51 @@ def q_stream_quality_windows(spark, sf):
     return rounded(res.select(F.col("window_start").cast("date").alias("window_start"),
                               F.col("rows").cast("bigint").alias("rows"), F.col("missing").cast("bigint").alias("missing"),
                               F.col("negative").cast("bigint").alias("negative"), "value_sum"))
+
+
+# ---------------------------------------------------------------- late rows (ST-b, ST-d)
+
+_LATE_BATCHES = 10
+# Every 50th event comes two weeks late (beyond the delay of one day), every other 50th half a day (inside it).
+_LATE_SQL = f"""
+WITH e AS (SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, value, CAST(ts AS TIMESTAMP) + CASE WHEN event_id % 50 = 0 THEN INTERVAL 336 HOUR
+                  WHEN event_id % 50 = 1 THEN INTERVAL 12 HOUR ELSE INTERVAL 0 HOUR END AS arrival FROM {{events}}),
+m AS (SELECT min(arrival) AS a, max(arrival) AS z FROM e),
+staged AS (SELECT event_id, ts, value, CAST(least({_LATE_BATCHES - 1}, floor({_LATE_BATCHES}.0 * (epoch(arrival) - epoch(a)) / greatest(1, epoch(z) - epoch(a)))) AS INT) AS batch
+           FROM e, m)"""
+_LATE_ORACLE = _LATE_SQL.format(events="events") + """,
+w AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - INTERVAL 1 DAY AS mark FROM staged GROUP BY batch),
+f AS (SELECT s.*, coalesce(date_trunc('day', ts) + INTERVAL 1 DAY <= w.mark, false) AS late FROM staged s JOIN w USING (batch))"""
+
+
+def _staged_late(spark, sf):
+    """Events in the order in which they arrive, staged as micro-batches; the last one is of what is known by then."""
+    ev = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    hours = F.when(F.col("event_id") % 50 == 0, 336).when(F.col("event_id") % 50 == 1, 12).otherwise(0)
+    arrived = ev.withColumn("_at", F.col("ts").cast("double") + hours * 3600)
+    a, z = arrived.agg(F.min("_at"), F.max("_at")).collect()[0]
+    number = F.least(F.lit(_LATE_BATCHES - 1), F.floor(F.lit(float(_LATE_BATCHES)) * (F.col("_at") - a) / max(1.0, z - a))).cast("int")
+    staged = cut_lineage(arrived.withColumn("batch", number).drop("_at"))
+    return ST.stage_in_order(spark, staged, "batch", _LATE_BATCHES, "late-events"), ev
+
+
+@register("stream_late_rows", _LATE_ORACLE + """
+SELECT CAST(batch AS INT) AS batch, CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (late) AS BIGINT) AS late FROM f GROUP BY batch""")
+def q_stream_late_rows(spark, sf):
+    """ST-b, ST-d: what the watermark drops, by micro-batch, from a side output."""
+    path, ev = _staged_late(spark, sf)
+    rows = ST.watermark_output(spark, ST.read_batches(spark, path, ev), "ts", "late-rows")
+    return spark.read.parquet(rows).groupBy("batch").agg(F.count(F.lit(1)).alias("rows"), F.count_if("late").alias("late"))
+
+
+@register("stream_late_windows", _LATE_ORACLE + """
+SELECT CAST(date_trunc('day', ts) AS DATE) AS window_start, CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE value IS NULL) AS BIGINT) AS missing,
+       CAST(count(*) FILTER (WHERE value < 0) AS BIGINT) AS negative, ROUND(sum(value), 6) AS value_sum
+FROM f WHERE NOT late GROUP BY 1 HAVING date_trunc('day', min(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)""")
+def q_stream_late_windows(spark, sf):
+    """ST-d over the same micro-batches: the windowed counters have exactly the rows that the side output does not call late."""
+    path, ev = _staged_late(spark, sf)
+    agg = ST.quality_counters(ST.read_batches(spark, path, ev), "ts", "value")
+    res = spark.read.parquet(ST.run_to_files(spark, agg, "late-windows"))
+    return rounded(res.select(F.col("window_start").cast("date").alias("window_start"), F.col("rows").cast("bigint").alias("rows"),
+                              F.col("missing").cast("bigint").alias("missing"), F.col("negative").cast("bigint").alias("negative"), "value_sum"))

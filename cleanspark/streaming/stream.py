@@ -99,3 +99,45 @@ def read_stream(spark: SparkSession, path: str, like: DataFrame, max_files: int
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(path)
+
+
+# ---------------------------------------------------------------- late rows
+
+def stage_in_order(spark: SparkSession, df: DataFrame, batch: str, batches: int, name: str) -> str:
+    """Write ``df`` as one file set for each value 0 .. ``batches`` - 1 of the column ``batch``, one after the other, so that a file stream
+    replays them as micro-batches in this order (``read_batches``)."""
+    path = scratch_path(spark, name)
+    for number in range(batches):
+        df.where(F.col(batch) == number).drop(batch).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def read_batches(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The stream of ``stage_in_order``: a micro-batch for each of its values."""
+    return read_stream(spark, path, like, max_files=1)
+
+
+def watermark_output(spark: SparkSession, stream: DataFrame, event_time: str, name: str, window: str = "1 day", delay: str = "1 day") -> str:
+    """What a watermark drops, as a table: run ``stream`` (micro-batches as the windowed counters get them) and write every row with
+    ``batch`` and ``late``, whether its window had closed when it came (null without an event time: such a row has no window).
+    Returns the folder.
+
+    Rows are late by the watermark that the micro-batch before had (that is how stateful operators judge them): the largest event
+    time of the batches before that one less ``delay``. The event times are kept as a row a batch in the shared folder, so a run that is taken up again goes on with it, and a batch that is written twice replaces itself."""
+    out = scratch_path(spark, name)
+    marks, rows = f"{out}/marks", f"{out}/rows"
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        known = [r for r in spark.read.json(marks).collect() if r["batch"] < epoch - 1] if epoch > 1 else []  # a row a batch
+        seen = [r["most"] for r in known if r["most"] is not None]
+        end = F.window(F.col(event_time), window)["end"]
+        late = F.coalesce(end <= F.lit(max(seen)).cast("timestamp") - F.expr(f"INTERVAL {delay}"), F.lit(False)) if seen else F.lit(False)
+        timed = batch.where(F.col(event_time).isNotNull()).select("*", F.lit(epoch).alias("batch"), late.alias("late"))
+        untimed = batch.where(F.col(event_time).isNull()).select("*", F.lit(epoch).alias("batch"), F.lit(None).cast("boolean").alias("late"))
+        timed.unionByName(untimed).write.mode("overwrite").parquet(f"{rows}/part={epoch}")
+        batch.agg(F.max(event_time).cast("timestamp").cast("string").alias("most")).select(F.lit(epoch).alias("batch"), "most") \
+            .coalesce(1).write.mode("overwrite").json(f"{marks}/part={epoch}")
+
+    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return rows

@@ -267,3 +267,20 @@ def test_stream_scoring_equals_batch(spark, dirty_clean):
     batch = {r["customer_id"]: r["anomaly_score"] for r in AN.score(dirty_clean, model).collect()}
     assert streamed.keys() == batch.keys()
     assert all(abs(streamed[k] - batch[k]) < 1e-12 for k in batch)
+
+
+def test_late_rows_are_counted_and_left_out(spark):
+    """Rows inside and beyond the delay over several micro-batches: the side output and the counters agree row for row."""
+    day = lambda d, h=0: f"2024-03-{d:02d} {h:02d}:00:00"
+    arrivals = [[day(1), day(2)], [day(5), day(6, 12)], [day(5, 3), day(1, 5), day(9)], [day(2, 1), day(5, 1), day(9, 1), None], [day(1, 1), day(12)]]
+    rows = [(t, float(i), b) for b, ts in enumerate(arrivals) for i, t in enumerate(ts)]
+    df = spark.createDataFrame(rows, "ts string, value double, b int").withColumn("ts", F.col("ts").cast("timestamp"))
+    like = df.drop("b")
+    path = ST.stage_in_order(spark, df, "b", len(arrivals), "late-test")
+    out = spark.read.parquet(ST.watermark_output(spark, ST.read_batches(spark, path, like), "ts", "late-side"))
+    late = {(r.batch, str(r.ts)) for r in out.where("late").collect()}
+    # judged by the watermark of the batch before: batch 2 by day 1 (2 less a day), 3 by day 5.5, 4 by day 8
+    assert late == {(3, "2024-03-02 01:00:00"), (4, "2024-03-01 01:00:00")} and out.count() == len(rows)
+    counted = spark.read.parquet(ST.run_to_files(spark, ST.quality_counters(ST.read_batches(spark, path, like), "ts", "value"), "late-counted"))
+    closed = out.where("NOT late AND ts < '2024-03-10'").groupBy(F.to_date("ts").alias("d")).count().collect()
+    assert {r.d.isoformat(): r["count"] for r in closed} == {str(r.window_start)[:10]: r["rows"] for r in counted.collect()}
