@@ -16,7 +16,10 @@ which size a segment is given nothing is chosen for each band, from the counted
 deletions against the expected comparisons of unrelated sets.
 
 Equal sets are one node. ``classes.py`` compares what shares a digest and forms the components, without listing the pairs
-of a group.
+of a group. Texts are cut anew in each pass instead of keeping their hashes, which take more room than the texts: a first
+pass counts the sets of the bands, a second the sets of each digest, a third lists the sets of the digests that occur
+more than once, a fourth makes the elements of the sets that are compared. Bloom filters hold back what the joins
+would throw away.
 """
 from __future__ import annotations
 
@@ -25,7 +28,6 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,7 @@ from cleanspark.session import ship_package
 
 from . import words as W
 from .base import bound_batches, c, frugal, written
+from .bloom import bloom_filter, held
 from .classes import bucket_classes, class_rows
 from .near_dedup import shingle_bags
 
@@ -88,26 +91,68 @@ def skipped_sizes(counts: dict[int, int], percent: int = PERCENT) -> np.ndarray:
     return out
 
 
-def _scan(rows: DataFrame, id_type: str, size: int) -> DataFrame:
-    """``row`` (unique), ``doc_id``, ``c1``/``c2`` (a 128-bit hash of the set), ``n`` elements and the ``elements`` themselves: a 64-bit
-    hash per distinct shingle, sorted."""
+def _sets(rows: DataFrame, size: int, schema: str, emit) -> DataFrame:
+    """What ``emit(position, elements, bounds, sums)`` gives for each slice of ``rows`` (doc_id, text), as rows of ``schema``: the distinct
+    shingles' 64-bit hashes of each text, sorted, where each text's begin, and two 64-bit hashes of each set; ``position`` is
+    the ids' array."""
     def run(batches):
-        base, count = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
             raw, ends = W.text_bytes(batch.column(1))
             for a, b in W.row_slices(ends, SLICE_BYTES):
                 words, bounds = W.word_hashes(raw[ends[a]:ends[b]], ends[a:b + 1] - ends[a], _blank_codes())
                 element, _, of = shingle_bags(words, bounds, size)
-                n = np.diff(of)
                 sums = [np.concatenate([np.zeros(1, _U), np.cumsum(W.mix(element ^ _U(seed)))])[of] for seed in (0x3C6EF372FE94F82B, 0xA54FF53A5F1D36F1)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(base + count, base + count + b - a)), batch.column(0).slice(a, b - a),
-                    *(pa.array((s[1:] - s[:-1]).view(np.int64)) for s in sums), pa.array(n.astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(of.astype(np.int32)), pa.array(element.view(np.int64)))],
-                    names=["row", "doc_id", "c1", "c2", "n", "elements"])
-                count += b - a
+                for arrays in emit(batch.column(0).slice(a, b - a), element, of, [s[1:] - s[:-1] for s in sums]):
+                    yield pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in schema.split(", ")])
 
-    return rows.mapInArrow(frugal(run), f"row bigint, doc_id {id_type}, c1 bigint, c2 bigint, n int, elements array<bigint>")
+    return rows.mapInArrow(frugal(run), schema)
+
+
+def _identities(rows: DataFrame, id_type: str, size: int) -> DataFrame:
+    """``row`` (unique), ``doc_id``, ``c1``/``c2`` (a 128-bit hash of the set) and ``n``, its elements."""
+    def emit(ids, element, of, sums):
+        yield [ids, *(pa.array(s.view(np.int64)) for s in sums), pa.array(np.diff(of).astype(np.int32))]
+
+    found = _sets(rows, size, f"doc_id {id_type}, c1 bigint, c2 bigint, n int", emit)
+    return found.select(F.monotonically_increasing_id().alias("row"), "*")
+
+
+def _keys(rows: DataFrame, size: int, percent: int, skip: np.ndarray, bloom=None) -> DataFrame:
+    """``bucket, c1, c2, n``: the index keys of every set, in its own band and the one below; with ``bloom`` (a broadcast filter) only
+    those that it may hold."""
+    least, segments, partner = bands(percent)
+
+    def emit(_ids, element, of, sums):
+        n = np.diff(of)
+        band = np.searchsorted(least, n, "right") - 1
+        for below in (0, 1):
+            at = band - below
+            use = (n > 0) & (at >= 0) & (segments[np.maximum(at, 0)] > 1) & ((below == 0) | (n <= partner[np.maximum(at, 0)]))
+            for a, b in W.row_slices(np.concatenate([[0], np.cumsum(np.where(use, n, 0))]), SLICE_ELEMENTS):
+                some = a + np.flatnonzero(use[a:b])
+                if not len(some):
+                    continue
+                inside = np.repeat(use[a:b], n[a:b])
+                keys, owner = band_keys(element[of[a]:of[b]][inside], np.concatenate([[0], np.cumsum(n[some])]), at[some], segments, skip)
+                if bloom is not None:
+                    through = held(bloom.value, keys)
+                    keys, owner = keys[through], owner[through]
+                of_key = some[owner]
+                yield [pa.array(x) for x in (keys.view(np.int64), *(s[of_key].view(np.int64) for s in sums), n[of_key].astype(np.int32))]
+
+    return _sets(rows, size, "bucket bigint, c1 bigint, c2 bigint, n int", emit)
+
+
+def _elements(rows: DataFrame, size: int, bloom) -> DataFrame:
+    """``c1, c2, elements`` of the sets whose ``c1`` the filter may hold."""
+    def emit(_ids, element, of, sums):
+        some = np.flatnonzero((np.diff(of) > 0) & held(bloom.value, sums[0]))
+        n = np.diff(of)[some]
+        flat = element[np.repeat(of[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(flat.view(np.int64)))
+        yield [*(pa.array(s[some].view(np.int64)) for s in sums), lists]
+
+    return _sets(rows, size, "c1 bigint, c2 bigint, elements array<bigint>", emit)
 
 
 def band_keys(element: np.ndarray, bounds: np.ndarray, band: np.ndarray, segments: np.ndarray, skip: np.ndarray):
@@ -121,9 +166,9 @@ def band_keys(element: np.ndarray, bounds: np.ndarray, band: np.ndarray, segment
     value = W.mix(element * _U(0xD1342543DE82EF95) + _U(0x9B05688C2B3E6C1F))
     digest = np.zeros(total, _U)
     np.add.at(digest, slot, value)
-    held = np.bincount(slot, minlength=total)
+    within = np.bincount(slot, minlength=total)
     of_slot = np.repeat(np.arange(len(m)), m)
-    small = held <= skip[band][of_slot]
+    small = within <= skip[band][of_slot]
     lacking = np.bincount(of_slot[small], minlength=len(m))
     place = W.mix(((band[of_slot].astype(_U) << _U(32)) + (np.arange(total) - first[of_slot]).astype(_U)) * _U(0x9E3779B97F4A7C15))
     kept = ~small | (2 * lacking > m)[of_slot]
@@ -132,36 +177,6 @@ def band_keys(element: np.ndarray, bounds: np.ndarray, band: np.ndarray, segment
             np.concatenate([of_slot[kept], owner[deleted]]))
 
 
-def _members(nodes: DataFrame, percent: int, skip: np.ndarray) -> DataFrame:
-    """``bucket, row, n``: the index keys of all nodes (row, n, elements), in their own band and the one below."""
-    least, segments, partner = bands(percent)
-
-    def run(batches):
-        for batch in batches:
-            rows = batch.column(0).to_numpy()
-            n = batch.column(1).to_numpy().astype(np.int64)
-            lists = batch.column(2)
-            ends = lists.offsets.to_numpy().astype(np.int64)
-            flat = lists.flatten().to_numpy().view(_U)
-            ends = ends - ends[0]
-            for a, b in W.row_slices(ends, SLICE_ELEMENTS):
-                element, bounds = flat[ends[a]:ends[b]], ends[a:b + 1] - ends[a]
-                band = np.searchsorted(least, n[a:b], "right") - 1
-                for below in (0, 1):
-                    at = band - below
-                    use = (at >= 0) & (segments[np.maximum(at, 0)] > 1) & ((below == 0) | (n[a:b] <= partner[np.maximum(at, 0)]))
-                    some = np.flatnonzero(use)
-                    if not len(some):
-                        continue
-                    inside = np.repeat(use, np.diff(bounds))
-                    cut = np.concatenate([[0], np.cumsum(np.diff(bounds)[some])])
-                    keys, of = band_keys(element[inside], cut, at[some], segments, skip)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(rows[a:b][some][of]), pa.array(n[a:b][some][of].astype(np.int32))],
-                                                     names=["bucket", "row", "n"])
-
-    return nodes.select("row", "n", "elements").mapInArrow(frugal(run), "bucket bigint, row bigint, n int")
-
-
 def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id``.
 
@@ -172,8 +187,9 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shingles; no pair is lost otherwise (see the module)."""
     ship_package(df.sparkSession)
     bound_batches(df.sparkSession)
+    spark = df.sparkSession
     rows = df.select(c(id_col).alias("doc_id"), c(text_col).cast("string").alias("text"))
-    scan = written(_scan(rows, rows.schema["doc_id"].dataType.simpleString(), size), "sets")
+    scan = written(_identities(rows, rows.schema["doc_id"].dataType.simpleString(), size), "sets")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     same = scan.filter("n > 0").groupBy("c1", "c2").agg(F.min(order).alias("m"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
     same = written(same.select("c1", "c2", F.col("m.row").alias("node"), "copies", "n"), "nodes")
@@ -182,8 +198,18 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     edges = bands(percent)[0]
     band = F.size(F.filter(F.lit(edges.tolist()), lambda x: x <= F.col("n"))) - 1
     counts = {r["band"]: r["sets"] for r in same.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("sets")).collect()}  # a row a band
-    nodes = scan.join(same.select(F.col("node").alias("row")), "row", "left_semi")
-    members = written(_members(nodes, percent, skipped_sizes(counts, percent)), "members")
-    classes = written(bucket_classes(members, scan.select("row", "elements"), percent / 100), "classes")
+    skip = skipped_sizes(counts, percent)
+
+    # digests that occur more than once, the sets that have them, and those sets' elements
+    several = written(_keys(rows, size, percent, skip).groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket"), "several")
+    through = spark.sparkContext.broadcast(bloom_filter(several, "bucket", several.count()))
+    listed = _keys(rows, size, percent, skip, through).distinct().join(several, "bucket", "left_semi")
+    members = written(listed.join(same.select("c1", "c2", "node"), ["c1", "c2"]).select("bucket", F.col("node").alias("row"), "n", "c1", "c2"), "members")
+    compared = written(members.select("row", "c1", "c2").distinct(), "compared")
+    wanted = spark.sparkContext.broadcast(bloom_filter(compared, "c1", compared.count()))
+    elements = _elements(rows, size, wanted).groupBy("c1", "c2").agg(F.first("elements").alias("elements"))
+    sets = written(elements.join(compared, ["c1", "c2"]).select("row", "elements"), "elements")
+
+    classes = written(bucket_classes(members.select("bucket", "row", "n"), sets, percent / 100), "classes")
     return class_rows(scan, classes, copies, order).select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("m").isNull(), F.col("doc_id")).otherwise(F.col("m.doc_id")).alias("component_id"))
