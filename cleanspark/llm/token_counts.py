@@ -105,7 +105,7 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per input row: ``doc_id, n_words, n_tokens, n_unknown, longest`` and, with ``lengths``, the piece count
     of every word as ``word_pieces``.
 
-    Words are runs without Unicode white space; each is cut greedily into the longest pieces of the vocabulary file
+    Words are what ``str.split`` parts (by Unicode white space and U+001C to U+001F); each is cut greedily into the longest pieces of the vocabulary file
     (``path``, base64 pieces with ranks). A word that cannot be cut to its end counts as one token and as unknown (in
     ``word_pieces`` too). ``longest`` is the largest piece count of a word. Null and empty texts have no words and all
     zeros. Repeated rows are each counted; an empty table gives an empty result."""
