@@ -27,7 +27,7 @@ WITH base AS (
          WHEN k % 5 = 0 THEN ln || ' ' || fn ELSE fn || ' ' || ln END AS name,
     CASE WHEN k % 71 = 0 THEN 'N/A' WHEN k % 43 = 0 THEN NULL WHEN k % 13 = 0 THEN ln || '#' || dom || '.tn'
          WHEN k % 3 = 0 THEN upper(ln) || '@' || dom || '.TN' ELSE ln || '@' || dom || '.tn' END AS email,
-    CASE WHEN k % 71 = 0 OR k % 47 = 0 THEN NULL WHEN k % 19 = 0 THEN 'not_a_phone'
+    CASE WHEN k % 71 = 0 OR k % 47 = 0 THEN NULL WHEN k % 19 = 0 THEN 'no number'
          WHEN k % 4 = 0 THEN '+216 ' || substr(ph,1,2) || ' ' || substr(ph,3,3) || ' ' || substr(ph,6,3) ELSE '+216-' || ph END AS phone,
     CASE WHEN k % 71 = 0 THEN '' WHEN k % 6 = 0 THEN ' ' || upper(nat) ELSE nat END AS city,
     CASE WHEN k % 71 = 0 THEN 'null' WHEN k % 2 = 0 THEN 'TN' ELSE 'tn ' END AS country,
