@@ -7,9 +7,10 @@ word is decomposed into the longest dictionary gram from each position, without
 An edit changes the grams that it touches; a gram beside it can be lost only if a longer dictionary gram may begin at or
 before it and reach the edit (then it might grow, or be swallowed), or may end at or behind it. So each word has a bound on the grams that one
 edit can take from it, the largest over its positions, and two words at one edit share all but that many. They
-share them in place: counted from the start before the edit, from the end behind it. By the prefix-filter argument the
-rarest bound + 1 grams of both words then have one in common, so only these are listed; a list is of words with the same
-gram in the same place and of two given lengths. With ``Q_MAX`` = 3 an edit reaches two characters to each side, so a
+share them in place, and with all that stands outside of them: a gram before the edit with the whole beginning of the word up
+to it, one behind the edit with the whole end. By the prefix-filter argument the rarest bound + 1 grams of both words
+then have one in common, so only these are listed; a list is of words with the same gram in the same place, the same
+beginning or the same end with it, and two given lengths. With ``Q_MAX`` = 3 an edit reaches two characters to each side, so a
 word of ``MIN_LENGTH`` characters always keeps a gram. Pairs that share a list are verified by their edit distance.
 """
 from __future__ import annotations
@@ -107,20 +108,20 @@ def _bounded(words: DataFrame) -> DataFrame:
 
 
 def _listed(words: DataFrame) -> DataFrame:
-    """``word, list``: the lists of each word, by its rarest ``bound`` + 1 grams. A list is named by two lengths (equal, or
-    one apart), a gram, and its place from the start or from the end."""
+    """``word, list, half``: the lists of each word, by its rarest ``bound`` + 1 grams. A list is named by a hash of two lengths (equal, or
+    one apart) and the word's beginning up to the gram's end, or its end from the gram's start. ``half`` is 0 in a list of equal
+    lengths, else 1 for the shorter and 2 for the longer words."""
     rarest = F.slice(F.array_sort(F.transform("grams", lambda g: F.struct(g["n"].alias("n"), g["gram"].alias("gram"), g["a"].alias("a")))),
                      F.lit(1), F.col("bound") + 1)
     size = F.length("word")
 
     def names(g: Column) -> Column:
-        back = size - g["a"]
-        key = lambda shorter, longer, place, side: F.concat_ws(" ", g["gram"], shorter.cast("string"), longer.cast("string"),
-                                                               F.lit(side), place.cast("string"))
-        return F.array(key(size, size, g["a"], "="), key(size, size + 1, g["a"], "<"), key(size, size + 1, back, ">"),
-                       key(size - 1, size, g["a"], "<"), key(size - 1, size, back, ">"))
+        until = F.substring(F.col("word"), F.lit(1), g["a"] + F.length(g["gram"]) - 1)
+        since = F.substring(F.col("word"), g["a"], size)
+        return F.flatten(F.array(*[F.array(*[F.struct(F.xxhash64(F.lit(side), size - less, size + more, part).alias("list"), F.lit(half).alias("half"))
+                                             for half, less, more in ((0, 0, 0), (1, 0, 1), (2, 1, 0))]) for side, part in (("<", until), (">", since))]))
 
-    return words.select("word", F.explode(F.flatten(F.transform(rarest, names))).alias("list"))
+    return words.select("word", F.explode(F.array_distinct(F.flatten(F.transform(rarest, names)))).alias("x")).select("word", "x.list", "x.half")
 
 
 def near_words(words: DataFrame, frequent: int = FREQUENT, part_words: int = PART_WORDS) -> DataFrame:
@@ -136,10 +137,10 @@ def near_words(words: DataFrame, frequent: int = FREQUENT, part_words: int = PAR
     held = lists.join(F.broadcast(hot), "list", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     held = held.withColumn("part", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    left = held.select("list", F.col("part").alias("i"), other.alias("j"), F.col("word").alias("a"))
-    right = held.select("list", F.col("part").alias("j"), other.alias("i"), F.col("word").alias("b"))
-    pairs = left.join(right, ["list", "i", "j"]).filter(
-        (F.col("a") < F.col("b")) & (F.col("list").contains("=") | (F.length("a") != F.length("b"))) & (F.levenshtein("a", "b", 1) == 1)).select("a", "b").distinct()
+    left = held.filter("half < 2").select("list", F.col("part").alias("i"), other.alias("j"), F.col("word").alias("a"), "half")
+    right = held.filter("half <> 1").select("list", F.col("part").alias("j"), other.alias("i"), F.col("word").alias("b"))
+    found = left.join(right, ["list", "i", "j"]).filter(((F.col("half") == 1) | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1))
+    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = written(pairs, "pairs")
     return pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
