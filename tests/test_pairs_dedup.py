@@ -170,3 +170,15 @@ def test_raw_rows_are_cleaned_once(spark):
     from cleanspark.plans import flows as FL
     report = FL.run_rule(raw).report._jdf.queryExecution().optimizedPlan().toString()
     assert "signup_date" not in report or "regexp" not in report.lower()
+
+
+def test_recall_lists_no_pairs_for_the_similarities(spark, monkeypatch):
+    """Queries meet all rows in cells, inside which bounds come first; no pair is joined to be compared by the column functions."""
+    from cleanspark.operators import pairs as PR
+    clean = C.clean_customers(FX.dirty_customers(spark, SF001))
+
+    def refuse(*_):
+        raise AssertionError("a listed pair")
+
+    monkeypatch.setattr(PR, "token_set_ratio", refuse)
+    assert PR.sampled_recall(clean, every=2).first()["pairs"] > 5
