@@ -300,9 +300,10 @@ def profiling(df: DataFrame, exact: bool = True) -> dict[str, DataFrame]:
 
 
 def profile_report(df: DataFrame, exact: bool = True) -> DataFrame:
-    """P4 as one table: ``(section, column, metric, value)``, every figure of every section as text."""
+    """P4 as one table: ``(section, column, metric, value)``, every figure of every section as text. Every section
+    reads ``df``, so it is written once."""
     out = None
-    for section, frame in profiling(df, exact).items():
+    for section, frame in profiling(cut_lineage(df), exact).items():
         keys = [c for c in ("column", "col1") if c in frame.columns]
         name = F.col(keys[0]).cast("string") if keys else F.lit(None).cast("string")
         cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").cast("string").alias("value"))

@@ -195,3 +195,15 @@ def test_rules_on_dotted_names_and_overall_result(spark):
     assert [x[2] for x in R.apply_null_tokens(df).orderBy("k").collect()] == ["x", None, "y"]
     assert V.impute_mean(df, ["a.b"]).where("k = 3").collect()[0]["a.b"] == 27.5
     assert V.histogram(df, "a.b", 2).count() == 3
+
+
+def test_profile_and_before_after_read_written_tables(spark, customers7):
+    """Cleaning stands in no plan of the report: the cleaned rows are written once, whatever the sections read."""
+    from cleanspark.operators import quality as Q
+    from cleanspark.plans import flows as FL
+    cleaned = C.clean_customers(customers7)
+    report = FL.profile_report(cleaned)
+    assert "regexp_replace" not in report._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {r.section for r in report.collect()} >= {"general", "columns", "numeric", "categorical"}
+    rows = Q.before_after(customers7, cleaned, None, None, "amount")
+    assert "Aggregate" not in rows._jdf.queryExecution().optimizedPlan().toString() and rows.count() == 2
