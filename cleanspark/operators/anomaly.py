@@ -164,19 +164,18 @@ def train(df: DataFrame, key: str, features: Sequence[str] | None = None, n_tree
 
 
 def _path_lengths(x: np.ndarray, trees: dict) -> np.ndarray:
+    """Mean path lengths. A leaf is its own child on both sides, so all rows take as many steps as the tree is deep."""
     total = np.zeros(len(x))
+    flat = x.ravel()
+    start = np.arange(len(x)) * x.shape[1]
     for t in trees.values():
+        leaf, own = t["feature"] < 0, np.arange(len(t["feature"]))
+        feature = np.where(leaf, 0, t["feature"])
+        children = np.column_stack([np.where(leaf, own, t["right"]), np.where(leaf, own, t["left"])]).ravel()
         node = np.zeros(len(x), dtype=np.int64)
-        for _ in range(int(t["depth"].max()) + 1):
-            f = t["feature"][node]
-            internal = f >= 0
-            if not internal.any():
-                break
-            val = x[np.arange(len(x)), np.where(internal, f, 0)]
-            go_left = val < t["split"][node]
-            nxt = np.where(go_left, t["left"][node], t["right"][node])
-            node = np.where(internal, nxt, node)
-        total += t["depth"][node] + t["cfac"][node]
+        for _ in range(int(t["depth"].max())):
+            node = children[2 * node + (flat[start + feature[node]] < t["split"][node])]
+        total += (t["depth"] + t["cfac"])[node]
     return total / max(len(trees), 1)
 
 

@@ -114,15 +114,33 @@ class Duplicates:
         return DD.dropped_rows(self.rows, self.pairs, PR.ROW_ID, self.copies, self.triples)
 
 
-def find_duplicates(clean: DataFrame, model: PipelineModel | None = None, threshold: float = DD.MODEL_THRESHOLD) -> Duplicates:
+@dataclass
+class Prepared:
+    """What training and a run with the trained models both start from, written once: the cleaned ``groups``, their ``rows`` with row
+    ids, the ``triples`` and the candidate pairs' ``features`` (with both sides' copies)."""
+    groups: DataFrame
+    rows: DataFrame
+    triples: DataFrame
+    features: DataFrame
+
+
+def prepare(raw: DataFrame) -> Prepared:
+    groups = C.clean_groups(raw)
+    rows = PR.with_row_id(C.group_rows(groups), (KEY,), written=True)
+    t = PR.triples(rows)
+    return Prepared(groups, rows, t, cut_lineage(PR.similarities(PR.with_values(t, PR.candidate_pairs(t)))))
+
+
+def find_duplicates(clean: DataFrame | Prepared, model: PipelineModel | None = None, threshold: float = DD.MODEL_THRESHOLD) -> Duplicates:
     """Number the rows, pair their triples and let the rule or the forest decide; similarities are computed once and the
     decided pairs written. A forest that saw one class predicts no pair (D7), which is a warning, not an error. ``clean`` is
-    read several times: a written table."""
-    rows = PR.with_row_id(clean, (KEY,), written=True)
-    t = PR.triples(rows)
+    read several times: a written table, or what ``prepare`` made of it."""
+    done = clean if isinstance(clean, Prepared) else None
+    rows = done.rows if done else PR.with_row_id(clean, (KEY,), written=True)
+    t = done.triples if done else PR.triples(rows)
     if model is None:
         return Duplicates(rows, t, cut_lineage(DD.rule_triple_pairs(t)), True, "rule", None)
-    feats = PR.similarities(PR.with_values(t, PR.candidate_pairs(t)))
+    feats = done.features if done else PR.similarities(PR.with_values(t, PR.candidate_pairs(t)))
     pairs = cut_lineage(DD.predict_pairs(feats, model, threshold).select("tid_i", "tid_j", "copies_i", "copies_j"))
     one_class = DD.model_classes(model) < 2
     return Duplicates(rows, t, pairs, DD.copies_predicted_duplicate(model, threshold), "model",
@@ -185,11 +203,12 @@ def run_rule(raw: DataFrame, score_model: AN.IsolationForestModel | None = None)
 
 
 def run_with(raw: DataFrame, dedup_model: PipelineModel | None, score_model: AN.IsolationForestModel | None,
-             threshold: float = DD.MODEL_THRESHOLD) -> RunResult:
+             threshold: float = DD.MODEL_THRESHOLD, prepared: Prepared | None = None) -> RunResult:
     """P3 with models at hand. Written once each: the cleaned rows with their copies, the triples, the decided pairs, the dropped
-    ids and the final table; every report figure is an aggregate over one of them, so the raw rows are read once."""
-    groups = C.clean_groups(raw)
-    found = find_duplicates(C.group_rows(groups), dedup_model, threshold)
+    ids and the final table; every report figure is an aggregate over one of them, so the raw rows are read once, and not
+    at all where they are ``prepared``."""
+    groups = prepared.groups if prepared else C.clean_groups(raw)
+    found = find_duplicates(prepared or C.group_rows(groups), dedup_model, threshold)
     dropped = cut_lineage(found.dropped())
     kept = cut_lineage(DD.drop_later_duplicates(found.rows, dropped).drop(PR.ROW_ID))
     if score_model is not None:
@@ -264,12 +283,11 @@ class TrainResult:
 
 
 def train_models(raw: DataFrame, dedup_path: str | None = None, anomaly_path: str | None = None,
-                 num_trees: int = 100, seed: int = 42) -> TrainResult:
+                 num_trees: int = 100, seed: int = 42, prepared: Prepared | None = None) -> TrainResult:
     """Clean -> pair features -> pair forest (D5); clean -> isolation forest (M1); both saved when paths are
-    given (S12). The cleaned frame is written once and feeds both fits."""
-    rows = PR.with_row_id(C.clean_customers(raw), (KEY,))
-    t = PR.triples(rows)
-    feats = cut_lineage(PR.triple_pair_features(t, PR.candidate_pairs(t)))
+    given (S12). The cleaned frame is written once and feeds both fits (and a run after them, where it is ``prepared``)."""
+    prepared = prepared or prepare(raw)
+    rows, feats = prepared.rows, prepared.features
     dedup_model = DD.train_dedup_model(feats, num_trees=num_trees, seed=seed)
     anomaly_model = AN.train(rows.drop(PR.ROW_ID), KEY, seed=seed)
     if dedup_model is not None and dedup_path:

@@ -284,3 +284,19 @@ def test_late_rows_are_counted_and_left_out(spark):
     counted = spark.read.parquet(ST.run_to_files(spark, ST.quality_counters(ST.read_batches(spark, path, like), "ts", "value"), "late-counted"))
     closed = out.where("NOT late AND ts < '2024-03-10'").groupBy(F.to_date("ts").alias("d")).count().collect()
     assert {r.d.isoformat(): r["count"] for r in closed} == {str(r.window_start)[:10]: r["rows"] for r in counted.collect()}
+
+
+def test_training_and_run_share_what_is_prepared(spark, monkeypatch):
+    """Cleaned rows, triples and pair features are made once for both."""
+    from cleanspark.plans import flows as FL
+    raw = FX.dirty_customers(spark, SF001)
+    prepared = FL.prepare(raw)
+
+    def refuse(*_):
+        raise AssertionError("made again")
+
+    monkeypatch.setattr(FL.C, "clean_groups", refuse)
+    monkeypatch.setattr(FL.PR, "candidate_pairs", refuse)
+    trained = FL.train_models(raw, num_trees=5, prepared=prepared)
+    result = FL.run_with(raw, trained.dedup_model, trained.anomaly_model, prepared=prepared)
+    assert result.report.first()["dedup_variant"] == "model" and result.final.count() > 0
