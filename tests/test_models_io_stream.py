@@ -300,3 +300,12 @@ def test_training_and_run_share_what_is_prepared(spark, monkeypatch):
     trained = FL.train_models(raw, num_trees=5, prepared=prepared)
     result = FL.run_with(raw, trained.dedup_model, trained.anomaly_model, prepared=prepared)
     assert result.report.first()["dedup_variant"] == "model" and result.final.count() > 0
+
+
+def test_scored_stream_has_a_file_for_each_core(spark, monkeypatch):
+    from cleanspark.plans import catalog
+    seen = {}
+    staged = catalog.ST.stage_as_files
+    monkeypatch.setattr(catalog.ST, "stage_as_files", lambda s, df, name: seen.update(parts=df.rdd.getNumPartitions()) or staged(s, df, name))
+    assert tuple(catalog.QUERIES["stream_score"](spark, SF001).first()) == (True, True)
+    assert seen["parts"] == 2 * spark.sparkContext.defaultParallelism
