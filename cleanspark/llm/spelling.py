@@ -5,12 +5,12 @@ extensions by one character up to ``Q_MAX``: frequent grams make long lists and
 word is decomposed into the longest dictionary gram from each position, without those that lie inside an earlier one.
 
 An edit changes the grams that it touches; a gram beside it can be lost only if a longer dictionary gram may begin at or
-before it and reach the edit (then it might grow, or be swallowed), or may end at or behind it. So each word has a bound on the grams that one
-edit can take from it, the largest over its positions, and two words at one edit share all but that many. They
-share them in place, and with all that stands outside of them: a gram before the edit with the whole beginning of the word up
-to it, one behind the edit with the whole end. By the prefix-filter argument the rarest bound + 1 grams of both words
-then have one in common, so only these are listed; a list is of words with the same gram in the same place, the same
-beginning or the same end with it, and two given lengths. With ``Q_MAX`` = 3 an edit reaches two characters to each side, so a
+before it and reach the edit (then it might grow, or be swallowed), or may end at or behind it. So each gram of a word has
+places where an edit surely leaves it, in place, and with all that stands outside of it: a gram before the edit with the whole
+beginning of the word up to it, one behind the edit with the whole end. Two words at one edit have the same grams left, so
+also the same rarest one. A word is listed by the rarest gram that is left, for each place and kind of edit, and nothing else: each
+rarer gram takes the places it survives, and the next one those in between. A list is of words with the same gram in the same place, the
+same beginning or the same end with it, and two given lengths. With ``Q_MAX`` = 3 an edit reaches two characters to each side, so a
 word of ``MIN_LENGTH`` characters always keeps a gram. Pairs that share a list are verified by their edit distance.
 """
 from __future__ import annotations
@@ -81,47 +81,49 @@ def _decomposed(words: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def _bounded(words: DataFrame) -> DataFrame:
-    """``_decomposed`` rows with ``bound``, the most grams that one edit can take from the word.
+    """``_decomposed`` rows, whose ``grams`` also have ``lo`` and ``hi``, with ``bound``, the most grams that one edit can take from the word.
 
-    An edit at character p (replaced or deleted; an insertion before p touches less) takes the grams that hold p;
-    those that end at p - 1, if a start at or before theirs has a gram that might grow over p; and those that begin
-    at p + 1, are of Q_MIN characters, and so fit behind p into a longer gram."""
-    def taken(p: Column) -> Column:
-        def lost(g: Column) -> Column:
-            a, b = g["a"], g["a"] + F.length(g["gram"]) - 1
-            touches = (a <= p) & (b >= p)
-            grows = (b == p - 1) & (F.length(g["gram"]) < Q_MAX) & g["open"]
-            swallowed = (a == p + 1) & (F.length(g["gram"]) < Q_MAX)
-            return touches | grows | swallowed
+    An edit at character p (replaced or deleted) leaves the grams with p >= ``lo``, which end before it, and those with p <= ``hi``, which
+    begin behind it. One that ends at p - 1 might grow over p, if it can; one that begins at p + 1 and is of Q_MIN characters fits into
+    a longer gram from p on. An insertion before p touches what lies around it: it leaves those with p >= ``lo`` or p <= ``hi`` + 1."""
+    short = lambda g: (F.length(g["gram"]) < Q_MAX).cast("int")
+    reach = F.transform("grams", lambda g: F.struct(
+        g["a"].alias("a"), g["gram"].alias("gram"), g["n"].alias("n"), g["open"].alias("open"),
+        (g["a"] + F.length(g["gram"]) + short(g) * g["open"].cast("int")).alias("lo"), (g["a"] - 1 - short(g)).alias("hi")))
 
-        return F.size(F.filter("grams", lost))
-
-    def inserted(p: Column) -> Column:  # between p - 1 and p
-        def lost(g: Column) -> Column:
-            a, b = g["a"], g["a"] + F.length(g["gram"]) - 1
-            return (a < p) & (b >= p) | (b == p - 1) & (F.length(g["gram"]) < Q_MAX) & g["open"] | (a == p) & (F.length(g["gram"]) < Q_MAX)
-
-        return F.size(F.filter("grams", lost))
+    def lost(p: Column, inserted: int) -> Column:
+        return F.size(F.filter("grams", lambda g: (p < g["lo"]) & (p > g["hi"] + inserted)))
 
     places = F.sequence(F.lit(1), F.length("word") + 1)
-    return words.withColumn("bound", F.array_max(F.transform(places, lambda p: F.greatest(taken(p), inserted(p)))))
+    return words.withColumn("grams", reach).withColumn("bound", F.array_max(F.transform(places, lambda p: F.greatest(lost(p, 0), lost(p, 1)))))
 
 
 def _listed(words: DataFrame) -> DataFrame:
-    """``word, list, half``: the lists of each word, by its rarest ``bound`` + 1 grams. A list is named by a hash of two lengths (equal, or
-    one apart) and the word's beginning up to the gram's end, or its end from the gram's start. ``half`` is 0 in a list of equal
-    lengths, else 1 for the shorter and 2 for the longer words."""
-    rarest = F.slice(F.array_sort(F.transform("grams", lambda g: F.struct(g["n"].alias("n"), g["gram"].alias("gram"), g["a"].alias("a")))),
-                     F.lit(1), F.col("bound") + 1)
+    """``word, list, half``: the lists of each word, by the rarest gram that each edit leaves. A list is named by a hash of two lengths
+    (equal, or one apart) and the word's beginning up to the gram's end, or its end from the gram's start. ``half`` is 0 in a list
+    of equal lengths (a character is replaced), else 1 for the shorter (one is inserted) and 2 for the longer words (one is deleted)."""
     size = F.length("word")
+    rare = F.array_sort(F.transform("grams", lambda g: F.struct(g["n"].alias("n"), g["gram"].alias("gram"), g["a"].alias("a"),
+                                                                g["lo"].alias("lo"), g["hi"].alias("hi"))))
+    ranked = words.select("word", rare.alias("rare")).select("word", "rare", F.col("rare.lo").alias("los"), F.col("rare.hi").alias("his"))
+    # the places that no rarer gram survives lie between ``left`` and ``right``
+    steps = F.transform("rare", lambda g, i: F.struct(
+        g["a"].alias("a"), (g["a"] + F.length(g["gram"]) - 1).alias("end"), g["lo"].alias("lo"), g["hi"].alias("hi"),
+        F.coalesce(F.array_max(F.slice("his", F.lit(1), i)), F.lit(-1)).alias("left"),
+        F.coalesce(F.array_min(F.slice("los", F.lit(1), i)), size + 2).alias("right")))
 
     def names(g: Column) -> Column:
-        until = F.substring(F.col("word"), F.lit(1), g["a"] + F.length(g["gram"]) - 1)
-        since = F.substring(F.col("word"), g["a"], size)
-        return F.flatten(F.array(*[F.array(*[F.struct(F.xxhash64(F.lit(side), size - less, size + more, part).alias("list"), F.lit(half).alias("half"))
-                                             for half, less, more in ((0, 0, 0), (1, 0, 1), (2, 1, 0))]) for side, part in (("<", until), (">", since))]))
-
-    return words.select("word", F.explode(F.array_distinct(F.flatten(F.transform(rarest, names)))).alias("x")).select("word", "x.list", "x.half")
+        until, since = F.substring(F.col("word"), F.lit(1), g["end"]), F.substring(F.col("word"), g["a"], size)
+        out = []
+        for inserted, lengths in ((0, ((0, 0, 0), (2, 1, 0))), (1, ((1, 0, 1),))):
+            left, right = F.greatest(F.lit(0), g["left"] + inserted), F.least(size + 1 + inserted, g["right"])
+            for side, part, takes in (("<", until, g["lo"] < right), (">", since, g["hi"] + inserted > left)):
+                out += [F.when(takes & (left + 1 < right), F.struct(F.xxhash64(F.lit(side), size - less, size + more, part).alias("list"), F.lit(half).alias("half")))
+                        for half, less, more in lengths]
+        return F.array(*out)
+
+    some = F.filter(steps, lambda g: g["left"] + 1 < g["right"])
+    return ranked.select("word", F.explode(F.array_compact(F.flatten(F.transform(some, names)))).alias("x")).select("word", "x.list", "x.half")
 
 
 def near_words(words: DataFrame, frequent: int = FREQUENT, part_words: int = PART_WORDS) -> DataFrame:

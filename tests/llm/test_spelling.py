@@ -100,6 +100,28 @@ def test_no_edit_takes_more_than_the_bound(spark):
             assert all(sum((grams[w] - grams[x]).values()) <= bound[w] for x in edits[w]), (frequent, w)
 
 
+def test_each_edit_leaves_a_common_list(spark):
+    """A word and each of its edits share a list of their lengths; no word is in the lists of grams that no edit needs."""
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choice("abc") for _ in range(rng.randrange(7, 11))) for _ in range(25)})
+    edits = {w: {w[:i] + x + w[i + d:] for i in range(len(w) + 1) for d in (0, 1) for x in ("", "a", "d")} - {w} for w in words}
+    every = sorted({*words, *itertools.chain.from_iterable(edits.values())})
+    df = spark.createDataFrame([(w,) for w in every], "word string")
+    for frequent in (0, 60):
+        bounded = SP._bounded(SP._decomposed(df, SP.gram_dictionary(df, frequent)))
+        rows = SP._listed(bounded).collect()
+        lists = {}
+        for r in rows:
+            lists.setdefault((r.word, r.half), set()).add(r.list)
+        for w in words:
+            for x in edits[w]:
+                if len(x) >= 7:
+                    halves = (0, 0) if len(w) == len(x) else (1, 2) if len(w) < len(x) else (2, 1)
+                    assert lists[w, halves[0]] & lists[x, halves[1]], (frequent, w, x)
+        # the bound + 1 rarest grams, at both sides and for all three kinds of edit
+        assert len(rows) == len(set(rows)) < 0.75 * sum(6 * min(r.bound + 1, len(r.grams)) for r in bounded.collect())
+
+
 def test_query_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF001}/documents.parquet')")
