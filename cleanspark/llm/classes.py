@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import HOT_KEYS, spread_join, written
+from .bloom import bloom_filter, held
 
 #: Rows and elements of a part of a large group; two parts are compared in one piece of work.
 PART_ROWS, PART_ELEMENTS = 2_000, 1_000_000
@@ -40,9 +41,23 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def sets_of(sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """``sets`` without nearly all rows that ``rows`` (row, may repeat) does not name, held back where they are read: their
+    elements need not be moved for a join that throws them away."""
+    rows = written(rows.select(F.xxhash64("row").alias("hash")).distinct(), "wanted")
+    bloom = sets.sparkSession.sparkContext.broadcast(bloom_filter(rows, "hash", rows.count()))
+
+    @F.pandas_udf("boolean")
+    def may_be_held(hashes: pd.Series) -> pd.Series:
+        return pd.Series(held(bloom.value, hashes.to_numpy().view(np.uint64)))
+
+    return sets.where(may_be_held(F.xxhash64("row")))
+
+
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b) of rows of ``sets`` (row, elements: distinct) with their Jaccard similarity ``sim``; ``pairs`` is a
     written table, one of its ends may be that of all pairs."""
+    sets = sets_of(sets, pairs.select(F.explode(F.array("a", "b")).alias("row")))
     left = sets.select(F.col("row").alias("a"), F.col("elements").alias("of_a"))
     right = sets.select(F.col("row").alias("b"), F.col("elements").alias("of_b"))
     shared = F.size(F.array_intersect("of_a", "of_b"))
@@ -98,7 +113,7 @@ def _links_between(members: DataFrame, sets: DataFrame, threshold: float) -> Dat
     parted = written(sized.select("hub", "row", "n", "label", F.when(query, deal(q)).otherwise(q + deal(h)).alias("part"),
                                   F.when(query, q + h).otherwise(q).alias("meets")), "parts")
     load = parted.agg(F.coalesce(F.sum(F.col("n").cast("long") * F.col("meets")), F.lit(0)).alias("n")).collect()[0]["n"]
-    cells = (parted.join(sets, "row").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("meets") - 1)))
+    cells = (parted.join(sets_of(sets, parted), "row").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("meets") - 1)))
              .select(F.pmod(F.xxhash64("hub", F.least("part", other), F.greatest("part", other)), F.lit(1 + load // PART_ELEMENTS)).alias("task"),
                      "hub", F.least("part", other).alias("i"), F.greatest("part", other).alias("j"), "part", "label", "elements"))
 

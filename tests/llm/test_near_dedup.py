@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cleanspark.llm import classes as CL
 from cleanspark.llm import near_dedup as ND
 from cleanspark.llm import words as W
 
@@ -127,3 +128,19 @@ def test_scripts_without_spaces(spark):
     got = {r[0]: r.class_id for r in classes(spark, rows)}
     second = {b: a for a, b in pairs}
     assert got == {i: second.get(i, i) for i, _ in rows}
+
+
+def test_only_compared_sets_are_moved(spark):
+    """The sets of rows in no pair stay where they are read; similarities are those of all sets."""
+    sets = spark.range(20_000).select(F.col("id").alias("row"), F.sequence(F.col("id"), F.col("id") + 9).alias("elements"))
+    pairs = spark.createDataFrame([(i, i + 1 + i % 3) for i in range(0, 600, 3)] + [(5, 19_999), (5, 6)], "a bigint, b bigint")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    kept = CL.sets_of(sets, ends)
+    assert ends.join(kept, "row", "left_anti").isEmpty()
+    assert kept.count() < ends.count() + 1_000
+    assert CL.sets_of(sets, ends.limit(0)).count() < 1_000
+    overlap = lambda a, b: max(0, 10 - (b - a))
+    out = {(r.a, r.b): r.sim for r in CL.similarities(pairs, sets).collect()}
+    assert out == {(r.a, r.b): overlap(r.a, r.b) / (20 - overlap(r.a, r.b)) for r in pairs.collect()}
+    plan = CL.similarities(pairs, sets)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") >= 2  # both ends
