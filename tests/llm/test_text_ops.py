@@ -296,7 +296,7 @@ def test_language_masks_more_than_64_languages(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     got = QUERIES[name](spark, SF001)
     result = con.execute(ORACLE[name])
